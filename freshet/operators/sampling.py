@@ -47,7 +47,9 @@ def sample_exact(
     )
     if edge is None:
         return df
-    rank = F.row_number().over(Window.partitionBy("_prefix").orderBy(*order))
+    # Rows below the edge need no rank; grouped by their whole hash they spread over all tasks.
+    group = F.when(F.col("_prefix") == edge["_prefix"], F.lit("")).otherwise(F.col("_hash"))
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(*order))
     return (
         hashed.filter(F.col("_prefix") <= edge["_prefix"])
         .withColumn("_rank", rank)
