@@ -29,8 +29,8 @@ class Job:
     """What to read, what to ask for and where to write.
 
     `seed` fixes the sample; without one every run draws another. `state` is the write time that
-    counts for a key written several times: its latest or its oldest. `salt` and `hot_rows` are
-    those of the joins.
+    counts for a key written several times: its latest or its oldest. Of same-named columns the last
+    source's is sent, unless `prefer` says left. `salt` and `hot_rows` are those of the joins.
     """
 
     sources: tuple[Source, ...]
@@ -41,7 +41,7 @@ class Job:
     workers: int = 1
     seed: int | None = None
     state: str = "latest"
-    prefer: str = "left"
+    prefer: str = "right"
     hot_rows: int = HOT_ROWS
     salt: bool | None = None
 
