@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from freshet.functions.columns import once
 from freshet.functions.times import iso_timestamp
 from freshet.operators.projection import included
 
@@ -29,11 +30,15 @@ def json_string(col: Column) -> Column:
     document = F.to_json(F.struct(col.alias("v")), {"writeNonAsciiCharacterAsCodePoint": "true"})
     quoted = F.substr(document, F.lit(len('{"v":') + 1), F.length(document) - len('{"v":}'))
     quoted = F.replace(quoted, F.lit("\x7f"), F.lit("\\u007f"))
-    # Tokens: a code point escape, another escape, or a run without backslash. Going by tokens
-    # keeps an escaped backslash before a "u" from being read as an escape.
-    tokens = F.regexp_extract_all(quoted, F.lit(r"(\\u[0-9A-Fa-f]{4}|\\.|[^\\]++)"), F.lit(0))
-    lowered = F.transform(tokens, lambda t: F.when(t.startswith("\\u"), F.lower(t)).otherwise(t))
-    return F.when(F.contains(quoted, F.lit("\\u")), F.array_join(lowered, "")).otherwise(quoted)
+
+    def lower_escapes(text: Column) -> Column:
+        # Tokens: a code point escape, another escape, or a run without backslash. Going by tokens
+        # keeps an escaped backslash before a "u" from being read as an escape.
+        tokens = F.regexp_extract_all(text, F.lit(r"(\\u[0-9A-Fa-f]{4}|\\.|[^\\]++)"), F.lit(0))
+        lowered = F.transform(tokens, lambda t: F.when(t.startswith("\\u"), F.lower(t)).otherwise(t))
+        return F.when(F.contains(text, F.lit("\\u")), F.array_join(lowered, "")).otherwise(text)
+
+    return once(quoted, lower_escapes)
 
 
 def float_text(col: Column) -> Column:

@@ -44,8 +44,8 @@ def join_sources(
     Same-named columns of later frames get a suffix; `prefer="right"` keeps the last one's value
     under the plain name instead.
 
-    A right side small enough to broadcast is left to Spark; otherwise the join is salted by the
-    hot keys (`salt` forces the choice).
+    With a right side too large to broadcast, the hot keys are joined in pieces (`salt` forces the
+    choice); see `freshet.operators.skew`.
     """
     if prefer not in ("left", "right"):
         raise ValueError(f"prefer must be 'left' or 'right', got {prefer!r}")
@@ -55,7 +55,7 @@ def join_sources(
     hot = hot_keys(renamed, key, hot_rows) if any(salted) else None
     joined = renamed[0]
     for step, df in enumerate(renamed[1:], start=1):
-        if salted[step - 1]:
+        if salted[step - 1] and hot is not None:
             joined = salted_join(joined, df, key, hot, step, how, hot_rows)
         else:
             joined = joined.join(df, key, how)

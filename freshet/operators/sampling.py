@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -58,6 +59,11 @@ def sample_exact(
     )
 
 
-def sample_random(df: DataFrame, k: int) -> DataFrame:
-    """min(k, n) rows, different on every run: materialise it before using it twice."""
-    return df.orderBy(F.rand()).limit(k)
+def random_seed() -> int:
+    return random.getrandbits(63)
+
+
+def sample_random(df: DataFrame, k: int, id_cols: Sequence[str]) -> DataFrame:
+    """min(k, n) rows, others on every call. Drawn by a fresh seed, so that within one call a task
+    run again after a failure still agrees with the rest."""
+    return sample_exact(df, k, id_cols, random_seed())

@@ -1,13 +1,14 @@
 """Joins on keys of which a few may hold a large share of the rows.
 
-A hash shuffle sends all rows of one key to one task. Here the keys with more than `hot_rows`
-rows are found first (one narrow, map-side combined count) and their rows are cut into pieces:
-each side spreads its own rows over its own number of pieces and repeats them for every piece of
-the other side, so that each pair of rows still meets exactly once.
-
-The list of hot keys is broadcast. Its size is bounded by `MAX_HOT_KEYS`, whatever the data: the
-largest ones are kept, and a key beyond the list holds less than 1/MAX_HOT_KEYS of the rows and is
-joined whole.
+A hash shuffle sends all rows of one key to one task. Before joining two large frames, the keys
+with more than `hot_rows` rows are found by a count that reads the key column alone and is combined
+before its shuffle. Where there are none, the join is a plain one. Otherwise their rows are cut into
+pieces: each side spreads its own rows over its own number of pieces and repeats them for every
+piece of the other side, so that each pair of rows still meets exactly once.
+
+The list of hot keys is checkpointed and broadcast. Its size is bounded by `MAX_HOT_KEYS`, whatever
+the data: the largest ones are kept, and a key beyond the list holds less than 1/MAX_HOT_KEYS of
+the rows and is joined whole.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from freshet.session import ensure_checkpoint_dir
+
 MAX_HOT_KEYS = 100_000
 HOT_ROWS = 1_000_000
 
@@ -37,11 +40,13 @@ def fits_broadcast(df: DataFrame) -> bool:
     return planned <= int(number) * _UNITS[unit]
 
 
-def hot_keys(frames: Sequence[DataFrame], key: str, hot_rows: int) -> DataFrame:
-    """Keys with more than `hot_rows` rows in a frame or in the join of the first i frames.
+def hot_keys(frames: Sequence[DataFrame], key: str, hot_rows: int) -> DataFrame | None:
+    """Keys with more than `hot_rows` rows in a frame or in the join of the first i frames; None if
+    there are none. Counted right away and checkpointed.
 
     Columns: `_key`, `_rows_i` (rows of frame i) and `_joined_i` (rows after joining frames 0..i).
     """
+    ensure_checkpoint_dir(frames[0].sparkSession)
     tagged = reduce(
         DataFrame.union,
         [df.select(F.col(key).alias("_key"), F.lit(i).alias("_i")) for i, df in enumerate(frames)],
@@ -59,13 +64,15 @@ def hot_keys(frames: Sequence[DataFrame], key: str, hot_rows: int) -> DataFrame:
         *[F.col(f"{name}_{i}").cast("double") for name in ("_rows", "_joined") for i in range(len(frames))],
         F.lit(0.0),
     )
-    return (
+    hot = (
         counts.withColumn("_largest", largest)
         .filter(F.col("_largest") > hot_rows)
         .orderBy(F.desc("_largest"))
         .limit(MAX_HOT_KEYS)
         .drop("_largest")
+        .checkpoint()
     )
+    return None if hot.isEmpty() else hot
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -128,24 +135,23 @@ def salted_join(
 
 
 def salted_anti_join(
-    df: DataFrame, state: DataFrame, key: str, state_key: str, condition: Column, hot_rows: int
+    df: DataFrame, state: DataFrame, key: str, state_key: str, condition: Column, hot: DataFrame, hot_rows: int
 ) -> DataFrame:
     """Rows of `df` without a state row of the same key (null equals null) under `condition`.
 
-    `state` has one row per key, so repeating it for the pieces of a hot key is cheap.
+    `hot` holds the hot keys of `df`. `state` has one row per key, so repeating it for the pieces of
+    a hot key is cheap.
     """
-    hot = F.broadcast(
-        hot_keys([df], key, hot_rows).select("_key", _pieces(F.col("_rows_0"), hot_rows).alias("_p"))
-    )
+    pieces = F.broadcast(hot.select("_key", _pieces(F.col("_rows_0"), hot_rows).alias("_p")))
     one = F.lit(1).cast("long")
     lhs = (
         df.withColumn("_h", row_hash(df))
-        .join(hot, F.col(key).eqNullSafe(F.col("_key")), "left")
+        .join(pieces, F.col(key).eqNullSafe(F.col("_key")), "left")
         .withColumn("_l", F.pmod("_h", F.coalesce("_p", one)))
         .drop("_key", "_h", "_p")
     )
     rhs = (
-        state.join(hot, F.col(state_key).eqNullSafe(F.col("_key")), "left")
+        state.join(pieces, F.col(state_key).eqNullSafe(F.col("_key")), "left")
         .withColumn("_s", _each(F.coalesce("_p", one)))
         .drop("_key", "_p")
     )

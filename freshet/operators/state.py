@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.operators.skew import HOT_ROWS, fits_broadcast, salted_anti_join
+from freshet.operators.skew import HOT_ROWS, fits_broadcast, hot_keys, salted_anti_join
 
 
 def last_processed(target: DataFrame, key: str, ts: str, which: str = "latest") -> DataFrame:
@@ -22,12 +22,13 @@ def incremental_filter(
     """Rows whose key was never processed or whose update is later than that.
 
     An update at the very time of processing counts as done; a null key is a key like any other.
-    A state too large to broadcast is joined with the hot keys of `df` in pieces (`salt` forces
+    With a state too large to broadcast, the hot keys of `df` are joined in pieces (`salt` forces
     the choice).
     """
     done = F.col(ts) <= F.col("state_ts")
     if salt is None:
         salt = not fits_broadcast(state)
-    if salt:
-        return salted_anti_join(df, state, key, "state_key", done, hot_rows)
+    hot = hot_keys([df], key, hot_rows) if salt else None
+    if hot is not None:
+        return salted_anti_join(df, state, key, "state_key", done, hot, hot_rows)
     return df.join(state, F.col(key).eqNullSafe(F.col("state_key")) & done, "left_anti")

@@ -237,7 +237,7 @@ def sample_overask(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sample_random(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which rows is up to chance; how many, and that none comes twice, is not."""
-    drawn = sampling.sample_random(views.reactions(spark, sf_dir), 500)
+    drawn = sampling.sample_random(views.reactions(spark, sf_dir), 500, ["event_id"])
     return drawn.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("n_distinct"))
 
 
@@ -441,6 +441,12 @@ def sentiment_job_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_runs(spark, _sentiment_job(spark, sf_dir), Native(SENTIMENT_WORDS), 2_000)
 
 
+def sentiment_job_sampled_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for large tables: ids are joined and sampled first, texts fetched afterwards."""
+    job = _sentiment_job(spark, sf_dir, salt=True, hot_rows=TEST_HOT_ROWS)
+    return _two_runs(spark, job, Native(SENTIMENT_WORDS), 2_000)
+
+
 def user_needs_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_runs(spark, _needs_job(spark, sf_dir), Native(NEEDS_WORDS))
 
@@ -543,6 +549,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sentiment_job": sentiment_job,
     "sentiment_job_salted": sentiment_job_salted,
     "sentiment_job_sampled": sentiment_job_sampled,
+    "sentiment_job_sampled_salted": sentiment_job_sampled_salted,
     "user_needs_job": user_needs_job,
     "stream_incremental": stream_incremental,
 }

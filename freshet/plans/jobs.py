@@ -15,9 +15,9 @@ from freshet.functions.times import cutoff_before, utc_naive, utc_now
 from freshet.operators.joins import join_sources
 from freshet.operators.projection import included
 from freshet.operators.responses import flatten, parse_responses, valid_rows
-from freshet.operators.sampling import sample_exact, sample_random
+from freshet.operators.sampling import DIRECT_ROWS, random_seed, sample_exact
 from freshet.operators.scoring import Retry, score_with
-from freshet.operators.skew import HOT_ROWS
+from freshet.operators.skew import HOT_ROWS, fits_broadcast
 from freshet.operators.state import incremental_filter, last_processed
 from freshet.session import ensure_checkpoint_dir
 from freshet.sinks.target import Target
@@ -28,7 +28,7 @@ from freshet.sources.scan import Source, check_same_key, read_sources
 class Job:
     """What to read, what to ask for and where to write.
 
-    `seed` fixes the sample; without one every run draws another. `state` is the write time that
+    `seed` fixes the sample; without one every run draws a fresh one. `state` is the write time that
     counts for a key written several times: its latest or its oldest. Of same-named columns the last
     source's is sent, unless `prefer` says left. `salt` and `hot_rows` are those of the joins.
     """
@@ -146,10 +146,20 @@ def _join(frames: list[DataFrame], job: Job) -> DataFrame:
     )
 
 
-def _needed(source: Source, df: DataFrame, job: Job) -> DataFrame:
-    """A join spreads hot rows by a hash of all columns it is given; give it no spare ones."""
-    wanted = {job.target.key, source.key, *source.row_id, *job.include}
-    return df.select(*[f"`{name}`" for name in df.columns if name in wanted])
+def _needed(frames: list[tuple[Source, DataFrame]], job: Job) -> tuple[list[DataFrame], list[str]]:
+    """The frames with only the columns the job needs, and the names that tell joined rows apart.
+
+    Row ids are copied to names of their own, which a same-named column of another source cannot
+    replace in the join.
+    """
+    needed, ids = [], [job.target.key]
+    for i, (source, df) in enumerate(frames):
+        own = {f"_id_{i}_{name}": name for name in source.row_id}
+        wanted = [name for name in df.columns if name == job.target.key or name in job.include]
+        copies = [F.col(f"`{name}`").alias(copy) for copy, name in own.items()]
+        needed.append(df.select(*[f"`{name}`" for name in wanted], *copies))
+        ids += own
+    return needed, ids
 
 
 def _owner(frames: list[DataFrame], include: Sequence[str]) -> int | None:
@@ -175,32 +185,43 @@ def _score_then_join(frames: list[DataFrame], owner: int, job: Job, scorer: Nati
     )
 
 
-def _row_ids(frames: list[tuple[Source, DataFrame]], job: Job) -> list[str]:
-    ids = [job.target.key]
-    for source, _ in frames:
-        ids += [name for name in source.row_id if name not in ids]
-    return ids
+def _sampled(frames: list[DataFrame], ids: list[str], job: Job, k: int) -> DataFrame:
+    """At most k joined rows.
+
+    Where a side is too large to broadcast, texts would be shuffled only to drop nearly all of
+    them. So the ids alone are joined and sampled first; then each frame is cut to the ids in that
+    sample, a broadcast of at most k rows, and only what is left is joined with its texts. Being
+    part of the full join and holding all of its sample, that has the same sample.
+    """
+    seed = random_seed() if job.seed is None else job.seed
+    large = job.salt or (job.salt is None and not all(fits_broadcast(df) for df in frames[1:]))
+    if large and 0 < k <= DIRECT_ROWS:
+        key = job.target.key
+        narrow = [df.select(*[name for name in df.columns if name in ids]) for df in frames]
+        picked = sample_exact(_join(narrow, job), k, ids, seed).select(*ids).checkpoint()
+        frames = [_semi(df, picked, [name for name in df.columns if name == key or name in ids]) for df in frames]
+    return sample_exact(_join(frames, job), k, ids, seed)
+
+
+def _semi(df: DataFrame, picked: DataFrame, columns: list[str]) -> DataFrame:
+    wanted = picked.select(*[F.col(name).alias(f"_picked_{name}") for name in columns])
+    on = [F.col(name).eqNullSafe(F.col(f"_picked_{name}")) for name in columns]
+    return df.join(F.broadcast(wanted), on, "left_semi")
 
 
 def enriched(
     frames: list[tuple[Source, DataFrame]], job: Job, scorer: Native | Completer, max_records: int | None
 ) -> DataFrame:
-    """Join, sample and score: the model's columns, the key and `reject_reason`. Lazy but for the
-    counts of a large seeded sample."""
-    narrow = [_needed(source, df, job) for source, df in frames]
-    if max_records is None and isinstance(scorer, Native):
-        owner = _owner(narrow, job.include)
+    """Join, sample and score: the model's columns, the key and `reject_reason`."""
+    needed, ids = _needed(frames, job)
+    if max_records is None:
+        owner = _owner(needed, job.include) if isinstance(scorer, Native) else None
         if owner is not None:
-            return _score_then_join(narrow, owner, job, scorer)
-    rows = _join(narrow, job)
-    if max_records is not None:
-        if job.seed is None:
-            rows = sample_random(rows, max_records)
-        else:
-            rows = sample_exact(rows, max_records, _row_ids(frames, job), job.seed)
-        # A sample ends up in one task; spread it out again before the costly part.
-        rows = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
-    return scorer.enrich(rows, job)
+            return _score_then_join(needed, owner, job, scorer)
+        return scorer.enrich(_join(needed, job), job)
+    rows = _sampled(needed, ids, job, max_records)
+    # A sample ends up in one task; spread it out again before the costly part.
+    return scorer.enrich(rows.repartition(rows.sparkSession.sparkContext.defaultParallelism), job)
 
 
 def run_job(
@@ -226,7 +247,9 @@ def run_job(
     frames = new_frames(spark, job, cutoff_before(now, job.hours))
     if not frames or max_records == 0:
         return Summary()
-    available = _join([_needed(s, df, job) for s, df in frames], job).count() if count_available else None
+    available = None
+    if count_available:
+        available = _join([df.select(job.target.key) for _, df in frames], job).count()
 
     scored = enriched(frames, job, scorer, max_records).checkpoint()
     counts = {row["reject_reason"]: row["count"] for row in scored.groupBy("reject_reason").count().collect()}

@@ -430,6 +430,7 @@ ORACLES: dict[str, str] = {
     "sentiment_job": _sentiment_runs(None),
     "sentiment_job_salted": _sentiment_runs(None),
     "sentiment_job_sampled": _sentiment_runs(2_000),
+    "sentiment_job_sampled_salted": _sentiment_runs(2_000),
     "user_needs_job": _NEEDS_RUNS,
     "stream_incremental": _NEEDS_RUNS,
 }
