@@ -66,6 +66,13 @@ def float_text(col: Column) -> Column:
     return F.when(F.contains(text, F.lit("E")), F.concat(sign, rebuilt)).otherwise(text)
 
 
+class _Pair(T.StructType):
+    """A map entry, shown as a list of two."""
+
+    def __init__(self, key: T.DataType, value: T.DataType):
+        super().__init__([T.StructField("key", key), T.StructField("value", value)])
+
+
 def json_value(col: Column, dtype: T.DataType) -> Column:
     """Any column as JSON text; null becomes `null`.
 
@@ -81,15 +88,19 @@ def json_value(col: Column, dtype: T.DataType) -> Column:
         text = float_text(col)
     elif isinstance(dtype, (T.IntegralType, T.BooleanType)):
         text = col.cast("string")
+    elif isinstance(dtype, _Pair):
+        key, value = (json_value(col.getField(f.name), f.dataType) for f in dtype)
+        text = F.concat(F.lit("["), key, F.lit(", "), value, F.lit("]"))
     elif isinstance(dtype, T.StructType):
         text = json_object({f.name: (col.getField(f.name), f.dataType) for f in dtype})
-        text = F.when(col.isNotNull(), text)
     elif isinstance(dtype, T.ArrayType):
         items = F.transform(col, lambda item: json_value(item, dtype.elementType))
         text = F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
+    elif isinstance(dtype, T.MapType):
+        text = json_value(F.map_entries(col), T.ArrayType(_Pair(dtype.keyType, dtype.valueType)))
     else:
         text = json_string(col.cast("string"))
-    return F.coalesce(text, F.lit("null"))
+    return F.when(col.isNotNull(), text).otherwise("null")
 
 
 def json_object(fields: dict[str, tuple[Column, T.DataType]]) -> Column:

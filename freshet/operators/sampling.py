@@ -8,8 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this size each task's k smallest rows are merged directly.
-DIRECT_ROWS = 10_000
+# Up to this size the k smallest rows of every task are merged in one task.
+DIRECT_ROWS = 1_000
 # Above it, rows are first counted by the first four hex digits of their hash: 65,536 counts.
 _PREFIX = 4
 

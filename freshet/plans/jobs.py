@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,14 +15,17 @@ from freshet.functions.times import cutoff_before, utc_naive, utc_now
 from freshet.operators.joins import join_sources
 from freshet.operators.projection import included
 from freshet.operators.responses import flatten, parse_responses, valid_rows
-from freshet.operators.sampling import DIRECT_ROWS, random_seed, sample_exact
+from freshet.operators.sampling import random_seed, sample_exact
 from freshet.operators.scoring import Retry, score_with
 from freshet.operators.skew import HOT_ROWS, fits_broadcast
 from freshet.operators.state import incremental_filter, last_processed
 from freshet.session import ensure_checkpoint_dir
-from freshet.sinks.target import Target
+from freshet.sinks.target import Target, staged
 from freshet.sources.scan import Source, check_same_key, read_sources
 
+# Sampled ids are broadcast up to this number.
+BROADCAST_ROWS = 100_000
+
 
 @dataclass(frozen=True)
 class Job:
@@ -190,23 +193,25 @@ def _sampled(frames: list[DataFrame], ids: list[str], job: Job, k: int) -> DataF
 
     Where a side is too large to broadcast, texts would be shuffled only to drop nearly all of
     them. So the ids alone are joined and sampled first; then each frame is cut to the ids in that
-    sample, a broadcast of at most k rows, and only what is left is joined with its texts. Being
-    part of the full join and holding all of its sample, that has the same sample.
+    sample, broadcast up to BROADCAST_ROWS of them, and only what is left is joined with its texts.
+    Being part of the full join and holding all of its sample, that has the same sample.
     """
     seed = random_seed() if job.seed is None else job.seed
     large = job.salt or (job.salt is None and not all(fits_broadcast(df) for df in frames[1:]))
-    if large and 0 < k <= DIRECT_ROWS:
-        key = job.target.key
-        narrow = [df.select(*[name for name in df.columns if name in ids]) for df in frames]
-        picked = sample_exact(_join(narrow, job), k, ids, seed).select(*ids).checkpoint()
-        frames = [_semi(df, picked, [name for name in df.columns if name == key or name in ids]) for df in frames]
+    if large and k > 0:
+        ensure_checkpoint_dir(frames[0].sparkSession)
+        narrow = [df.select(*[f"`{name}`" for name in df.columns if name in ids]) for df in frames]
+        picked = sample_exact(_join(narrow, job), k, ids, seed).checkpoint()
+        if k <= BROADCAST_ROWS:
+            picked = F.broadcast(picked)
+        frames = [_semi(df, picked, [name for name in df.columns if name in ids]) for df in frames]
     return sample_exact(_join(frames, job), k, ids, seed)
 
 
 def _semi(df: DataFrame, picked: DataFrame, columns: list[str]) -> DataFrame:
-    wanted = picked.select(*[F.col(name).alias(f"_picked_{name}") for name in columns])
-    on = [F.col(name).eqNullSafe(F.col(f"_picked_{name}")) for name in columns]
-    return df.join(F.broadcast(wanted), on, "left_semi")
+    wanted = picked.select(*[F.col(f"`{name}`").alias(f"_picked_{name}") for name in columns])
+    on = [F.col(f"`{name}`").eqNullSafe(F.col(f"`_picked_{name}`")) for name in columns]
+    return df.join(wanted, on, "left_semi")
 
 
 def enriched(
@@ -224,6 +229,27 @@ def enriched(
     return scorer.enrich(rows.repartition(rows.sparkSession.sparkContext.defaultParallelism), job)
 
 
+def process(
+    frames: list[tuple[Source, DataFrame]],
+    job: Job,
+    scorer: Native | Completer,
+    max_records: int | None,
+    now: datetime,
+) -> Summary:
+    """Enrich the frames and append the valid results.
+
+    The results are staged first: the model is asked once per row, the counts agree with what is
+    written, the state is read in full before the target changes, and a run without any valid
+    result leaves the target as it was.
+    """
+    with staged(enriched(frames, job, scorer, max_records)) as scored:
+        counts = {row["reject_reason"]: row["count"] for row in scored.groupBy("reject_reason").count().collect()}
+        written = counts.pop(None, 0)
+        if written:
+            job.target.append(valid_rows(scored), now)
+    return Summary(written + sum(counts.values()), written, counts)
+
+
 def run_job(
     spark: SparkSession,
     job: Job,
@@ -236,11 +262,8 @@ def run_job(
     """One run. `now` (default: the start of the run, UTC) fixes the window and is the write time,
     so that a source update during the run is later than it and picked up next time.
 
-    `max_records=None` takes every new row. `drop` starts the target afresh. The scored rows are
-    checkpointed, so the model is asked once per row, the counts agree with what is written and
-    the state is read in full before the target changes.
+    `max_records=None` takes every new row. `drop` starts the target afresh.
     """
-    ensure_checkpoint_dir(spark)
     now = utc_now() if now is None else utc_naive(now)
     if drop:
         job.target.drop(spark)
@@ -250,10 +273,4 @@ def run_job(
     available = None
     if count_available:
         available = _join([df.select(job.target.key) for _, df in frames], job).count()
-
-    scored = enriched(frames, job, scorer, max_records).checkpoint()
-    counts = {row["reject_reason"]: row["count"] for row in scored.groupBy("reject_reason").count().collect()}
-    written = counts.pop(None, 0)
-    if written:
-        job.target.append(valid_rows(scored), now)
-    return Summary(written + sum(counts.values()), written, counts, available)
+    return replace(process(frames, job, scorer, max_records, now), available=available)

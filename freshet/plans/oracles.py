@@ -425,7 +425,9 @@ ORACLES: dict[str, str] = {
           where reject_reason is not null or last_update_time > timestamp '2024-01-16')
         select run, unnest(['available', 'scored']) as count_of, count(*) as n from runs group by run
         union all
-        select run, coalesce(reject_reason, 'written'), count(*) from runs group by run, reject_reason""",
+        select run, 'written', count(*) filter (reject_reason is null) from runs group by run
+        union all
+        select run, reject_reason, count(*) from runs where reject_reason is not null group by run, reject_reason""",
     ),
     "sentiment_job": _sentiment_runs(None),
     "sentiment_job_salted": _sentiment_runs(None),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -11,9 +13,36 @@ from pyspark.sql import types as T
 
 from freshet.functions.models import table_type
 from freshet.functions.times import partition_number, ts_literal
+from freshet.session import scratch_dir
 from freshet.sources.scan import load_table, scan_window
 
 
+def empty_folder(spark: SparkSession, path: str, fmt: str = "parquet") -> None:
+    """Remove the data files below a path. Overwriting by partition with no rows writes no file, so
+    the folder reads as missing."""
+    (
+        spark.createDataFrame([], "part int, value int")
+        .write.format(fmt)
+        .partitionBy("part")
+        .option("partitionOverwriteMode", "static")
+        .mode("overwrite")
+        .save(path)
+    )
+
+
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """The frame written once to the shared folder and read back; emptied again at the end.
+
+    Columnar and compressed, so that counting by one column reads that column only.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, "staged")
+    df.write.parquet(path)
+    yield spark.read.schema(df.schema).parquet(path)
+    empty_folder(spark, path)
+
+
 @dataclass(frozen=True)
 class Target:
     """A catalog table (`table`, optionally stored at `path`) or just a folder (`path`).
@@ -106,13 +135,5 @@ class Target:
         if self.table is not None:
             spark.sql(f"DROP TABLE IF EXISTS {self.table}")
         if self.path is not None and stored is not None:
-            # A table with its own location leaves its files behind. Overwriting by partition with
-            # no rows leaves a folder without any file, which reads as missing.
-            (
-                spark.createDataFrame([], stored.schema)
-                .write.format(self.fmt)
-                .partitionBy(self.ts)
-                .option("partitionOverwriteMode", "static")
-                .mode("overwrite")
-                .save(self.path)
-            )
+            # A table with its own location leaves its files behind.
+            empty_folder(spark, self.path, self.fmt)

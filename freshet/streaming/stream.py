@@ -9,8 +9,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from freshet.functions.times import utc_now
-from freshet.plans.jobs import Completer, Job, Native, run_job
+from freshet.functions.times import cutoff_before, utc_naive, utc_now
+from freshet.plans.jobs import Completer, Job, Native, new_frames, process
+from freshet.sources.scan import scan_window
 
 
 def start_stream(
@@ -24,19 +25,22 @@ def start_stream(
     """Run the job on each micro-batch of its first source; the other sources are read as they are.
 
     Without `every` (such as "30 minutes") the query works off what is there and ends. No batch is
-    sampled: rows left out would not come again. A batch replayed after a failure finds its rows
-    in the target, written later than their update, and skips them.
+    sampled: rows left out would not come again. For the same reason a batch that another source
+    holds up, by having no row in the window, fails the query: it is offered again on restart. A
+    batch replayed after a failure finds its rows in the target, written later than their update,
+    and skips them.
     """
 
     def enrich(batch: DataFrame, _: int) -> None:
+        now = utc_naive(clock())
+        cutoff = cutoff_before(now, job.hours)
         first = replace(job.sources[0], frame=batch, table=None, path=None)
-        run_job(
-            batch.sparkSession,
-            replace(job, sources=(first, *job.sources[1:])),
-            scorer,
-            max_records=None,
-            now=clock(),
-        )
+        this = replace(job, sources=(first, *job.sources[1:]))
+        frames = new_frames(batch.sparkSession, this, cutoff)
+        if frames:
+            process(frames, this, scorer, None, now)
+        elif not scan_window(batch, first.ts, cutoff).isEmpty():
+            raise RuntimeError("another source has no rows in the window; the batch is kept back")
 
     writer = stream.writeStream.foreachBatch(enrich).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)

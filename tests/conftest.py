@@ -5,8 +5,9 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
-# Python workers import the package too.
-os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("PYTHONPATH")]))
+# Python workers import the package and the tests' own functions too.
+paths = [ROOT, os.path.join(ROOT, "tests"), os.environ.get("PYTHONPATH")]
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, paths))
 
 
 @pytest.fixture(scope="session")
@@ -20,7 +21,8 @@ def spark(tmp_path_factory):
         **{
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "3",
+            "spark.default.parallelism": "3",
             "spark.checkpoint.dir": str(folder / "shared"),
             "spark.sql.warehouse.dir": str(folder / "warehouse"),
         },

@@ -1,0 +1,64 @@
+import hashlib
+
+import pytest
+from helpers import collected
+
+from freshet.operators.projection import project_exclude, project_include, recent_first
+from freshet.operators.sampling import sample_exact, sample_random
+
+N = 3000
+
+
+@pytest.fixture(scope="module")
+def numbers(spark):
+    return spark.range(N).selectExpr("id", "id % 7 as other")
+
+
+def smallest(k, seed):
+    keys = sorted((hashlib.md5(f"{seed}:{i}".encode()).hexdigest(), i) for i in range(N))
+    return sorted(i for _, i in keys[:k])
+
+
+@pytest.mark.parametrize("direct_rows", [1, 1_000_000])
+@pytest.mark.parametrize("k", [1, 2, 500, N - 1, N, N + 1])
+def test_exact_sample(numbers, k, direct_rows):
+    sample = sample_exact(numbers, k, ["id"], 7, direct_rows)
+    assert sample.columns == ["id", "other"]
+    assert sorted(row["id"] for row in sample.collect()) == smallest(min(k, N), 7)
+
+
+def test_sizes_at_the_ends(numbers):
+    assert sample_exact(numbers, 0, ["id"], 7).count() == 0
+    assert sample_exact(numbers.limit(0), 5, ["id"], 7, direct_rows=1).count() == 0
+    with pytest.raises(ValueError):
+        sample_exact(numbers, -1, ["id"], 7)
+
+
+def test_other_seeds_draw_other_rows(numbers):
+    assert collected(sample_exact(numbers, 50, ["id"], 7)) != collected(sample_exact(numbers, 50, ["id"], 8))
+
+
+def test_null_ids(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), (1, None)], "a long, b long")
+    assert sample_exact(df, 2, ["a", "b"], 1).count() == 2
+
+
+def test_random_sample(numbers):
+    drawn = sample_random(numbers, 100, ["id"])
+    first = collected(drawn)
+    assert len(set(first)) == 100
+    assert collected(drawn) == first
+    assert collected(sample_random(numbers, 100, ["id"])) != first
+
+
+def test_projections(spark):
+    df = spark.createDataFrame([(1, "x", 2.0)], "a int, `b.c` string, d double")
+    assert project_include(df, ["d", "a", "nothing"]).columns == ["a", "d"]
+    assert project_include(df, ["b.c"]).columns == ["b.c"]
+    assert project_include(df, []).columns == []
+    assert project_exclude(df, ["a", "nothing"]).columns == ["b.c", "d"]
+
+
+def test_recent_first(spark):
+    df = spark.sql("select * from values (1, date'2024-01-01'), (2, null), (3, date'2024-01-02') as t(id, ts)")
+    assert [row["id"] for row in recent_first(df, "ts", "id").collect()] == [3, 1, 2]
