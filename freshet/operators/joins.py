@@ -8,7 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.operators.skew import HOT_ROWS, fits_broadcast, hot_keys, salted_join
+from freshet.operators.sizing import fits_broadcast
+from freshet.operators.skew import HOT_ROWS, hot_keys, salted_join
 from freshet.sources.scan import scan_window
 
 

@@ -13,7 +13,6 @@ the rows and is joined whole.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -26,20 +25,6 @@ from freshet.session import ensure_checkpoint_dir
 MAX_HOT_KEYS = 100_000
 HOT_ROWS = 1_000_000
 
-_UNITS = {"": 1, "b": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark itself would broadcast this frame by its planned size.
-
-    Then the other side is not shuffled at all and no key can be hot.
-    """
-    setting = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m").lower()
-    number, unit = re.fullmatch(r"(-?\d+)\s*([bkmgt]?)b?", setting).groups()
-    planned = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return planned <= int(number) * _UNITS[unit]
-
-
 def hot_keys(frames: Sequence[DataFrame], key: str, hot_rows: int) -> DataFrame | None:
     """Keys with more than `hot_rows` rows in a frame or in the join of the first i frames; None if
     there are none. Counted right away and checkpointed.

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.operators.skew import HOT_ROWS, fits_broadcast, hot_keys, salted_anti_join
+from freshet.operators.sizing import fits_broadcast
+from freshet.operators.skew import HOT_ROWS, hot_keys, salted_anti_join
 
 
 def last_processed(target: DataFrame, key: str, ts: str, which: str = "latest") -> DataFrame:

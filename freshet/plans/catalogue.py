@@ -18,6 +18,7 @@ from freshet.operators.profile import result_profile
 from freshet.operators.projection import project_exclude, project_include, recent_first
 from freshet.operators.responses import flatten, parse_responses, valid_rows
 from freshet.operators.scoring import score_with
+from freshet.operators.sizing import spread_small
 from freshet.operators.state import incremental_filter, last_processed
 from freshet.plans import views
 from freshet.plans.jobs import Completer, Job, Native, run_job, select_rows
@@ -244,6 +245,10 @@ def sample_random(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Payloads
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_small(views.posts(spark, sf_dir))
+
+
 def fmt_iso_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = views.events(spark, sf_dir).select(F.col("event_id").alias("id"), "ts")
     posts = views.posts(spark, sf_dir).select(F.col("post_key").alias("id"), F.col("last_update_time").alias("ts"))
@@ -261,7 +266,7 @@ def payload_json_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payload_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts = views.posts(spark, sf_dir)
+    posts = _texts(spark, sf_dir)
     return posts.select("post_key", payload_json(posts, ["post_message", "lang"]).alias("payload"))
 
 
@@ -295,7 +300,7 @@ def response_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flatten_user_needs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested answers as JSON text, parsed and flattened."""
-    posts = views.posts(spark, sf_dir)
+    posts = _texts(spark, sf_dir)
     answers = posts.select("post_key", F.to_json(NEEDS_WORDS(F.col("post_message"))).alias("content"))
     return parse_responses(answers, USER_NEEDS)
 
@@ -304,12 +309,12 @@ def flatten_user_needs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enrich_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts = views.posts(spark, sf_dir)
+    posts = _texts(spark, sf_dir)
     return flatten(posts.select("post_key", SENTIMENT_WORDS(F.col("post_message")).alias("a")), "a", SENTIMENT)
 
 
 def enrich_user_needs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts = views.posts(spark, sf_dir)
+    posts = _texts(spark, sf_dir)
     return flatten(posts.select("post_key", NEEDS_WORDS(F.col("post_message")).alias("a")), "a", USER_NEEDS)
 
 
@@ -329,7 +334,7 @@ def rule_completer(prompt: str, payload: str) -> str:
 
 
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts = views.posts(spark, sf_dir)
+    posts = _texts(spark, sf_dir)
     asked = posts.select("post_key", payload_json(posts, ["post_type", "post_message", "n_chars"]).alias("payload"))
     return parse_responses(score_with(asked, rule_completer, SENTIMENT.prompt, workers=4), SENTIMENT, error="error")
 

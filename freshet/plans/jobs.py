@@ -17,7 +17,8 @@ from freshet.operators.projection import included
 from freshet.operators.responses import flatten, parse_responses, valid_rows
 from freshet.operators.sampling import random_seed, sample_exact
 from freshet.operators.scoring import Retry, score_with
-from freshet.operators.skew import HOT_ROWS, fits_broadcast
+from freshet.operators.sizing import fits_broadcast, spread_small
+from freshet.operators.skew import HOT_ROWS
 from freshet.operators.state import incremental_filter, last_processed
 from freshet.session import ensure_checkpoint_dir
 from freshet.sinks.target import Target, staged
@@ -176,14 +177,15 @@ def _owner(frames: list[DataFrame], include: Sequence[str]) -> int | None:
 def _score_then_join(frames: list[DataFrame], owner: int, job: Job, scorer: Native) -> DataFrame:
     """A native score depends on its own source's text only: score each text once and send the
     scores through the join, not the texts."""
-    texts = frames[owner]
+    texts = spread_small(frames[owner])
     answered = texts.select(
         *[f"`{name}`" for name in texts.columns if name not in job.include or name == job.target.key],
         scorer.of(texts, job.include).alias("_answer"),
     )
     joined = _join([*frames[:owner], answered, *frames[owner + 1 :]], job)
-    answer = F.coalesce("_answer", scorer.of_nothing()).alias("_answer")
-    return flatten(joined.select(answer, job.target.key), "_answer", job.model).withColumn(
+    # A row without a match has no text either.
+    answer = F.coalesce("_answer", scorer.of_nothing()) if owner > 0 else F.col("_answer")
+    return flatten(joined.select(answer.alias("_answer"), job.target.key), "_answer", job.model).withColumn(
         "reject_reason", F.lit(None).cast("string")
     )
 
@@ -223,9 +225,9 @@ def enriched(
         owner = _owner(needed, job.include) if isinstance(scorer, Native) else None
         if owner is not None:
             return _score_then_join(needed, owner, job, scorer)
-        return scorer.enrich(_join(needed, job), job)
+        return scorer.enrich(spread_small(_join(needed, job)), job)
     rows = _sampled(needed, ids, job, max_records)
-    # A sample ends up in one task; spread it out again before the costly part.
+    # A small sample ends up in one task; spread it out again before the costly part.
     return scorer.enrich(rows.repartition(rows.sparkSession.sparkContext.defaultParallelism), job)
 
 

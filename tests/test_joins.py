@@ -3,7 +3,7 @@ import random
 import pytest
 from helpers import collected
 
-from freshet.operators import skew
+from freshet.operators import sizing, skew
 from freshet.operators.joins import join_sources
 
 
@@ -74,14 +74,25 @@ def test_hot_keys_are_spread(spark):
 
 def test_large_sides_are_not_broadcast(spark):
     small = spark.sql("select * from values (1L, 'a'), (2L, 'b') as t(k, v)")
-    assert skew.fits_broadcast(small)
+    assert sizing.fits_broadcast(small)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert not skew.fits_broadcast(small)
+        assert not sizing.fits_broadcast(small)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_small_inputs_are_spread(spark):
+    small = spark.range(100).coalesce(1)
+    cores = spark.sparkContext.defaultParallelism
+    assert sizing.spread_small(small).rdd.getNumPartitions() == cores
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1b")
+    try:
+        assert sizing.spread_small(small).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_unsupported_join(spark):
     with pytest.raises(ValueError):
         join_sources([frame(spark, "l", LEFT), frame(spark, "r", RIGHT)], "k", "full", hot_rows=1, salt=True)
