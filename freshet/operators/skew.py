@@ -29,15 +29,15 @@ def hot_keys(frames: Sequence[DataFrame], key: str, hot_rows: int) -> DataFrame
     """Keys with more than `hot_rows` rows in a frame or in the join of the first i frames; None if
     there are none. Counted right away and checkpointed.
 
-    Columns: `_key`, `_rows_i` (rows of frame i) and `_joined_i` (rows after joining frames 0..i).
+    Columns: `_hot_key`, `_rows_i` (rows of frame i) and `_joined_i` (rows after joining frames 0..i).
     """
     ensure_checkpoint_dir(frames[0].sparkSession)
     tagged = reduce(
         DataFrame.union,
-        [df.select(F.col(key).alias("_key"), F.lit(i).alias("_i")) for i, df in enumerate(frames)],
+        [df.select(F.col(key).alias("_hot_key"), F.lit(i).alias("_frame")) for i, df in enumerate(frames)],
     )
-    counts = tagged.groupBy("_key").agg(
-        *[F.count_if(F.col("_i") == i).alias(f"_rows_{i}") for i in range(len(frames))]
+    counts = tagged.groupBy("_hot_key").agg(
+        *[F.count_if(F.col("_frame") == i).alias(f"_rows_{i}") for i in range(len(frames))]
     )
     joined = F.lit(1.0)
     sizes = []
@@ -62,7 +62,7 @@ def hot_keys(frames: Sequence[DataFrame], key: str, hot_rows: int) -> DataFrame
 
 def row_hash(df: DataFrame) -> Column:
     """A hash of the row's values: unlike a random salt it comes out the same when a lost task
-    is run again."""
+    is run again. Copies of a row stay together unless a column numbers them (`Source.number`)."""
     unhashable = (T.MapType, T.VariantType)
     return F.xxhash64(*[f"`{f.name}`" for f in df.schema if not isinstance(f.dataType, unhashable)])
 
@@ -87,36 +87,40 @@ def salted_join(
         raise ValueError(f"unsupported join type: {how!r}")
     pieces = F.broadcast(
         hot.select(
-            "_key",
-            _pieces(F.col(f"_joined_{step - 1}"), hot_rows).alias("_lp"),
-            _pieces(F.greatest(F.col(f"_rows_{step}"), F.lit(1)), hot_rows).alias("_rp"),
+            "_hot_key",
+            _pieces(F.col(f"_joined_{step - 1}"), hot_rows).alias("_left_pieces"),
+            _pieces(F.greatest(F.col(f"_rows_{step}"), F.lit(1)), hot_rows).alias("_right_pieces"),
         )
     )
-    one = F.lit(1).cast("long")
-    left_hash, right_hash = row_hash(left), row_hash(right)
+
+    def with_pieces(df: DataFrame) -> DataFrame:
+        sized = df.withColumn("_row_hash", row_hash(df)).join(pieces, F.col(key) == F.col("_hot_key"), "left")
+        one = F.lit(1).cast("long")
+        return sized.withColumns({n: F.coalesce(n, one) for n in ("_left_pieces", "_right_pieces")})
+
+    helpers = ("_hot_key", "_row_hash", "_left_pieces", "_right_pieces")
     # Null keys match nothing; left where they are they would all meet in one task.
-    own = F.when(F.col(key).isNull(), F.col("_h")).otherwise(F.pmod("_h", F.col("_lp")))
+    own = F.when(F.col(key).isNull(), F.col("_row_hash")).otherwise(F.pmod("_row_hash", "_left_pieces"))
     lhs = (
-        left.withColumn("_h", left_hash)
-        .join(pieces, F.col(key) == F.col("_key"), "left")
-        .withColumns({"_lp": F.coalesce("_lp", one), "_rp": F.coalesce("_rp", one)})
-        .withColumns({"_l": own, "_r": _each(F.col("_rp")), "_split": F.col("_rp") > 1})
-        .drop("_key", "_h", "_lp", "_rp")
+        with_pieces(left)
+        .withColumn("_left_piece", own)
+        .withColumn("_right_piece", _each(F.col("_right_pieces")))
+        .withColumn("_split", F.col("_right_pieces") > 1)
+        .drop(*helpers)
     )
     rhs = (
-        right.filter(F.col(key).isNotNull())
-        .withColumn("_h", right_hash)
-        .join(pieces, F.col(key) == F.col("_key"), "left")
-        .withColumns({"_lp": F.coalesce("_lp", one), "_rp": F.coalesce("_rp", one)})
-        .withColumns({"_r": F.pmod("_h", F.col("_rp")), "_l": _each(F.col("_lp")), "_hit": F.lit(True)})
-        .drop("_key", "_h", "_lp", "_rp")
+        with_pieces(right.filter(F.col(key).isNotNull()))
+        .withColumn("_right_piece", F.pmod("_row_hash", "_right_pieces"))
+        .withColumn("_left_piece", _each(F.col("_left_pieces")))
+        .withColumn("_matched", F.lit(True))
+        .drop(*helpers)
     )
-    joined = lhs.join(rhs, [key, "_l", "_r"], how)
+    joined = lhs.join(rhs, [key, "_left_piece", "_right_piece"], how)
     if how == "left":
         # A key cut on the right is there on the right, so each of its left rows has a match in
         # some piece; the pieces without one are copies to drop.
-        joined = joined.filter(~F.col("_split") | F.col("_hit").isNotNull())
-    return joined.drop("_l", "_r", "_split", "_hit")
+        joined = joined.filter(~F.col("_split") | F.col("_matched").isNotNull())
+    return joined.drop("_left_piece", "_right_piece", "_split", "_matched")
 
 
 def salted_anti_join(
@@ -127,18 +131,18 @@ def salted_anti_join(
     `hot` holds the hot keys of `df`. `state` has one row per key, so repeating it for the pieces of
     a hot key is cheap.
     """
-    pieces = F.broadcast(hot.select("_key", _pieces(F.col("_rows_0"), hot_rows).alias("_p")))
+    pieces = F.broadcast(hot.select("_hot_key", _pieces(F.col("_rows_0"), hot_rows).alias("_pieces")))
     one = F.lit(1).cast("long")
     lhs = (
-        df.withColumn("_h", row_hash(df))
-        .join(pieces, F.col(key).eqNullSafe(F.col("_key")), "left")
-        .withColumn("_l", F.pmod("_h", F.coalesce("_p", one)))
-        .drop("_key", "_h", "_p")
+        df.withColumn("_row_hash", row_hash(df))
+        .join(pieces, F.col(key).eqNullSafe(F.col("_hot_key")), "left")
+        .withColumn("_left_piece", F.pmod("_row_hash", F.coalesce("_pieces", one)))
+        .drop("_hot_key", "_row_hash", "_pieces")
     )
     rhs = (
-        state.join(pieces, F.col(state_key).eqNullSafe(F.col("_key")), "left")
-        .withColumn("_s", _each(F.coalesce("_p", one)))
-        .drop("_key", "_p")
+        state.join(pieces, F.col(state_key).eqNullSafe(F.col("_hot_key")), "left")
+        .withColumn("_state_piece", _each(F.coalesce("_pieces", one)))
+        .drop("_hot_key", "_pieces")
     )
-    on = F.col(key).eqNullSafe(F.col(state_key)) & (F.col("_l") == F.col("_s")) & condition
-    return lhs.join(rhs, on, "left_anti").drop("_l")
+    on = F.col(key).eqNullSafe(F.col(state_key)) & (F.col("_left_piece") == F.col("_state_piece")) & condition
+    return lhs.join(rhs, on, "left_anti").drop("_left_piece")

@@ -22,7 +22,7 @@ from freshet.operators.skew import HOT_ROWS
 from freshet.operators.state import incremental_filter, last_processed
 from freshet.session import ensure_checkpoint_dir
 from freshet.sinks.target import Target, staged
-from freshet.sources.scan import Source, check_same_key, read_sources
+from freshet.sources.scan import ROW_NUMBER, Source, check_same_key, read_sources
 
 # Sampled ids are broadcast up to this number.
 BROADCAST_ROWS = 100_000
@@ -125,10 +125,11 @@ class Completer:
 
 
 def new_frames(spark: SparkSession, job: Job, cutoff: datetime | None) -> list[tuple[Source, DataFrame]]:
-    """Each source cut by the window and by what the target holds already, before any join."""
+    """Each source cut by the window and by what the target holds already, before any join, its rows
+    numbered where they can be."""
     processed = job.target.load(spark, cutoff)
     warm = processed is not None and not processed.isEmpty()
-    alive = read_sources(spark, job.sources, cutoff, warm)
+    alive = [(source, source.number(df)) for source, df in read_sources(spark, job.sources, cutoff, warm)]
     if not warm:
         return alive
     state = last_processed(processed, job.target.key, job.target.ts, job.state)
@@ -141,7 +142,10 @@ def new_frames(spark: SparkSession, job: Job, cutoff: datetime | None) -> list[t
 def select_rows(spark: SparkSession, job: Job, cutoff: datetime | None = None) -> DataFrame | None:
     """The rows to enrich: new rows of each source, joined. None if a source rule leaves nothing."""
     frames = [df for _, df in new_frames(spark, job, cutoff)]
-    return _join(frames, job) if frames else None
+    if not frames:
+        return None
+    rows = _join(frames, job)
+    return rows.drop(*[name for name in rows.columns if name.startswith(ROW_NUMBER)])
 
 
 def _join(frames: list[DataFrame], job: Job) -> DataFrame:
@@ -154,12 +158,12 @@ def _needed(frames: list[tuple[Source, DataFrame]], job: Job) -> tuple[list[Data
     """The frames with only the columns the job needs, and the names that tell joined rows apart.
 
     Row ids are copied to names of their own, which a same-named column of another source cannot
-    replace in the join.
+    replace in the join. They also keep rows distinct that would otherwise become copies.
     """
     needed, ids = [], [job.target.key]
     for i, (source, df) in enumerate(frames):
-        own = {f"_id_{i}_{name}": name for name in source.row_id}
-        wanted = [name for name in df.columns if name == job.target.key or name in job.include]
+        own = {f"_id_{i}_{name}": name for name in source.ids()}
+        wanted = [name for name in df.columns if name in (job.target.key, ROW_NUMBER, *job.include)]
         copies = [F.col(f"`{name}`").alias(copy) for copy, name in own.items()]
         needed.append(df.select(*[f"`{name}`" for name in wanted], *copies))
         ids += own
@@ -274,5 +278,5 @@ def run_job(
         return Summary()
     available = None
     if count_available:
-        available = _join([df.select(job.target.key) for _, df in frames], job).count()
+        available = _join(_needed(frames, job)[0], job).count()
     return replace(process(frames, job, scorer, max_records, now), available=available)

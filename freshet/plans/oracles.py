@@ -190,9 +190,9 @@ _RULED = """
 def _sentiment_runs(limit: int | None) -> str:
     cut = ""
     if limit is not None:
-        key = f"md5(concat_ws(':', '{SEED}', coalesce(cast(post_key as varchar), ''), cast(event_id as varchar)))"
-        cut = f"order by {key}, post_key nulls first, event_id limit {limit}"
-    joined = "select r.post_key, r.event_id, p.post_message from {r} r left join {p} p on r.post_key = p.post_key"
+        ids = "coalesce(cast(post_key as varchar), ''), cast(event_id as varchar), coalesce(cast(posted_at as varchar), '')"
+        cut = f"order by md5(concat_ws(':', '{SEED}', {ids})), event_id limit {limit}"
+    joined = "select r.post_key, r.event_id, p.post_message, p.last_update_time as posted_at from {r} r left join {p} p on r.post_key = p.post_key"
     return _with(
         "posts reactions",
         f"""

@@ -14,6 +14,10 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Files are smaller than the rows in them; sizes decide what is broadcast.
+    "spark.sql.sources.fileCompressionFactor": "3.0",
+    # Without recording the Python line of every column expression, plans are built faster.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # A speculative copy of a scoring task would call the model a second time.
     "spark.speculation": "false",
@@ -35,14 +39,13 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session, where driver and executors are one process, may fall back to a
     temporary folder of its own.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    named = tempfile.mkdtemp(prefix="freshet-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="freshet-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 from freshet.functions.times import ts_literal
 
 
+ROW_NUMBER = "_row_number"
+
+
 def load_table(
     spark: SparkSession, table: str | None = None, path: str | None = None, fmt: str = "parquet"
 ) -> DataFrame | None:
@@ -32,8 +35,8 @@ def load_table(
 class Source:
     """One input table: where it is, its key and its update time.
 
-    `row_id` names further columns that, with the key, tell rows of the table apart; sampling
-    after a join uses them.
+    `row_id` names further columns that, with the key, tell rows of the table apart; by default the
+    update time. Sampling after a join uses them.
     """
 
     key: str
@@ -44,6 +47,22 @@ class Source:
     fmt: str = "parquet"
     row_id: tuple[str, ...] = ()
 
+    def ids(self) -> tuple[str, ...]:
+        return self.row_id or (self.ts,)
+
+    def number(self, df: DataFrame) -> DataFrame:
+        """Number the rows of a scan, for joins to spread copies of a row by.
+
+        Read straight from files, a lost task's rows get the same numbers when it is run again. That
+        does not hold behind a shuffle, as a view or a frame of the caller's may have one.
+        """
+        if self.frame is not None:
+            return df
+        stored = ("MANAGED", "EXTERNAL")
+        if self.table is not None and df.sparkSession.catalog.getTable(self.table).tableType not in stored:
+            return df
+        return df.withColumn(ROW_NUMBER, F.monotonically_increasing_id())
+
     def load(self, spark: SparkSession) -> DataFrame | None:
         if self.frame is not None:
             return self.frame

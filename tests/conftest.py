@@ -23,6 +23,8 @@ def spark(tmp_path_factory):
             "spark.driver.memory": "4g",
             "spark.sql.shuffle.partitions": "3",
             "spark.default.parallelism": "3",
+            # Compiling takes longer than running on test data.
+            "spark.sql.codegen.wholeStage": "false",
             "spark.checkpoint.dir": str(folder / "shared"),
             "spark.sql.warehouse.dir": str(folder / "warehouse"),
         },

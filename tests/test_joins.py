@@ -5,6 +5,7 @@ from helpers import collected
 
 from freshet.operators import sizing, skew
 from freshet.operators.joins import join_sources
+from freshet.sources.scan import Source
 
 
 def frame(spark, name, rows):
@@ -82,6 +83,18 @@ def test_large_sides_are_not_broadcast(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_copies_of_a_row_are_spread_by_their_number(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1,)] * 600, "k long").write.parquet(path)
+    source = Source("k", "ts", path=path)
+    numbered = source.number(source.load(spark))
+    assert numbered.select(skew.row_hash(numbered).alias("h")).distinct().count() == 600
+    plain = frame(spark, "v", [(1, "x")])
+    assert Source("k", "ts", frame=plain).number(plain).columns == ["k", "v"]
+    plain.createOrReplaceTempView("a_view")
+    assert Source("k", "ts", table="a_view").number(plain).columns == ["k", "v"]
+
+
 def test_small_inputs_are_spread(spark):
     small = spark.range(100).coalesce(1)
     cores = spark.sparkContext.defaultParallelism
