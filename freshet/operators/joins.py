@@ -37,7 +37,7 @@ def join_sources(
     how: str = "left",
     prefer: str = "left",
     hot_rows: int = HOT_ROWS,
-    salt: bool | None = None,
+    large: bool | None = None,
 ) -> DataFrame:
     """Fold the frames into one by equi joins on `key`; null keys match nothing.
 
@@ -45,18 +45,18 @@ def join_sources(
     Same-named columns of later frames get a suffix; `prefer="right"` keeps the last one's value
     under the plain name instead.
 
-    With a right side too large to broadcast, the hot keys are joined in pieces (`salt` forces the
-    choice); see `freshet.operators.skew`.
+    With a right side too large to broadcast (`large` forces the choice), the hot keys are joined in
+    pieces; see `freshet.operators.skew`.
     """
     if prefer not in ("left", "right"):
         raise ValueError(f"prefer must be 'left' or 'right', got {prefer!r}")
     frames = list(frames)
     renamed = with_suffixes(frames, key)
-    salted = [salt if salt is not None else not fits_broadcast(df) for df in renamed[1:]]
-    hot = hot_keys(renamed, key, hot_rows) if any(salted) else None
+    shuffled = [large if large is not None else not fits_broadcast(df) for df in renamed[1:]]
+    hot = hot_keys(renamed, key, hot_rows) if any(shuffled) else None
     joined = renamed[0]
     for step, df in enumerate(renamed[1:], start=1):
-        if salted[step - 1] and hot is not None:
+        if shuffled[step - 1] and hot is not None:
             joined = salted_join(joined, df, key, hot, step, how, hot_rows)
         else:
             joined = joined.join(df, key, how)

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from freshet.operators.sizing import fits_broadcast
 from freshet.operators.skew import HOT_ROWS, hot_keys, salted_anti_join
+from freshet.session import ensure_checkpoint_dir
+
+# Keys with something new are broadcast up to this number.
+MAX_PENDING = 500_000
 
 
 def last_processed(target: DataFrame, key: str, ts: str, which: str = "latest") -> DataFrame:
@@ -17,19 +21,59 @@ def last_processed(target: DataFrame, key: str, ts: str, which: str = "latest")
     return target.groupBy(F.col(key).alias("state_key")).agg(pick(ts).alias("state_ts"))
 
 
+def pending_keys(df: DataFrame, state: DataFrame, key: str, ts: str, most: int) -> DataFrame | None:
+    """The keys with a new row, and when they were processed last; None if more than `most`.
+
+    Both sides of the join hold one row per key and no text. Looked up right away and checkpointed.
+    """
+    if most < 1:
+        return None
+    ensure_checkpoint_dir(df.sparkSession)
+    newest = df.groupBy(F.col(key).alias("_pending_key")).agg(F.max(ts).alias("_newest"))
+    pending = (
+        newest.join(state, F.col("_pending_key").eqNullSafe(F.col("state_key")), "left")
+        .filter(F.col("state_ts").isNull() | (F.col("_newest") > F.col("state_ts")))
+        .select("_pending_key", "state_ts")
+        .limit(most + 1)
+        .checkpoint()
+    )
+    return pending if pending.count() <= most else None
+
+
 def incremental_filter(
-    df: DataFrame, state: DataFrame, key: str, ts: str, hot_rows: int = HOT_ROWS, salt: bool | None = None
+    df: DataFrame,
+    state: DataFrame,
+    key: str,
+    ts: str,
+    hot_rows: int = HOT_ROWS,
+    large: bool | None = None,
+    max_pending: int = MAX_PENDING,
 ) -> DataFrame:
     """Rows whose key was never processed or whose update is later than that.
 
     An update at the very time of processing counts as done; a null key is a key like any other.
-    With a state too large to broadcast, the hot keys of `df` are joined in pieces (`salt` forces
-    the choice).
+
+    A state small enough to broadcast is. Otherwise (`large` forces the choice) the keys with
+    something new are found first, from key and time alone. Few of them, as in a regular run, are
+    broadcast and the rows are cut where they are read, without a shuffle; with many, as after a
+    long break, rows and state are joined by key, the hot keys in pieces.
     """
-    done = F.col(ts) <= F.col("state_ts")
-    if salt is None:
-        salt = not fits_broadcast(state)
-    hot = hot_keys([df], key, hot_rows) if salt else None
+    if large is None:
+        large = not fits_broadcast(state)
+    same_key, done = F.col(key).eqNullSafe(F.col("state_key")), F.col(ts) <= F.col("state_ts")
+    if not large:
+        return df.join(state, same_key & done, "left_anti")
+
+    pending = pending_keys(df, state, key, ts, max_pending)
+    if pending is not None:
+        new = F.col(key).eqNullSafe(F.col("_pending_key")) & (F.col("state_ts").isNull() | ~done)
+        return df.join(F.broadcast(pending), new, "left_semi")
+
+    hot = hot_keys([df], key, hot_rows)
     if hot is not None:
         return salted_anti_join(df, state, key, "state_key", done, hot, hot_rows)
-    return df.join(state, F.col(key).eqNullSafe(F.col("state_key")) & done, "left_anti")
+    # Joined on the bare key, the rows stay partitioned by it for the joins to come. The null key
+    # has one time at most.
+    null_done = state.filter(F.col("state_key").isNull()).select("state_ts").scalar()
+    kept = df.join(state, (F.col(key) == F.col("state_key")) & done, "left_anti")
+    return kept.filter(F.col(key).isNotNull() | null_done.isNull() | (F.col(ts) > null_done))

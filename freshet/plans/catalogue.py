@@ -161,12 +161,15 @@ def incremental_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental_filter(views.reactions(spark, sf_dir), state, "post_key", "last_update_time")
 
 
-def incremental_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As `incremental_null_key`, joined as for a state too large to broadcast."""
-    state = last_processed(views.processed_nullkey(spark, sf_dir), "post_key", "written_at")
-    return incremental_filter(
-        views.reactions(spark, sf_dir), state, "post_key", "last_update_time", hot_rows=TEST_HOT_ROWS, salt=True
-    )
+def _large_state(**options) -> Callable[[SparkSession, str], DataFrame]:
+    """`incremental_null_key`, done as for a state too large to broadcast."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        state = last_processed(views.processed_nullkey(spark, sf_dir), "post_key", "written_at")
+        reactions = views.reactions(spark, sf_dir)
+        return incremental_filter(reactions, state, "post_key", "last_update_time", large=True, **options)
+
+    return query
 
 
 # Joins
@@ -189,7 +192,7 @@ def join_left_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`join_left_three`, from the side with null keys, joined as for sources too large to
     broadcast."""
     frames = [views.reactions(spark, sf_dir), _without_text(spark, sf_dir), views.quality(spark, sf_dir)]
-    return joins.join_sources(frames, "post_key", hot_rows=TEST_HOT_ROWS, salt=True)
+    return joins.join_sources(frames, "post_key", hot_rows=TEST_HOT_ROWS, large=True)
 
 
 def join_salted_both_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +200,7 @@ def join_salted_both_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     reactions = views.reactions(spark, sf_dir)
     clicks = reactions.filter(F.col("event_type") == "click").select("post_key", F.col("event_id").alias("click_id"))
     errors = reactions.filter(F.col("event_type") == "error").select("post_key", F.col("event_id").alias("error_id"))
-    return joins.join_sources([clicks, errors], "post_key", hot_rows=5, salt=True)
+    return joins.join_sources([clicks, errors], "post_key", hot_rows=5, large=True)
 
 
 def join_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -437,7 +440,7 @@ def sentiment_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sentiment_job_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`sentiment_job` with every join done as for tables too large to broadcast."""
-    job = _sentiment_job(spark, sf_dir, salt=True, hot_rows=TEST_HOT_ROWS)
+    job = _sentiment_job(spark, sf_dir, large=True, hot_rows=TEST_HOT_ROWS)
     return _two_runs(spark, job, Native(SENTIMENT_WORDS))
 
 
@@ -448,7 +451,7 @@ def sentiment_job_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sentiment_job_sampled_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for large tables: ids are joined and sampled first, texts fetched afterwards."""
-    job = _sentiment_job(spark, sf_dir, salt=True, hot_rows=TEST_HOT_ROWS)
+    job = _sentiment_job(spark, sf_dir, large=True, hot_rows=TEST_HOT_ROWS)
     return _two_runs(spark, job, Native(SENTIMENT_WORDS), 2_000)
 
 
@@ -524,7 +527,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_latest": incremental_latest,
     "incremental_oldest": incremental_oldest,
     "incremental_null_key": incremental_null_key,
-    "incremental_salted": incremental_salted,
+    "incremental_pending": _large_state(),
+    "incremental_shuffled": _large_state(max_pending=0),
+    "incremental_salted": _large_state(max_pending=0, hot_rows=TEST_HOT_ROWS),
     "join_left_two": join_left_two,
     "join_left_three": join_left_three,
     "join_left_salted": join_left_salted,

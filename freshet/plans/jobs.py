@@ -34,7 +34,7 @@ class Job:
 
     `seed` fixes the sample; without one every run draws a fresh one. `state` is the write time that
     counts for a key written several times: its latest or its oldest. Of same-named columns the last
-    source's is sent, unless `prefer` says left. `salt` and `hot_rows` are those of the joins.
+    source's is sent, unless `prefer` says left. `large` and `hot_rows` are those of the joins.
     """
 
     sources: tuple[Source, ...]
@@ -47,7 +47,7 @@ class Job:
     state: str = "latest"
     prefer: str = "right"
     hot_rows: int = HOT_ROWS
-    salt: bool | None = None
+    large: bool | None = None
 
     def __post_init__(self):
         check_same_key(self.sources)
@@ -134,7 +134,7 @@ def new_frames(spark: SparkSession, job: Job, cutoff: datetime | None) -> list[t
         return alive
     state = last_processed(processed, job.target.key, job.target.ts, job.state)
     return [
-        (source, incremental_filter(df, state, source.key, source.ts, job.hot_rows, job.salt))
+        (source, incremental_filter(df, state, source.key, source.ts, job.hot_rows, job.large))
         for source, df in alive
     ]
 
@@ -150,7 +150,7 @@ def select_rows(spark: SparkSession, job: Job, cutoff: datetime | None = None) -
 
 def _join(frames: list[DataFrame], job: Job) -> DataFrame:
     return join_sources(
-        frames, job.target.key, prefer=job.prefer, hot_rows=job.hot_rows, salt=job.salt
+        frames, job.target.key, prefer=job.prefer, hot_rows=job.hot_rows, large=job.large
     )
 
 
@@ -203,7 +203,7 @@ def _sampled(frames: list[DataFrame], ids: list[str], job: Job, k: int) -> DataF
     Being part of the full join and holding all of its sample, that has the same sample.
     """
     seed = random_seed() if job.seed is None else job.seed
-    large = job.salt or (job.salt is None and not all(fits_broadcast(df) for df in frames[1:]))
+    large = job.large or (job.large is None and not all(fits_broadcast(df) for df in frames[1:]))
     if large and k > 0:
         ensure_checkpoint_dir(frames[0].sparkSession)
         narrow = [df.select(*[f"`{name}`" for name in df.columns if name in ids]) for df in frames]

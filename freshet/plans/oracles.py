@@ -304,12 +304,12 @@ ORACLES: dict[str, str] = {
     "state_oldest": _with("processed", f"select * from {_state('min')}"),
     "incremental_latest": _with("reactions processed", _new("reactions", _state("max"))),
     "incremental_oldest": _with("reactions processed", _new("reactions", _state("min"))),
-    "incremental_null_key": _with(
-        "reactions processed processed_nullkey", _new("reactions", _state("max", "processed_nullkey"))
-    ),
-    "incremental_salted": _with(
-        "reactions processed processed_nullkey", _new("reactions", _state("max", "processed_nullkey"))
-    ),
+    **{
+        f"incremental_{name}": _with(
+            "reactions processed processed_nullkey", _new("reactions", _state("max", "processed_nullkey"))
+        )
+        for name in ("null_key", "pending", "shuffled", "salted")
+    },
     "join_left_two": _with("posts reactions", _JOIN_LEFT_TWO),
     "join_left_three": _with(
         "posts reactions quality",

@@ -126,9 +126,9 @@ def test_large_tables_give_the_same_result(spark, tmp_path, max_records, message
     texts = posts(spark, [(k, at(8), ("good " * (k % 3) + "bad " * (k % 2) + str(k))) for k in range(0, 12, 2)] * 2)
     frames = [texts, many] if message_on_the_left else [many, texts]
     stored = []
-    for salt in (False, True):
-        place = Target("k", "written_at", path=str(tmp_path / str(salt)))
-        job = job_on(place, *frames, salt=salt, hot_rows=3)
+    for large in (False, True):
+        place = Target("k", "written_at", path=str(tmp_path / str(large)))
+        job = job_on(place, *frames, large=large, hot_rows=3)
         run_job(spark, job, WORDS, max_records, now=at(12))
         stored.append(collected(place.load(spark)))
     assert stored[0] == stored[1]

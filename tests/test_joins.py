@@ -30,10 +30,10 @@ LEFT = [(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e"), (None, "f")]
 RIGHT = [(1, "x"), (1, "y"), (2, "z"), (4, "w"), (None, "n")]
 
 
-@pytest.mark.parametrize("salt", [False, True])
+@pytest.mark.parametrize("large", [False, True])
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_two_frames(spark, how, salt):
-    joined = join_sources([frame(spark, "l", LEFT), frame(spark, "r", RIGHT)], "k", how, hot_rows=1, salt=salt)
+def test_two_frames(spark, how, large):
+    joined = join_sources([frame(spark, "l", LEFT), frame(spark, "r", RIGHT)], "k", how, hot_rows=1, large=large)
     assert collected(joined) == brute([LEFT, RIGHT], how)
 
 
@@ -49,21 +49,21 @@ def test_salted_fold_with_hot_keys(spark, how, hot_rows):
 
     data = [rows(60, 0.3), rows(50, 0.3), rows(20, 0.2)]
     frames = [frame(spark, name, d) for name, d in zip("abc", data)]
-    joined = join_sources(frames, "k", how, hot_rows=hot_rows, salt=True)
+    joined = join_sources(frames, "k", how, hot_rows=hot_rows, large=True)
     assert collected(joined) == brute(data, how)
 
 
 def test_a_key_hot_only_on_the_right_or_missing_there(spark):
     left = [(1, "a"), (2, "b"), (3, "c")]
     right = [(1, f"x{i}") for i in range(50)] + [(5, f"y{i}") for i in range(50)]
-    joined = join_sources([frame(spark, "l", left), frame(spark, "r", right)], "k", hot_rows=3, salt=True)
+    joined = join_sources([frame(spark, "l", left), frame(spark, "r", right)], "k", hot_rows=3, large=True)
     assert collected(joined) == brute([left, right], "left")
 
 
 def test_no_hot_keys_gives_a_plain_join(spark):
     frames = [frame(spark, "l", LEFT), frame(spark, "r", RIGHT)]
     assert skew.hot_keys(frames, "k", 100) is None
-    joined = join_sources(frames, "k", salt=True)
+    joined = join_sources(frames, "k", large=True)
     assert "xxhash64" not in joined._jdf.queryExecution().toString()
 
 
@@ -108,7 +108,7 @@ def test_small_inputs_are_spread(spark):
 
 def test_unsupported_join(spark):
     with pytest.raises(ValueError):
-        join_sources([frame(spark, "l", LEFT), frame(spark, "r", RIGHT)], "k", "full", hot_rows=1, salt=True)
+        join_sources([frame(spark, "l", LEFT), frame(spark, "r", RIGHT)], "k", "full", hot_rows=1, large=True)
 
 
 def test_same_named_columns(spark):

@@ -3,7 +3,7 @@ import random
 import pytest
 from helpers import at, collected
 
-from freshet.operators.state import incremental_filter, last_processed
+from freshet.operators.state import incremental_filter, last_processed, pending_keys
 
 ROWS = [(1, at(10)), (1, at(12)), (2, at(10)), (3, at(10)), (None, at(10)), (None, at(13)), (4, at(10))]
 STATE = [(1, at(10)), (1, at(11)), (2, at(10)), (4, at(9)), (4, at(11)), (9, at(20))]
@@ -23,13 +23,21 @@ def expected(rows, state, pick):
     return sorted([(k, ts) for k, ts in rows if k not in times or ts > pick(times[k])], key=repr)
 
 
-@pytest.mark.parametrize("salt", [False, True])
+WAYS = {
+    "broadcast": {"large": False},
+    "pending": {"large": True},
+    "shuffled": {"large": True, "max_pending": 1},
+    "salted": {"large": True, "max_pending": 0, "hot_rows": 1},
+}
+
+
+@pytest.mark.parametrize("way", WAYS)
 @pytest.mark.parametrize("which, pick", [("latest", max), ("oldest", min)])
 @pytest.mark.parametrize("null_in_state", [False, True])
-def test_filter(spark, salt, which, pick, null_in_state):
+def test_filter(spark, way, which, pick, null_in_state):
     state = STATE + [(None, at(12))] * null_in_state
     df, done = frames(spark, ROWS, state)
-    kept = incremental_filter(df, last_processed(done, "k", "written", which), "k", "ts", hot_rows=1, salt=salt)
+    kept = incremental_filter(df, last_processed(done, "k", "written", which), "k", "ts", **WAYS[way])
     assert collected(kept) == expected(ROWS, state, pick)
 
 
@@ -54,5 +62,13 @@ def test_salted_filter_with_a_hot_key(spark, hot_rows):
     rows = [(rng.choice([1, 1, 1, None, rng.randrange(50)]), at(rng.randrange(24))) for _ in range(400)]
     state = [(rng.choice([1, None, rng.randrange(50)]), at(rng.randrange(24))) for _ in range(60)]
     df, done = frames(spark, rows, state)
-    kept = incremental_filter(df, last_processed(done, "k", "written"), "k", "ts", hot_rows=hot_rows, salt=True)
+    kept = incremental_filter(df, last_processed(done, "k", "written"), "k", "ts", hot_rows, True, max_pending=0)
     assert collected(kept) == expected(rows, state, max)
+
+
+def test_pending_keys(spark):
+    df, done = frames(spark, ROWS, STATE)
+    state = last_processed(done, "k", "written")
+    assert collected(pending_keys(df, state, "k", "ts", 3)) == [(1, at(11)), (3, None), (None, None)]
+    assert pending_keys(df, state, "k", "ts", 2) is None
+    assert pending_keys(df, state, "k", "ts", 0) is None
