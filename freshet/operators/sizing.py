@@ -28,6 +28,12 @@ def fits_broadcast(df: DataFrame) -> bool:
     return planned_bytes(df) <= bytes_setting(df, "spark.sql.autoBroadcastJoinThreshold", "10m")
 
 
+def fits_task(df: DataFrame) -> bool:
+    """Whether the whole frame is no larger than what AQE lets a single task have."""
+    setting = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
+    return planned_bytes(df) <= bytes_setting(df, setting, "256m")
+
+
 def spread_small(df: DataFrame) -> DataFrame:
     """Spread an input over all cores ahead of costly work per row, if it has less than one full
     file split for each; a larger one comes in enough pieces and is not shuffled."""

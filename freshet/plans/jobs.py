@@ -17,7 +17,7 @@ from freshet.operators.projection import included
 from freshet.operators.responses import flatten, parse_responses, valid_rows
 from freshet.operators.sampling import random_seed, sample_exact
 from freshet.operators.scoring import Retry, score_with
-from freshet.operators.sizing import fits_broadcast, spread_small
+from freshet.operators.sizing import fits_task, spread_small
 from freshet.operators.skew import HOT_ROWS
 from freshet.operators.state import incremental_filter, last_processed
 from freshet.session import ensure_checkpoint_dir
@@ -197,13 +197,15 @@ def _score_then_join(frames: list[DataFrame], owner: int, job: Job, scorer: Nati
 def _sampled(frames: list[DataFrame], ids: list[str], job: Job, k: int) -> DataFrame:
     """At most k joined rows.
 
-    Where a side is too large to broadcast, texts would be shuffled only to drop nearly all of
-    them. So the ids alone are joined and sampled first; then each frame is cut to the ids in that
-    sample, broadcast up to BROADCAST_ROWS of them, and only what is left is joined with its texts.
-    Being part of the full join and holding all of its sample, that has the same sample.
+    With large sources, texts would be shuffled only to drop nearly all of them. So the ids alone
+    are joined and sampled first; then each frame is cut to the ids in that sample, broadcast up to
+    BROADCAST_ROWS of them, and only what is left is joined with its texts. Being part of the full
+    join and holding all of its sample, that has the same sample.
     """
     seed = random_seed() if job.seed is None else job.seed
-    large = job.large or (job.large is None and not all(fits_broadcast(df) for df in frames[1:]))
+    large = job.large
+    if large is None:
+        large = not all(fits_task(df) for df in frames)
     if large and k > 0:
         ensure_checkpoint_dir(frames[0].sparkSession)
         narrow = [df.select(*[f"`{name}`" for name in df.columns if name in ids]) for df in frames]
