@@ -34,7 +34,6 @@ def pending_keys(df: DataFrame, state: DataFrame, key: str, ts: str, most: int)
         newest.join(state, F.col("_pending_key").eqNullSafe(F.col("state_key")), "left")
         .filter(F.col("state_ts").isNull() | (F.col("_newest") > F.col("state_ts")))
         .select("_pending_key", "state_ts")
-        .limit(most + 1)
         .checkpoint()
     )
     return pending if pending.count() <= most else None

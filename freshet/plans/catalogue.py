@@ -196,7 +196,7 @@ def join_left_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_salted_both_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reactions to reactions of the same post and type: hot on either side."""
+    """Clicks with the errors of the same post: hot on either side."""
     reactions = views.reactions(spark, sf_dir)
     clicks = reactions.filter(F.col("event_type") == "click").select("post_key", F.col("event_id").alias("click_id"))
     errors = reactions.filter(F.col("event_type") == "error").select("post_key", F.col("event_id").alias("error_id"))
