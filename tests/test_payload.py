@@ -1,4 +1,5 @@
 import json
+import random
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -115,3 +116,22 @@ def test_partition_numbers(spark):
     assert [tuple(row) for row in got] == [(0, 0, 0), (54, 650, 19787), (-1, -1, -1)]
     with pytest.raises(ValueError):
         partition_number(F.col("t"), "hour")
+
+
+def test_any_text(spark):
+    rng = random.Random(3)
+    pools = [range(128), range(0x80, 0x250), range(0x3000, 0x3100), range(0x1F300, 0x1F700), [0x5C, 0x22, 0x75, 0x2F]]
+    texts = ["".join(chr(rng.choice(rng.choice(pools))) for _ in range(rng.randrange(40))) for _ in range(500)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i")
+    assert payloads(df, ["t"]) == [json.dumps({"t": t}) for t in texts]
+
+
+def test_any_number(spark):
+    """The same value always; the same text but for a rare digit too many on older JDKs."""
+    rng = random.Random(4)
+    values = [rng.choice([-1, 1]) * round(rng.random() * 10, rng.randrange(1, 16)) * 10.0 ** rng.randrange(-30, 30) for _ in range(500)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(values)], "i int, x double").orderBy("i")
+    texts = payloads(df, ["x"])
+    assert [json.loads(text)["x"] for text in texts] == values
+    same = sum(text == json.dumps({"x": x}) for text, x in zip(texts, values))
+    assert same > 0.9 * len(values)

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 
@@ -116,3 +117,60 @@ def test_flat_columns_survive_parquet(spark, tmp_path):
 def test_a_model_of_one_s_own(spark):
     model = Model("own", "?", (Field("n", int), Field("ok", bool), Field("deep", fields=(Field("x", fields=(Field("y", str),)),))))
     assert model.result_schema().simpleString() == "struct<n:bigint,ok:boolean,deep.x:struct<y:string>>"
+
+
+def judged(content):
+    """The rules once more, in plain Python."""
+    if not content:
+        return "empty_content"
+    try:
+        answer = json.loads(content, parse_constant=lambda _: 1 / 0)
+    except (ValueError, ZeroDivisionError):
+        return "invalid_json"
+    if not isinstance(answer, dict):
+        return "invalid_json"
+    if not answer:
+        return "empty_object"
+    if "" in answer:
+        return "empty_key"
+    numbers = [answer.get("score"), answer.get("confidence")]
+    if any(isinstance(n, bool) or not isinstance(n, (int, float, type(None))) for n in numbers):
+        return "type_mismatch"
+    label = answer.get("sentiment")
+    if not isinstance(label, (str, type(None))):
+        return "type_mismatch"
+    if label is not None and label not in ("positive", "negative", "neutral"):
+        return "domain"
+    return "missing_field" if None in numbers or label is None else None
+
+
+def test_damaged_answers(spark):
+    rng = random.Random(5)
+    whole = [
+        GOOD,
+        '{"score": -1, "sentiment": "neutral", "confidence": null, "x": [1, {"": 2}]}',
+        '{"score": "1", "sentiment": "neutral", "confidence": 1}',
+        '{"score": 1, "sentiment": ["neutral"], "confidence": true}',
+        '{"": 1, "score": 1}',
+        "{ }",
+    ]
+    contents = []
+    for _ in range(1500):
+        text = list(rng.choice(whole))
+        for _ in range(rng.randrange(1, 4)):
+            at = rng.randrange(len(text))
+            kind = rng.randrange(3)
+            if kind == 0:
+                del text[at : at + rng.choice([1, 1, 2, 12])]
+            elif kind == 1:
+                text.insert(at, rng.choice('{}[]",:019.-eE \n\\tnul'))
+            else:
+                text.append(rng.choice('{}[]", \nx'))
+            if not text:
+                break
+        contents.append("".join(text))
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(contents)], "id int, content string")
+    got = {row["id"]: row["reject_reason"] for row in parse_responses(df, SENTIMENT).collect()}
+    wrong = [(c, got[i], judged(c)) for i, c in enumerate(contents) if got[i] != judged(c)]
+    assert wrong == []
+    assert set(got.values()) >= {None, *REASONS} - {"call_error", "empty_content"}
