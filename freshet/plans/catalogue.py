@@ -284,7 +284,7 @@ def prompt_messages_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def response_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every answer with its result or the reason it is rejected."""
-    return parse_responses(views.answers(spark, sf_dir), SENTIMENT, error="error")
+    return parse_responses(spread_small(views.answers(spark, sf_dir)), SENTIMENT, error="error")
 
 
 def response_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
