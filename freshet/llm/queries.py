@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freshet.llm import exact_dedup, mixing, packing, simhash, toxicity
+from freshet.llm import exact_dedup, html_text, mixing, packing, pii, quality_rules, simhash, suffix_dedup, toxicity, warc
 from freshet.llm.frames import read
 
 
+def op1_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.ledger(read(spark, sf_dir, "documents"))
+    kept = quality_rules.passes(quality_rules.CORPUS)
+    base_failed = ~quality_rules.passes(quality_rules.BASE)
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        base_failed.alias("base_failed"), (~base_failed & kept).alias("kept"), "failed",
+    )
+
+
 def op2_toxicity_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     machine = toxicity.train(docs, read(spark, sf_dir, "labels"))
@@ -24,20 +34,167 @@ def op4_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_boosted_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, found = pii.find(read(spark, sf_dir, "documents"))
+    return pii.digest(rows, found).drop("_row")
+
+
+def op6_deep_shallow_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.passages(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op7_zstd_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(warc.archived(read(spark, sf_dir, "pages")))
+
+
 def op8_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(read(spark, sf_dir, "documents")))
 
 
+def op9_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
 def op10_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_toxicity_machine, op3_pattern_packing, op4_chunk_recipes, op8_simhash_blocks, op10_sainte_lague)
+    for f in (
+        op1_rule_ledger,
+        op2_toxicity_machine,
+        op3_pattern_packing,
+        op4_chunk_recipes,
+        op5_boosted_spans,
+        op6_deep_shallow_suffixes,
+        op7_zstd_archives,
+        op8_simhash_blocks,
+        op9_layout_text,
+        op10_sainte_lague,
+    )
 }
 
 ORACLES = {
+    "op1_rule_ledger": r"""
+        with texts as (
+            select doc_id, coalesce(text, '') as t,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws
+            from documents
+        ), windows as (
+            select doc_id, i, count(*) over (partition by doc_id, ws[i], ws[i + 1], ws[i + 2]) as times
+            from (select doc_id, ws, unnest(range(1, len(ws) - 1)) as i from texts)
+        ), repeats as (
+            select doc_id, count(distinct p) as n_repeat_words
+            from (select doc_id, unnest([i, i + 1, i + 2]) as p from windows where times > 1)
+            group by doc_id
+        ), lines as (
+            select doc_id, count(*) as n_lines, count(*) - count(distinct line) as n_dup_lines
+            from (select doc_id, unnest(string_split(t, chr(10))) as line from texts)
+            where regexp_matches(line, '[^\x20\x09-\x0D]')
+            group by doc_id
+        ), measured as (
+            select doc_id, cast(len(ws) as bigint) as n_words,
+                   cast(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) as bigint) as word_chars,
+                   cast(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+                   coalesce(n_lines, 0) as n_lines, coalesce(n_dup_lines, 0) as n_dup_lines,
+                   coalesce(n_repeat_words, 0) as n_repeat_words
+            from texts left join repeats using (doc_id) left join lines using (doc_id)
+        ), failing as (
+            select *, cast(n_words < 50 as bigint) + 2 * cast(100 * n_repeat_words > 50 * n_words as bigint)
+                   + 4 * cast(10 * n_symbols > n_words as bigint) + 8 * cast(2 * n_dup_lines > n_lines as bigint)
+                   + 16 * cast(word_chars < 2 * n_words as bigint) + 32 * cast(word_chars > 20 * n_words as bigint)
+                   + 64 * cast(n_words > 1000000 as bigint) as failed
+            from measured
+        )
+        select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+               failed & 3 <> 0 as base_failed, failed & 63 = 0 as kept, failed
+        from failing
+    """,
+    "op7_zstd_archives": r"""
+        with payloads as (
+            select page_id, coalesce(html, '') as payload, sha1(encode(coalesce(html, ''))) as hex from pages
+        ), bits as (
+            select *, array_to_string([lpad(bin(strpos('0123456789abcdef', substr(hex, i, 1)) - 1), 4, '0')
+                                       for i in range(1, 41)], '') as bits
+            from payloads
+        ), digests as (
+            select page_id, cast(octet_length(encode(payload)) as bigint) as payload_bytes,
+                   array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                       1 + cast('0b' || substr(bits, 5 * i + 1, 5) as int), 1) for i in range(0, 32)], '') as payload_digest,
+                   min(page_id) over (partition by payload) as first_id
+            from bits
+        )
+        select page_id, payload_bytes, payload_digest,
+               case when page_id = first_id then 'response' else 'revisit' end as record_type,
+               case when page_id <> first_id then first_id end as refers_to
+        from digests
+    """,
+    "op10_sainte_lague": r"""
+        with sized as (
+            select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size
+            from documents
+        ), totals as (
+            select source, cast(sum(size) as bigint) as words,
+                   row_number() over (order by encode(source) nulls last) - 1 as rank
+            from sized group by source
+        ), weighed as (
+            select *, [5, 2, 1][1 + rank % 3] as w, cast(2 * words as double) / [5, 2, 1][1 + rank % 3] as ratio,
+                   1.5 * (select sum(size) from sized)::double as total
+            from totals
+        ), upto as (
+            select *, total - coalesce(sum(2 * words) over before, 0) as room,
+                   (select sum(w) from weighed) - coalesce(sum(w) over before, 0) as open_weight
+            from weighed
+            window before as (order by ratio, rank rows between unbounded preceding and 1 preceding)
+        ), filled as (
+            select *, room::double * w / open_weight >= 2 * words as sated,
+                   coalesce(bool_and(room::double * w / open_weight >= 2 * words) over (order by ratio, rank
+                            rows between unbounded preceding and 1 preceding), true) as all_before
+            from upto
+        ), level as (
+            select min_by(struct_pack(room, open_weight), struct_pack(ratio, rank)) as l from filled where not (sated and all_before)
+        ), wanted as (
+            select source, rank, words, total,
+                   case when sated and all_before then cast(2 * words as double)
+                        else (select l.room from level)::double * w / (select l.open_weight from level) end as target
+            from filled
+        ), seats as (
+            select rank, row_number() over (order by target / (2 * seat + 1) desc, rank, seat) as place, total
+            from (select rank, target, total, unnest(range(0, 2 * words // 16)) as seat from wanted where target > 0)
+        ), blocks as (
+            select rank, count(*) as blocks from seats where place <= round_even(total / 16, 0) group by rank
+        ), sources as (
+            select wanted.*, coalesce(blocks, 0) as blocks from wanted left join blocks using (rank)
+        ), placed as (
+            select s.doc_id, s.size, t.words as source_size, t.target, t.blocks, t.rank,
+                   ('0x' || substr(md5('11:' || s.doc_id), 1, 8))::bigint % greatest(1, cast(ceil(t.words / 4194304) as bigint)) as shard,
+                   ('0x' || substr(md5('11:' || s.doc_id), 9, 8))::bigint as place
+            from sized s join sources t on s.source is not distinct from t.source
+        ), cells as (
+            select rank, shard, blocks, sum(size)::bigint as cell from placed group by all
+        ), cell_seats as (
+            select rank, shard, blocks, row_number() over (partition by rank order by cell / (2 * seat + 1) desc, shard, seat) as place
+            from (select *, unnest(range(0, cell * 2 // 16)) as seat from cells)
+        ), quotas as (
+            select rank, shard, count(*) * 16 as words from cell_seats where place <= blocks group by all
+        ), streamed as (
+            select p.*, c.cell, coalesce(q.words, 0) as quota,
+                   sum(p.size) over (partition by p.rank, p.shard order by p.place, p.doc_id, p.size)::bigint as last,
+                   16 * (('0x' || substr(md5('11:' || p.shard), 17, 8))::bigint % greatest(1, c.cell // 16)) as start
+            from placed p join cells c using (rank, shard) left join quotas q using (rank, shard)
+        ), cut as (
+            select *, last - size as first, case when cell > 0 then quota // cell else 0 end as passes,
+                   case when cell > 0 then quota % cell else 0 end as rest
+            from streamed
+        )
+        select doc_id, size, source_size, target,
+               cast(passes * size
+                    + greatest(0, least(last, start + rest, cell) - greatest(first, start))
+                    + greatest(0, least(last, start + rest - cell) - first) as bigint) as taken
+        from cut
+    """,
     "op4_chunk_recipes": r"""
         with bare as (
             select doc_id, length(coalesce(text, '')) as n,

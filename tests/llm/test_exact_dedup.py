@@ -1,0 +1,56 @@
+import re
+
+from corpus import awkward, documents, texts
+from helpers import collected
+
+from freshet.llm import exact_dedup
+
+
+def groups(rows):
+    """Brute force: {bare text: [(id, code points)]} in order."""
+    out = {}
+    for doc_id, text in rows:
+        out.setdefault(re.sub(r"[\x20\x09-\x0D]", "", text or ""), []).append((doc_id, len(text or "")))
+    return out
+
+
+def test_against_brute_force(spark):
+    rows = [(i, t) for i, t in texts().items()]
+    expected = []
+    for same in groups(rows).values():
+        keep = min(same, key=lambda r: (-r[1], r[0]))[0]
+        expected += [(i, keep, len(same), i == keep) for i, _ in same]
+    found = exact_dedup.duplicates(documents(spark, rows)).select("doc_id", "keep_id", "group_size", "kept")
+    assert collected(found) == sorted(expected, key=repr)
+
+
+def test_weak_hashes_are_told_apart_by_their_proofs(spark):
+    docs = documents(spark, [(i, t) for i, t in texts().items()])
+    columns = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    assert collected(exact_dedup.duplicates(docs, bits=3).select(*columns)) == collected(
+        exact_dedup.duplicates(docs).select(*columns)
+    )
+
+
+def test_awkward_rows(spark):
+    docs = awkward(spark)
+    found = {(r["_row"]): r for r in exact_dedup.duplicates(docs).collect()}
+    assert len(found) == docs.count()
+    empty = [r for r in found.values() if r["doc_id"] in (1, 2, 3)]
+    # The white space is longest, so it stays; the row without id and text is of the same group.
+    assert {r["keep_id"] for r in empty} == {3} and {r["group_size"] for r in empty} == {4}
+    twice = [r for r in found.values() if r["doc_id"] in (4, 5)]
+    assert [r["kept"] for r in twice].count(True) == 1 and {r["keep_id"] for r in twice} == {4}
+
+
+def test_chunks_cover_the_text_and_copies_share_them(spark):
+    docs = documents(spark, [(1, "Some words. " * 3000), (2, "Some words. " * 3000 + "More.")])
+    one, two = (r["chunks"] for r in exact_dedup.recipes(docs).orderBy("doc_id").collect())
+    assert len(one) > 10 and one[:-1] == two[: len(one) - 1]
+
+
+def test_deduplicate_keeps_columns_and_one_of_each(spark):
+    docs = awkward(spark)
+    kept = exact_dedup.deduplicate(docs)
+    assert kept.columns == docs.columns and kept.count() == 6
+    assert exact_dedup.deduplicate(docs.limit(0)).count() == 0

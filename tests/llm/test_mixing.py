@@ -1,0 +1,82 @@
+import random
+
+import pytest
+from corpus import awkward, documents, texts
+from helpers import collected
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from freshet.llm import mixing
+from freshet.llm.mixing import Recipe, sainte_lague, water_fill
+
+
+@settings(deadline=None, max_examples=150)
+@given(st.lists(st.integers(0, 500), min_size=1, max_size=8), st.integers(0, 200), st.randoms())
+def test_seats_by_highest_quotients(votes, seats, rnd):
+    most = [rnd.randrange(0, 60) for _ in votes]
+    quotients = sorted(
+        ((v / (2 * s + 1), -i, -s) for i, v in enumerate(votes) if v for s in range(most[i])), reverse=True
+    )
+    expected = [0] * len(votes)
+    for _, i, _ in quotients[:seats]:
+        expected[-i] += 1
+    assert sainte_lague(votes, seats, most) == expected
+
+
+@given(st.lists(st.tuples(st.integers(0, 1000), st.sampled_from([5, 2, 1])), min_size=1, max_size=9))
+def test_water_fill_shares_by_weight_below_capacity(sources):
+    capacities, weights = [c for c, _ in sources], [w for _, w in sources]
+    total = 0.75 * sum(capacities)
+    given_ = water_fill(capacities, weights, total)
+    assert sum(given_) == pytest.approx(total)
+    open_ = [g / w for g, c, w in zip(given_, capacities, weights, strict=True) if g < c]
+    assert all(g <= c for g, c in zip(given_, capacities, strict=True))
+    if open_:
+        assert max(open_) == pytest.approx(min(open_))
+        assert all(g / w <= max(open_) + 1e-6 for g, w in zip(given_, weights, strict=True))
+
+
+@pytest.mark.parametrize("shard_words", [2**22, 500])
+def test_words_come_near_their_targets(spark, shard_words):
+    rnd = random.Random(4)
+    rows = [(i, t, rnd.choice(["a", "b", "c", None])) for i, t in texts().items()]
+    recipe = Recipe(shard_words=shard_words)
+    found = mixing.mix(documents(spark, rows), recipe).collect()
+    assert len(found) == len(rows)
+    by_source = {}
+    for r in found:
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        at = by_source.setdefault(r["target"], [0, r["source_size"], 0])
+        at[0] += r["taken"]
+        at[2] += r["size"]
+    for target, (taken, words, sizes) in by_source.items():
+        assert words == sizes and target <= 2 * words
+        assert abs(taken - target) <= 16 * (1 + 2 * words / shard_words) + 0.02 * target
+    again = mixing.mix(documents(spark, rows[::-1]), recipe).select("doc_id", "taken")
+    assert collected(again) == sorted(((r["doc_id"], r["taken"]) for r in found), key=repr)
+
+
+def test_mixed_documents_hold_the_words_taken(spark):
+    rnd = random.Random(5)
+    rows = [(i, t, rnd.choice("abc")) for i, t in texts().items()]
+    docs = documents(spark, rows)
+    taken = {r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect()}
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns
+    words = {}
+    whole = dict((i, t) for i, t, _ in rows)
+    for r in out.collect():
+        words[r["doc_id"]] = words.get(r["doc_id"], 0) + len(r["text"].encode().split())
+        assert " ".join(r["text"].split()) in " ".join(whole[r["doc_id"]].split()) and r["n_chars"] == len(r["text"])
+    assert words == {i: n for i, n in taken.items() if n}
+
+
+def test_awkward_rows(spark):
+    docs = awkward(spark)
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == docs.count()
+    assert all(r["taken"] == 0 for r in rows if r["size"] == 0)
+    assert {r["size"] for r in rows if r["doc_id"] in (1, 2, 3)} == {0}
+    assert mixing.mixed_documents(docs).columns == docs.columns and mixing.mixed_documents(docs).count() > 0
+    assert mixing.mix(docs.limit(0)).count() == 0
+    assert collected(mixing.mix(documents(spark, [(1, None), (2, "")])).select("size", "target", "taken")) == [(0, 0.0, 0)] * 2

@@ -1,0 +1,112 @@
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from corpus import awkward, documents, texts
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from freshet.llm import packing
+from freshet.llm.tokens import Encoder
+
+
+@pytest.fixture(scope="module")
+def encode():
+    return Encoder(packing.tokenizer_path())
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(packing.tokenizer_path())
+
+
+def ids(raw):
+    return np.frombuffer(raw, "<u4").tolist()
+
+
+def test_ids_of_texts(encode, tokenizer):
+    for text in texts().values():
+        assert ids(encode.encode(text)) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@settings(deadline=None, max_examples=400)
+@given(st.text(max_size=60) | st.text(st.sampled_from("aAbBßÄÿéÉ'’stred0129.,!?<|>́ \t\n \x1cİΣς中😀"), max_size=40))
+def test_ids_of_odd_texts(encode, tokenizer, text):
+    assert ids(encode.encode(text)) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_special_tokens_in_a_text(encode, tokenizer):
+    text = "a<|endoftext|>b <|startoftext|> it's 'sTuff's"
+    assert ids(encode.encode(text)) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@settings(deadline=None, max_examples=60)
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 400), max_size=40))
+def test_plan_holds_every_piece_once(histogram):
+    made = packing.plan(histogram, 64, 16)
+    held = Counter()
+    for lengths, times in made:
+        assert sum(lengths) <= 64 and times > 0
+        for length in lengths:
+            held[length] += times
+    assert held == Counter(histogram)
+
+
+def test_nnls_on_a_known_answer():
+    rng = np.random.default_rng(2)
+    a = rng.random((30, 12))
+    x = np.maximum(0, rng.normal(size=12))
+    assert packing.nnls(a, a @ x) == pytest.approx(x, abs=1e-6)
+    b = rng.normal(size=30)
+    found = packing.nnls(a, b)
+    slope = a.T @ (b - a @ found)
+    assert (found >= 0).all() and (slope[found == 0] <= 1e-6).all() and np.abs(slope[found > 0]).max(initial=0) < 1e-6
+
+
+def check(rows, expected, capacity):
+    """Every piece once, with its ids; sequences without gaps or overlaps and no longer than allowed."""
+    places = {}
+    for r in rows:
+        part = expected[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert r["start"] == r["piece"] * capacity and len(part) == r["length"]
+        assert r["ids_crc32"] == zlib.crc32(np.array(part, "<u4").tobytes())
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in places.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    total = sum(map(len, expected.values()))
+    assert sum(r["length"] for r in rows) == total
+    return len(places), -(-total // capacity)
+
+
+@pytest.mark.parametrize("salt_rows", [50_000, 3])
+def test_documents_are_packed_whole(spark, tokenizer, salt_rows):
+    all_texts = texts()
+    expected = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 1] for i, t in all_texts.items()}
+    found = packing.materialise(packing.pieces(documents(spark, all_texts.items()), packing.tokenizer_path()), "p")
+    used, least = check(packing.place(found, salt_rows=salt_rows).collect(), expected, packing.CAPACITY)
+    assert used <= 1.03 * least + 2
+
+
+def test_sequences_hold_the_ids(spark, tokenizer):
+    docs = documents(spark, [(i, t) for i, t in list(texts().items())[:40]])
+    placed = packing.pack(docs)
+    placed = packing.materialise(placed, "placed")
+    rows = packing.sequences(docs, placed).collect()
+    assert sum(len(r["ids"]) for r in rows) == placed.groupBy().sum("length").first()[0]
+    ends = sum(r["ids"].count(1) for r in rows)
+    assert ends >= 40 and all(len(r["ids"]) == sum(r["lengths"]) <= packing.CAPACITY for r in rows)
+
+
+def test_awkward_rows(spark):
+    docs = awkward(spark)
+    rows = packing.pack(docs).collect()
+    assert sorted(r["length"] for r in rows if r["doc_id"] in (1, 2, 3)) == [1, 1, 1]
+    assert len({(r["_row"]) for r in rows}) == docs.count()
+    assert len([r for r in rows if r["doc_id"] == 8]) > 1
+    assert packing.pack(docs.limit(0)).count() == 0

@@ -1,0 +1,86 @@
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from corpus import awkward, documents, texts
+from pyspark.sql import functions as F
+
+from freshet.llm import simhash
+
+
+def plain(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(fps, distance=4):
+    """{index: smallest reachable index}, all pairs compared."""
+    found = list(range(len(fps)))
+
+    def root(i):
+        while found[i] != i:
+            i = found[i]
+        return i
+
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= distance:
+                a, b = sorted((root(i), root(j)))
+                found[b] = a
+    return [root(i) for i in range(len(fps))]
+
+
+def test_against_brute_force(spark):
+    all_texts = sorted(texts().items())
+    fps = [plain(t) for _, t in all_texts]
+    expected = [(i, f"{fp:016x}", all_texts[c][0]) for (i, _), fp, c in zip(all_texts, fps, components(fps), strict=True)]
+    found = simhash.digest(simhash.near_duplicates(documents(spark, all_texts))).orderBy("doc_id").collect()
+    assert [tuple(r) for r in found] == expected
+
+
+@pytest.mark.parametrize(("blocks", "max_bucket"), [(6, 20_000), (7, 20_000), (8, 20_000), (6, 5), (6, 2)])
+def test_every_close_pair_is_connected(spark, blocks, max_bucket):
+    rng = np.random.default_rng(blocks * 100 + max_bucket)
+    centres = rng.integers(0, 2**64, 12, dtype=np.uint64)
+    fps = set()
+    for c in centres.tolist():
+        for _ in range(12):
+            flips = rng.choice(64, rng.integers(0, 7), replace=False)
+            fps.add(c ^ sum(1 << int(b) for b in flips))
+    fps = sorted(fps)
+    expected = [fps[i] for i in components(fps)]
+    signed = [(int(np.uint64(f).view(np.int64)),) for f in fps]
+    df = spark.createDataFrame(signed, "fp long")
+    links = simhash.close_links(df, len(fps), blocks, max_bucket)
+    names = {r["node"]: r["root"] for r in simhash.connected(links).collect()}
+    found = [names.get(s[0], s[0]) for s in signed]
+    same = {}
+    for mine, theirs in zip(found, expected, strict=True):
+        assert same.setdefault(mine, theirs) == theirs
+    assert len(set(found)) == len(set(expected))
+
+
+def test_components_of_a_long_path_and_a_star(spark):
+    path = [(i, i + 1) for i in range(0, 300)]
+    star = [(1000, 1000 + i) for i in range(1, 200)]
+    links = spark.createDataFrame([*path, *star, (5, 5)], "a long, b long")
+    names = {r["node"]: r["root"] for r in simhash.connected(links).collect()}
+    assert len({names[i] for i in range(301)}) == 1 and len({names[1000 + i] for i in range(200)}) == 1
+    assert names[0] != names[1000]
+    assert simhash.connected(links.limit(0)).count() == 0
+
+
+def test_awkward_rows(spark):
+    docs = awkward(spark)
+    rows = simhash.near_duplicates(docs).collect()
+    assert len(rows) == docs.count()
+    without_words = [r for r in rows if r["fp"] == 0]
+    assert len(without_words) == 4 and {r["component_id"] for r in without_words} == {1}
+    kept = simhash.deduplicate(docs)
+    assert kept.columns == docs.columns
+    assert kept.filter(F.col("doc_id") == 4).count() == 1 and kept.filter(F.col("doc_id") == 5).count() == 0
+    assert kept.filter(F.col("doc_id").isin(6, 7)).count() == 1
+    assert simhash.deduplicate(docs.limit(0)).count() == 0
