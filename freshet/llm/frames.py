@@ -27,7 +27,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 def numbered(df: DataFrame, name: str = "_row") -> DataFrame:
     """Rows numbered by where they lie in their files: a task run again numbers them the same, and
-    so does a second scan. It tells rows apart that agree in everything else."""
+    so does a second scan. It tells rows apart that agree in everything else. The frame is to be a scan
+    of files, or cheap and certain to come out in the same order; `materialise` any other first."""
     return df.withColumn(name, F.monotonically_increasing_id())
 
 

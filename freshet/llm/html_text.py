@@ -292,7 +292,8 @@ def _inner(node: Node) -> list[str]:
 def page_text(html: str | None) -> str:
     builder = TreeBuilder()
     builder.feed(html or "")
-    builder.close()
+    if not builder.rawdata.startswith("<!--"):  # a comment that never ends hides what is left
+        builder.close()
     return render(builder.root)
 
 

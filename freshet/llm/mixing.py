@@ -29,19 +29,22 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
 BLOCK = 16
-SHARD_WORDS = 2**22
+SHARD_WORDS = 2**17
+MAX_SHARDS = 2**20
 
 
 @dataclass(frozen=True)
 class Recipe:
     """Weights of the sources in code point order (repeating), the share of all words to take, how
-    often a word may be taken, words in a block and in a shard, and the seed of the order."""
+    often a word may be taken, words in a block, words in a shard (more where a source would have over
+    `max_shards`), and the seed of the order."""
 
     weights: Sequence[int] = WEIGHTS
     share: float = SHARE
     most: int = MOST
     block: int = BLOCK
     shard_words: int = SHARD_WORDS
+    max_shards: int = MAX_SHARDS
     seed: int = 11
 
 
@@ -136,7 +139,8 @@ def mix(docs: DataFrame, recipe: Recipe = Recipe(), text: str = "text", id_col:
             ]
         ),
     )
-    shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / recipe.shard_words))
+    shard_words = F.greatest(F.lit(recipe.shard_words), F.ceil(F.col("source_size") / recipe.max_shards))
+    shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words))
     placed = (
         rows.withColumnRenamed("source", "_source")
         .join(F.broadcast(plan), F.col("_source").eqNullSafe(F.col("source")))
@@ -147,7 +151,7 @@ def mix(docs: DataFrame, recipe: Recipe = Recipe(), text: str = "text", id_col:
     block, most, seed = recipe.block, recipe.most, recipe.seed
 
     def deal(of_source: pd.DataFrame) -> pd.DataFrame:
-        """A source's blocks over its shards: one row per shard, a source's words / `SHARD_WORDS` of them."""
+        """A source's blocks over its shards: one row per shard, at most `max_shards`."""
         of_source = of_source.sort_values("shard", ignore_index=True)
         words = of_source["cell"].to_numpy()
         of_source["quota"] = sainte_lague(words, int(of_source["blocks"].iloc[0]), words * most // block)

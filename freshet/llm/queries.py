@@ -169,7 +169,7 @@ ORACLES = {
             select wanted.*, coalesce(blocks, 0) as blocks from wanted left join blocks using (rank)
         ), placed as (
             select s.doc_id, s.size, t.words as source_size, t.target, t.blocks, t.rank,
-                   ('0x' || substr(md5('11:' || s.doc_id), 1, 8))::bigint % greatest(1, cast(ceil(t.words / 4194304) as bigint)) as shard,
+                   ('0x' || substr(md5('11:' || s.doc_id), 1, 8))::bigint % greatest(1, cast(ceil(t.words / greatest(131072, ceil(t.words / 1048576))) as bigint)) as shard,
                    ('0x' || substr(md5('11:' || s.doc_id), 9, 8))::bigint as place
             from sized s join sources t on s.source is not distinct from t.source
         ), cells as (

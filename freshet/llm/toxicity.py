@@ -27,6 +27,8 @@ BITS = 18
 FACTORS = 4
 MAX_TRAIN = 20_000
 MIN_ROWS = 8
+MAX_TERMS = 1024
+POSITIVE_WEIGHT = 2.0
 EPOCHS = 12
 SEED = 5
 _TERM = re.compile(r"[^\W\d_]+")
@@ -72,15 +74,24 @@ def _rows(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def fit(lists: list[np.ndarray], labels: np.ndarray, bits: int = BITS, factors: int = FACTORS, epochs: int = EPOCHS) -> Machine:
     """Adagrad on the log loss, in small batches of a seeded order; a light decay keeps rare terms small.
 
-    Without rows of both classes the score is the share of positive ones (0 without rows).
+    Terms in fewer than `MIN_ROWS` rows or more than half of them count nothing, nor do any but the
+    `MAX_TERMS` most telling ones by chi-square (no more than there are positive rows). Positive
+    rows are rare and weigh more. Without rows of both classes the score is the share of positive
+    ones (0 without rows).
     """
     size, rng = 1 << bits, np.random.default_rng(SEED)
-    share = float(labels.mean()) if len(labels) else 0.0
-    found = np.zeros(size, dtype=np.int64)
-    for row in lists:
+    share, n = float(labels.mean()) if len(labels) else 0.0, max(len(lists), 1)
+    found, positive = np.zeros(size), np.zeros(size)
+    for row, label in zip(lists, labels, strict=True):
         found[row] += 1
-    useful = (found >= MIN_ROWS) & (found <= 0.5 * max(len(lists), 1))
-    idf = np.log(max(len(lists), 1) / np.maximum(found, 1)) + 1.0
+        positive[row] += label
+    useful = (found >= MIN_ROWS) & (found <= 0.5 * n)
+    spread = found * share * (1 - share) * (1 - found / n)
+    telling = np.where(useful, (positive - found * share) ** 2 / np.maximum(spread, 1e-9), 0.0)
+    most = int(min(MAX_TERMS, max(64, labels.sum())))
+    if useful.sum() > most:
+        useful &= telling >= np.sort(telling[useful])[-most]
+    idf = np.log(n / np.maximum(found, 1)) + 1.0
     values = np.where(useful, idf / idf[useful].max() if useful.any() else 0.0, 0.0)
     bias = float(np.log((share + 1e-6) / (1 - share + 1e-6)))
     machine = Machine(bias, np.zeros(size), rng.normal(0, 0.01, (size, factors)) * useful[:, None], values)
@@ -88,13 +99,14 @@ def fit(lists: list[np.ndarray], labels: np.ndarray, bits: int = BITS, factors:
         machine.vectors[:] = 0
         return machine
     lists = [row[useful[row]] for row in lists]
-    past_w, past_v, past_b = np.full(size, 1e-2), np.full((size, factors), 1e-2), 1e-2
-    for epoch in range(epochs):
+    row_weights = np.where(labels > 0, POSITIVE_WEIGHT, 1.0)
+    past_w, past_v, past_b = np.full(size, 1e-4), np.full((size, factors), 1e-4), 1e-4
+    for _ in range(epochs):
         order = rng.permutation(len(lists))
         for at in range(0, len(order), 64):
             rows = order[at : at + 64]
             index, starts = _rows([lists[i] for i in rows])
-            error = machine.score(index, starts) - labels[rows]
+            error = (machine.score(index, starts) - labels[rows]) * row_weights[rows]
             each = np.repeat(error / len(rows), np.diff(starts))
             x = values[index]
             v = machine.vectors[index] * x[:, None]
@@ -106,8 +118,8 @@ def fit(lists: list[np.ndarray], labels: np.ndarray, bits: int = BITS, factors:
             past_w[used] += grad_w**2
             past_v[used] += grad_v**2
             past_b += error.mean() ** 2
-            machine.weights[used] -= 0.2 * grad_w / np.sqrt(past_w[used])
-            machine.vectors[used] -= 0.02 * grad_v / np.sqrt(past_v[used])
+            machine.weights[used] -= 0.5 * grad_w / np.sqrt(past_w[used])
+            machine.vectors[used] -= 0.05 * grad_v / np.sqrt(past_v[used])
             machine.bias -= 0.1 * error.mean() / np.sqrt(past_b)
     return machine
 
