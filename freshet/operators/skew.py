@@ -34,7 +34,7 @@ def hot_keys(frames: Sequence[DataFrame], key: str, hot_rows: int) -> DataFrame
     ensure_checkpoint_dir(frames[0].sparkSession)
     tagged = reduce(
         DataFrame.union,
-        [df.select(F.col(key).alias("_hot_key"), F.lit(i).alias("_frame")) for i, df in enumerate(frames)],
+        [df.select(F.col(f"`{key}`").alias("_hot_key"), F.lit(i).alias("_frame")) for i, df in enumerate(frames)],
     )
     counts = tagged.groupBy("_hot_key").agg(
         *[F.count_if(F.col("_frame") == i).alias(f"_rows_{i}") for i in range(len(frames))]
@@ -60,11 +60,21 @@ def hot_keys(frames: Sequence[DataFrame], key: str, hot_rows: int) -> DataFrame
     return None if hot.isEmpty() else hot
 
 
-def row_hash(df: DataFrame) -> Column:
-    """A hash of the row's values: unlike a random salt it comes out the same when a lost task
-    is run again. Copies of a row stay together unless a column numbers them (`Source.number`)."""
-    unhashable = (T.MapType, T.VariantType)
-    return F.xxhash64(*[f"`{f.name}`" for f in df.schema if not isinstance(f.dataType, unhashable)])
+def hashable(dtype: T.DataType) -> bool:
+    """Whether a value can be hashed: nothing in it, at any depth, is a map or variant."""
+    if isinstance(dtype, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(dtype, T.ArrayType):
+        return hashable(dtype.elementType)
+    return not isinstance(dtype, T.StructType) or all(hashable(f.dataType) for f in dtype)
+
+
+def row_hash(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """A hash of the row's values (or of some columns): unlike a random salt it comes out the same
+    when a lost task is run again. Copies of a row stay together unless a column numbers them
+    (`Source.number`). Only what is hashed has to be read for it."""
+    used = [f for f in df.schema if (columns is None or f.name in columns) and hashable(f.dataType)]
+    return F.xxhash64(*[f"`{f.name}`" for f in used]) if used else F.lit(0).cast("long")
 
 
 def _pieces(rows: Column, hot_rows: int) -> Column:
@@ -94,13 +104,13 @@ def salted_join(
     )
 
     def with_pieces(df: DataFrame) -> DataFrame:
-        sized = df.withColumn("_row_hash", row_hash(df)).join(pieces, F.col(key) == F.col("_hot_key"), "left")
+        sized = df.withColumn("_row_hash", row_hash(df)).join(pieces, F.col(f"`{key}`") == F.col("_hot_key"), "left")
         one = F.lit(1).cast("long")
         return sized.withColumns({n: F.coalesce(n, one) for n in ("_left_pieces", "_right_pieces")})
 
     helpers = ("_hot_key", "_row_hash", "_left_pieces", "_right_pieces")
     # Null keys match nothing; left where they are they would all meet in one task.
-    own = F.when(F.col(key).isNull(), F.col("_row_hash")).otherwise(F.pmod("_row_hash", "_left_pieces"))
+    own = F.when(F.col(f"`{key}`").isNull(), F.col("_row_hash")).otherwise(F.pmod("_row_hash", "_left_pieces"))
     lhs = (
         with_pieces(left)
         .withColumn("_left_piece", own)
@@ -109,7 +119,7 @@ def salted_join(
         .drop(*helpers)
     )
     rhs = (
-        with_pieces(right.filter(F.col(key).isNotNull()))
+        with_pieces(right.filter(F.col(f"`{key}`").isNotNull()))
         .withColumn("_right_piece", F.pmod("_row_hash", "_right_pieces"))
         .withColumn("_left_piece", _each(F.col("_left_pieces")))
         .withColumn("_matched", F.lit(True))
@@ -124,18 +134,25 @@ def salted_join(
 
 
 def salted_anti_join(
-    df: DataFrame, state: DataFrame, key: str, state_key: str, condition: Column, hot: DataFrame, hot_rows: int
+    df: DataFrame,
+    state: DataFrame,
+    key: str,
+    state_key: str,
+    condition: Column,
+    hot: DataFrame,
+    hot_rows: int,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows of `df` without a state row of the same key (null equals null) under `condition`.
 
     `hot` holds the hot keys of `df`. `state` has one row per key, so repeating it for the pieces of
-    a hot key is cheap.
+    a hot key is cheap. `spread_by` names the columns that tell rows apart, by default all of them.
     """
     pieces = F.broadcast(hot.select("_hot_key", _pieces(F.col("_rows_0"), hot_rows).alias("_pieces")))
     one = F.lit(1).cast("long")
     lhs = (
-        df.withColumn("_row_hash", row_hash(df))
-        .join(pieces, F.col(key).eqNullSafe(F.col("_hot_key")), "left")
+        df.withColumn("_row_hash", row_hash(df, spread_by))
+        .join(pieces, F.col(f"`{key}`").eqNullSafe(F.col("_hot_key")), "left")
         .withColumn("_left_piece", F.pmod("_row_hash", F.coalesce("_pieces", one)))
         .drop("_hot_key", "_row_hash", "_pieces")
     )
@@ -144,5 +161,5 @@ def salted_anti_join(
         .withColumn("_state_piece", _each(F.coalesce("_pieces", one)))
         .drop("_hot_key", "_pieces")
     )
-    on = F.col(key).eqNullSafe(F.col(state_key)) & (F.col("_left_piece") == F.col("_state_piece")) & condition
+    on = F.col(f"`{key}`").eqNullSafe(F.col(state_key)) & (F.col("_left_piece") == F.col("_state_piece")) & condition
     return lhs.join(rhs, on, "left_anti").drop("_left_piece")

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.operators.sizing import fits_broadcast
 from freshet.operators.skew import HOT_ROWS, hot_keys, salted_anti_join
 from freshet.session import ensure_checkpoint_dir
 
-# Keys with something new are broadcast up to this number.
+# Keys with something new are broadcast up to this number and size.
 MAX_PENDING = 500_000
+MAX_PENDING_BYTES = 64 * 2**20
+# Names that no source column has.
+_KEY, _TS = "_freshet_state_key", "_freshet_state_ts"
 
 
 def last_processed(target: DataFrame, key: str, ts: str, which: str = "latest") -> DataFrame:
@@ -18,25 +23,36 @@ def last_processed(target: DataFrame, key: str, ts: str, which: str = "latest")
     if which not in ("latest", "oldest"):
         raise ValueError(f"which must be 'latest' or 'oldest', got {which!r}")
     pick = F.max if which == "latest" else F.min
-    return target.groupBy(F.col(key).alias("state_key")).agg(pick(ts).alias("state_ts"))
+    return target.groupBy(F.col(f"`{key}`").alias("state_key")).agg(pick(f"`{ts}`").alias("state_ts"))
+
+
+def is_new(time: Column, processed: Column) -> Column:
+    """The one rule of the filter: never processed, or updated later. A row without an update time
+    is new only if its key was never processed."""
+    return processed.isNull() | F.coalesce(time > processed, F.lit(False))
 
 
 def pending_keys(df: DataFrame, state: DataFrame, key: str, ts: str, most: int) -> DataFrame | None:
-    """The keys with a new row, and when they were processed last; None if more than `most`.
+    """The keys with a new row, and when they were processed last; None if more than `most` or too
+    wide to broadcast.
 
-    Both sides of the join hold one row per key and no text. Looked up right away and checkpointed.
+    Both sides of the join hold one row per key and no text. Looked up right away and checkpointed:
+    at most one key more than asked for.
     """
     if most < 1:
         return None
     ensure_checkpoint_dir(df.sparkSession)
-    newest = df.groupBy(F.col(key).alias("_pending_key")).agg(F.max(ts).alias("_newest"))
+    newest = df.groupBy(F.col(f"`{key}`").alias("_pending_key")).agg(F.max(f"`{ts}`").alias("_newest"))
     pending = (
-        newest.join(state, F.col("_pending_key").eqNullSafe(F.col("state_key")), "left")
-        .filter(F.col("state_ts").isNull() | (F.col("_newest") > F.col("state_ts")))
-        .select("_pending_key", "state_ts")
+        newest.join(state, F.col("_pending_key").eqNullSafe(F.col(_KEY)), "left")
+        .filter(is_new(F.col("_newest"), F.col(_TS)))
+        .select("_pending_key", F.col(_TS).alias("_pending_ts"))
+        .limit(most + 1)
         .checkpoint()
     )
-    return pending if pending.count() <= most else None
+    width = F.octet_length(F.to_json(F.struct("_pending_key"))) + 16
+    size = pending.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("width")).first()
+    return pending if size["n"] <= most and size["width"] <= MAX_PENDING_BYTES else None
 
 
 def incremental_filter(
@@ -47,32 +63,40 @@ def incremental_filter(
     hot_rows: int = HOT_ROWS,
     large: bool | None = None,
     max_pending: int = MAX_PENDING,
+    ids: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows whose key was never processed or whose update is later than that.
 
-    An update at the very time of processing counts as done; a null key is a key like any other.
+    An update at the very time of processing counts as done; a null key is a key like any other; a
+    row without an update time is new only if its key was never processed. That holds whichever way
+    is taken below.
 
     A state small enough to broadcast is. Otherwise (`large` forces the choice) the keys with
     something new are found first, from key and time alone. Few of them, as in a regular run, are
     broadcast and the rows are cut where they are read, without a shuffle; with many, as after a
-    long break, rows and state are joined by key, the hot keys in pieces.
+    long break, rows and state are joined by key, the hot keys in pieces by `ids`, the columns that
+    tell rows apart (by default all of them).
     """
     if large is None:
         large = not fits_broadcast(state)
-    same_key, done = F.col(key).eqNullSafe(F.col("state_key")), F.col(ts) <= F.col("state_ts")
+    state = state.select(F.col("state_key").alias(_KEY), F.col("state_ts").alias(_TS))
+    own_key, time = F.col(f"`{key}`"), F.col(f"`{ts}`")
+    done = ~is_new(time, F.col(_TS))
     if not large:
-        return df.join(state, same_key & done, "left_anti")
+        return df.join(state, own_key.eqNullSafe(F.col(_KEY)) & done, "left_anti")
 
     pending = pending_keys(df, state, key, ts, max_pending)
     if pending is not None:
-        new = F.col(key).eqNullSafe(F.col("_pending_key")) & (F.col("state_ts").isNull() | ~done)
+        new = own_key.eqNullSafe(F.col("_pending_key")) & is_new(time, F.col("_pending_ts"))
         return df.join(F.broadcast(pending), new, "left_semi")
 
     hot = hot_keys([df], key, hot_rows)
     if hot is not None:
-        return salted_anti_join(df, state, key, "state_key", done, hot, hot_rows)
+        spread_by = None if ids is None else [key, ts, *ids]
+        return salted_anti_join(df, state, key, _KEY, done, hot, hot_rows, spread_by)
     # Joined on the bare key, the rows stay partitioned by it for the joins to come. The null key
     # has one time at most.
-    null_done = state.filter(F.col("state_key").isNull()).select("state_ts").scalar()
-    kept = df.join(state, (F.col(key) == F.col("state_key")) & done, "left_anti")
-    return kept.filter(F.col(key).isNotNull() | null_done.isNull() | (F.col(ts) > null_done))
+    null_done = state.filter(F.col(_KEY).isNull()).select(_TS).scalar()
+    kept = df.join(state, (own_key == F.col(_KEY)) & done, "left_anti")
+    return kept.filter(own_key.isNotNull() | is_new(time, null_done))
+

@@ -124,24 +124,38 @@ class Completer:
         return parsed.select(*[f"`{n}`" for n in parsed.columns if n not in (key, "reject_reason")], key, "reject_reason")
 
 
-def new_frames(spark: SparkSession, job: Job, cutoff: datetime | None) -> list[tuple[Source, DataFrame]]:
+def new_frames(
+    spark: SparkSession, job: Job, cutoff: datetime | None, whole: bool = False
+) -> list[tuple[Source, DataFrame]]:
     """Each source cut by the window and by what the target holds already, before any join, its rows
-    numbered where they can be."""
+    numbered where they can be. Only the columns the job needs, unless `whole` rows are asked for."""
     processed = job.target.load(spark, cutoff)
     warm = processed is not None and not processed.isEmpty()
     alive = [(source, source.number(df)) for source, df in read_sources(spark, job.sources, cutoff, warm)]
+    if not whole:
+        alive = [(source, _narrow(source, df, job)) for source, df in alive]
     if not warm:
         return alive
     state = last_processed(processed, job.target.key, job.target.ts, job.state)
     return [
-        (source, incremental_filter(df, state, source.key, source.ts, job.hot_rows, job.large))
+        (
+            source,
+            incremental_filter(
+                df, state, source.key, source.ts, job.hot_rows, job.large, ids=(*source.ids(), ROW_NUMBER)
+            ),
+        )
         for source, df in alive
     ]
 
 
+def _narrow(source: Source, df: DataFrame, job: Job) -> DataFrame:
+    needed = {source.key, source.ts, ROW_NUMBER, *source.ids(), *job.include}
+    return df.select(*[f"`{name}`" for name in df.columns if name in needed])
+
+
 def select_rows(spark: SparkSession, job: Job, cutoff: datetime | None = None) -> DataFrame | None:
     """The rows to enrich: new rows of each source, joined. None if a source rule leaves nothing."""
-    frames = [df for _, df in new_frames(spark, job, cutoff)]
+    frames = [df for _, df in new_frames(spark, job, cutoff, whole=True)]
     if not frames:
         return None
     rows = _join(frames, job)

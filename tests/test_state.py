@@ -5,7 +5,7 @@ from helpers import at, collected
 
 from freshet.operators.state import incremental_filter, last_processed, pending_keys
 
-ROWS = [(1, at(10)), (1, at(12)), (2, at(10)), (3, at(10)), (None, at(10)), (None, at(13)), (4, at(10))]
+ROWS = [(1, None), (3, None), (None, None), (1, at(10)), (1, at(12)), (2, at(10)), (3, at(10)), (None, at(10)), (None, at(13)), (4, at(10))]
 STATE = [(1, at(10)), (1, at(11)), (2, at(10)), (4, at(9)), (4, at(11)), (9, at(20))]
 
 
@@ -20,7 +20,7 @@ def expected(rows, state, pick):
     times = {}
     for key, ts in state:
         times.setdefault(key, []).append(ts)
-    return sorted([(k, ts) for k, ts in rows if k not in times or ts > pick(times[k])], key=repr)
+    return sorted([(k, ts) for k, ts in rows if k not in times or (ts is not None and ts > pick(times[k]))], key=repr)
 
 
 WAYS = {
@@ -59,7 +59,7 @@ def test_unknown_pick(spark):
 @pytest.mark.parametrize("hot_rows", [1, 7, 10_000])
 def test_salted_filter_with_a_hot_key(spark, hot_rows):
     rng = random.Random(hot_rows)
-    rows = [(rng.choice([1, 1, 1, None, rng.randrange(50)]), at(rng.randrange(24))) for _ in range(400)]
+    rows = [(rng.choice([1, 1, 1, None, rng.randrange(50)]), rng.choice([None, at(rng.randrange(24)), at(rng.randrange(24))])) for _ in range(400)]
     state = [(rng.choice([1, None, rng.randrange(50)]), at(rng.randrange(24))) for _ in range(60)]
     df, done = frames(spark, rows, state)
     kept = incremental_filter(df, last_processed(done, "k", "written"), "k", "ts", hot_rows, True, max_pending=0)
@@ -68,7 +68,35 @@ def test_salted_filter_with_a_hot_key(spark, hot_rows):
 
 def test_pending_keys(spark):
     df, done = frames(spark, ROWS, STATE)
-    state = last_processed(done, "k", "written")
+    state = last_processed(done, "k", "written").toDF("_freshet_state_key", "_freshet_state_ts")
     assert collected(pending_keys(df, state, "k", "ts", 3)) == [(1, at(11)), (3, None), (None, None)]
     assert pending_keys(df, state, "k", "ts", 2) is None
     assert pending_keys(df, state, "k", "ts", 0) is None
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_names_that_need_care(spark, way):
+    """Dotted names, and columns called like the state's."""
+    rows = [(1, at(10), "x"), (2, at(12), "y"), (None, None, "z")]
+    df = spark.createDataFrame(rows, "`a.k` long, `state.ts` timestamp_ntz, state_key string")
+    done = spark.createDataFrame([(2, at(13))], "`a.k` long, `w.t` timestamp_ntz")
+    kept = incremental_filter(df, last_processed(done, "a.k", "w.t"), "a.k", "state.ts", **WAYS[way])
+    assert collected(kept) == sorted([rows[0], rows[2]], key=repr)
+
+
+def test_nested_maps_spread(spark):
+    rows = [(1, at(h), ({"a": h},), [{"b": h}]) for h in range(20)]
+    df = spark.createDataFrame(rows, "k long, ts timestamp_ntz, s struct<m: map<string, int>>, l array<map<string, int>>")
+    done = spark.createDataFrame([(1, at(9))], "k long, written timestamp_ntz")
+    kept = incremental_filter(df, last_processed(done, "k", "written"), "k", "ts", **WAYS["salted"])
+    assert kept.count() == 10
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_only_what_is_needed_is_read(spark, tmp_path, way):
+    spark.range(50).selectExpr("id % 3 as k", "timestamp_ntz '2024-01-10 12:00:00' as ts", "repeat('x', 100) as text").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    done = spark.createDataFrame([(1, at(9))], "k long, written timestamp_ntz")
+    kept = incremental_filter(df, last_processed(done, "k", "written"), "k", "ts", ids=(), **WAYS[way])
+    plan = kept.select("k")._jdf.queryExecution().executedPlan().toString()
+    assert "text:string" not in plan and "k:bigint" in plan
