@@ -8,10 +8,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this size the k smallest rows of every task are merged in one task.
+from freshet.operators.sizing import scan_tasks
+
+# Up to this size the k smallest rows of every task are merged in one task, if all tasks together
+# send it no more than MERGED_ROWS.
 DIRECT_ROWS = 1_000
-# Above it, rows are first counted by the first four hex digits of their hash: 65,536 counts.
-_PREFIX = 4
+MERGED_ROWS = 1_000_000
+# Above it, rows are counted by the next four hex digits of their hash, 65,536 counts at a time, until
+# the bucket with the k-th row has no more than EDGE_ROWS.
+_DIGITS, _HASH_DIGITS = 4, 32
+EDGE_ROWS = 10_000
 
 
 def sample_hash(id_cols: Sequence[str], seed: int) -> Column:
@@ -20,45 +26,71 @@ def sample_hash(id_cols: Sequence[str], seed: int) -> Column:
 
 
 def sample_exact(
-    df: DataFrame, k: int, id_cols: Sequence[str], seed: int, direct_rows: int = DIRECT_ROWS
+    df: DataFrame,
+    k: int,
+    id_cols: Sequence[str],
+    seed: int,
+    direct_rows: int = DIRECT_ROWS,
+    ties: Sequence[str] = (),
+    edge_rows: int = EDGE_ROWS,
 ) -> DataFrame:
-    """min(k, n) rows: those with the smallest seeded hash of `id_cols`, which must tell rows apart.
+    """min(k, n) rows: those with the smallest seeded hash of `id_cols`, which must tell rows apart;
+    where they do not, `ties` decide.
 
-    The same seed gives the same rows however often the plan is run. A large k is cut without
-    passing the sample through one task: the counts by hash prefix fix the prefix at which the
-    k-th row lies, rows below it are all in, and only rows at it are ranked.
+    The same seed gives the same rows however often the plan is run. A large k, or one of very many
+    tasks, is cut without passing the sample through one task: counts by hash prefix, longer and
+    longer, fix the prefix at which the k-th row lies; rows below it are all in, and only the few at
+    it are ranked.
     """
     if k < 0:
         raise ValueError(f"k must not be negative, got {k}")
     if k == 0:
         return df.limit(0)
     hashed = df.withColumn("_hash", sample_hash(id_cols, seed))
-    order = ["_hash", *[f"`{name}`" for name in id_cols]]
-    if k <= direct_rows:
+    order = ["_hash", *[f"`{name}`" for name in (*id_cols, *ties)]]
+    if k <= direct_rows and k * scan_tasks(df) <= MERGED_ROWS:
         return hashed.orderBy(*order).limit(k).drop("_hash")
-
-    hashed = hashed.withColumn("_prefix", F.substring("_hash", 1, _PREFIX))
-    counts = hashed.groupBy("_prefix").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.orderBy("_prefix"))
-    edge = (
-        counts.select("_prefix", "n", upto.alias("upto"))
-        .filter(F.col("upto") >= k)
-        .agg(F.min(F.struct("_prefix", (k - F.col("upto") + F.col("n")).alias("need"))).alias("edge"))
-        .first()["edge"]
-    )
+    edge = _edge(hashed, k, edge_rows)
     if edge is None:
         return df
+    prefix, need = edge
+    at_edge = F.col("_hash").startswith(prefix)
     # Rows below the edge need no rank; grouped by their whole hash they spread over all tasks.
-    group = F.when(F.col("_prefix") == edge["_prefix"], F.lit("")).otherwise(F.col("_hash"))
+    group = F.when(at_edge, F.lit("")).otherwise(F.col("_hash"))
     rank = F.row_number().over(Window.partitionBy(group).orderBy(*order))
     return (
-        hashed.filter(F.col("_prefix") <= edge["_prefix"])
+        hashed.filter(at_edge | (F.col("_hash") < prefix))
         .withColumn("_rank", rank)
-        .filter((F.col("_prefix") < edge["_prefix"]) | (F.col("_rank") <= edge["need"]))
-        .drop("_hash", "_prefix", "_rank")
+        .filter(~F.col("_hash").startswith(prefix) | (F.col("_rank") <= need))
+        .drop("_hash", "_rank")
     )
 
 
+def _edge(hashed: DataFrame, k: int, edge_rows: int) -> tuple[str, int] | None:
+    """The shortest prefix of few rows that the k-th hash has, and how many rows it still needs;
+    None if there are not k rows."""
+    prefix, need = "", k
+    while True:
+        digits = len(prefix) + _DIGITS
+        counts = (
+            hashed.filter(F.col("_hash").startswith(prefix))
+            .groupBy(F.substring("_hash", 1, digits).alias("_prefix"))
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        upto = F.sum("n").over(Window.orderBy("_prefix"))
+        found = (
+            counts.select("_prefix", "n", upto.alias("upto"))
+            .filter(F.col("upto") >= need)
+            .agg(F.min(F.struct("_prefix", "n", (need - F.col("upto") + F.col("n")).alias("need"))).alias("edge"))
+            .first()["edge"]
+        )
+        if found is None:
+            return None
+        prefix, need = found["_prefix"], found["need"]
+        if found["n"] <= edge_rows or digits >= _HASH_DIGITS:
+            return prefix, need
+
+
 def random_seed() -> int:
     return random.getrandbits(63)
 

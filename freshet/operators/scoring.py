@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+import heapq
 import time
+from collections import deque
 from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
+from dataclasses import dataclass, field
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_WORKERS = 50
+# Calls that one task keeps in flight; a run takes as many tasks as its workers need.
+TASK_WORKERS = 10
+# Arrow batches a task works on at once, so that a slow row does not hold up the rows behind it.
+OPEN_BATCHES = 4
 
 
 class RateLimited(Exception):
@@ -28,6 +35,10 @@ class Retry:
     longest: float = 30
     sleep: Callable[[float], None] = time.sleep
 
+    def wait(self, attempt: int) -> float:
+        """How long to wait after an attempt, counted from 1."""
+        return min(max(2 ** (attempt - 1), self.shortest), self.longest)
+
     def call(self, fn: Callable[..., str], *args: str) -> str:
         for attempt in range(1, self.attempts + 1):
             try:
@@ -35,7 +46,88 @@ class Retry:
             except RateLimited:
                 if attempt == self.attempts:
                     raise
-                self.sleep(min(max(2 ** (attempt - 1), self.shortest), self.longest))
+                self.sleep(self.wait(attempt))
+
+
+@dataclass
+class _Batch:
+    """An Arrow batch some rows of which are still to be answered."""
+
+    data: pa.RecordBatch
+    payloads: list[str]
+    content: list[str | None] = field(default_factory=list)
+    errors: list[str | None] = field(default_factory=list)
+    left: int = 0
+
+    def __post_init__(self):
+        self.left = len(self.payloads)
+        self.content = [None] * self.left
+        self.errors = [None] * self.left
+
+
+def answered(
+    batches: Iterator[pa.RecordBatch], payload: str, call: Callable[[str], str | None], workers: int, retry: Retry
+) -> Iterator[_Batch]:
+    """The batches in order, each once all of its rows have an answer or an error.
+
+    Up to `workers` calls run at a time. A row that is to be called again later waits without a
+    worker; the next rows go on, those of the following batches too.
+    """
+    open_batches: deque[_Batch] = deque()
+    fresh: Iterator[tuple[_Batch, int]] = iter(())
+    waiting: list[tuple[float, int, _Batch, int, int]] = []  # due, tie-break, batch, row, attempt
+    running: dict[Future, tuple[_Batch, int, int]] = {}
+    order, ended = 0, False
+
+    def next_row() -> tuple[_Batch, int, int] | None:
+        nonlocal fresh, ended
+        if waiting and waiting[0][0] <= time.monotonic():
+            return heapq.heappop(waiting)[2:]
+        while True:
+            row = next(fresh, None)
+            if row is not None:
+                return *row, 1
+            if ended or len(open_batches) >= OPEN_BATCHES:
+                return None
+            data = next(batches, None)
+            if data is None:
+                ended = True
+                return None
+            batch = _Batch(data, data.column(payload).to_pylist())
+            open_batches.append(batch)
+            fresh = ((batch, i) for i in range(batch.left))
+
+    with ThreadPoolExecutor(workers) as pool:
+        while True:
+            while len(running) < workers and (row := next_row()) is not None:
+                running[pool.submit(call, row[0].payloads[row[1]])] = row
+            while open_batches and not open_batches[0].left:
+                yield open_batches.popleft()
+            if running:
+                pause = max(0.0, waiting[0][0] - time.monotonic()) if waiting and len(running) < workers else None
+                finished, _ = wait(running, pause, FIRST_COMPLETED)
+            elif waiting:
+                # Nothing else to do: after this the earliest is due, whatever the clock says.
+                due, *rest = heapq.heappop(waiting)
+                retry.sleep(max(0.0, due - time.monotonic()))
+                heapq.heappush(waiting, (0.0, *rest))
+                continue
+            elif ended and not open_batches:
+                return
+            else:
+                continue
+            for future in finished:
+                batch, i, attempt = running.pop(future)
+                error = future.exception()
+                if isinstance(error, RateLimited) and attempt < retry.attempts:
+                    order += 1
+                    heapq.heappush(waiting, (time.monotonic() + retry.wait(attempt), order, batch, i, attempt + 1))
+                    continue
+                if error is None:
+                    batch.content[i] = future.result()
+                else:
+                    batch.errors[i] = f"{type(error).__name__}: {error}"
+                batch.left -= 1
 
 
 def score_with(
@@ -48,34 +140,29 @@ def score_with(
 ) -> DataFrame:
     """Call `completer(prompt, payload)` once per row and add `content` and `error`.
 
-    Each task keeps up to `workers` calls in flight, so the whole job has tasks x workers. A call
-    that raises fills `error` and leaves the other rows alone. Other columns pass through as Arrow
-    data, so a key comes back with its own type on its own row. The payload is dropped.
+    At most `workers` calls are in flight at any time in the whole run, whatever the size of the
+    cluster: the rows are dealt to as few tasks as that takes. A call that raises fills `error` and
+    leaves the other rows alone. Other columns pass through as Arrow data, so a key comes back with
+    its own type on its own row. The payload is dropped.
 
     Every evaluation of the result calls the model again: checkpoint it before using it twice.
     """
     if not 1 <= workers <= MAX_WORKERS:
         raise ValueError(f"workers must be between 1 and {MAX_WORKERS}, got {workers}")
+    tasks = -(-workers // TASK_WORKERS)
     kept = [name for name in df.columns if name != payload]
     schema = T.StructType(
         [df.schema[name] for name in kept]
         + [T.StructField("content", T.StringType()), T.StructField("error", T.StringType())]
     )
 
-    def answer(text: str) -> tuple[str | None, str | None]:
-        try:
-            return retry.call(completer, prompt, text), None
-        except Exception as error:
-            return None, f"{type(error).__name__}: {error}"
-
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with ThreadPoolExecutor(workers) as pool:
-            for batch in batches:
-                answers = list(pool.map(answer, batch.column(payload).to_pylist()))
-                content = pa.array([content for content, _ in answers], pa.string())
-                errors = pa.array([error for _, error in answers], pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(name) for name in kept] + [content, errors], [*kept, "content", "error"]
-                )
-
-    return df.select(*[f"`{name}`" for name in kept], F.col(payload)).mapInArrow(score, schema)
+        share = workers // tasks + (TaskContext.get().partitionId() < workers % tasks)
+        for batch in answered(batches, payload, lambda text: completer(prompt, text), share, retry):
+            added = [pa.array(batch.content, pa.string()), pa.array(batch.errors, pa.string())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.data.column(name) for name in kept] + added, [*kept, "content", "error"]
+            )
+
+    rows = df.select(*[f"`{name}`" for name in kept], F.col(f"`{payload}`").alias(payload))
+    return rows.repartition(tasks).mapInArrow(score, schema)

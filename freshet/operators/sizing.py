@@ -41,3 +41,8 @@ def spread_small(df: DataFrame) -> DataFrame:
     if planned_bytes(df) >= cores * bytes_setting(df, "spark.sql.files.maxPartitionBytes", "128m"):
         return df
     return df.repartition(cores)
+
+
+def scan_tasks(df: DataFrame) -> int:
+    """About how many tasks read the frame, by its planned size."""
+    return -(-planned_bytes(df) // bytes_setting(df, "spark.sql.files.maxPartitionBytes", "128m"))

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
+import uuid
+from collections import Counter
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +15,12 @@ from pyspark.sql import functions as F
 from freshet.functions.lexicon import NeedsLexicon, SentimentLexicon
 from freshet.functions.models import SENTIMENT, USER_NEEDS
 from freshet.functions.payload import bytes_text, payload_json, prompt_messages
-from freshet.functions.times import iso_timestamp, partition_number
+from freshet.functions.times import iso_timestamp
 from freshet.operators import joins, sampling
 from freshet.operators.profile import result_profile
 from freshet.operators.projection import project_exclude, project_include, recent_first
 from freshet.operators.responses import flatten, parse_responses, valid_rows
-from freshet.operators.scoring import score_with
+from freshet.operators.scoring import RateLimited, Retry, score_with
 from freshet.operators.sizing import spread_small
 from freshet.operators.state import incremental_filter, last_processed
 from freshet.plans import views
@@ -196,11 +199,13 @@ def join_left_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_salted_both_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clicks with the errors of the same post: hot on either side."""
+    """Every reaction with an even id beside the counts, by type, of its post's odd ones: hot on either
+    side, and linear in the reactions."""
     reactions = views.reactions(spark, sf_dir)
-    clicks = reactions.filter(F.col("event_type") == "click").select("post_key", F.col("event_id").alias("click_id"))
-    errors = reactions.filter(F.col("event_type") == "error").select("post_key", F.col("event_id").alias("error_id"))
-    return joins.join_sources([clicks, errors], "post_key", hot_rows=5, large=True)
+    odd = F.col("event_id") % 2 == 1
+    evens = reactions.filter(~odd).select("post_key", "event_id")
+    odds = reactions.filter(odd).groupBy("post_key", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    return joins.join_sources([evens, odds], "post_key", hot_rows=3, large=True)
 
 
 def join_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -342,6 +347,27 @@ def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_responses(score_with(asked, rule_completer, SENTIMENT.prompt, workers=4), SENTIMENT, error="error")
 
 
+def busy_completer() -> Callable[[str, str], str]:
+    """A model that is busy up to six times, as often as the post's length says."""
+    tries = Counter()
+
+    def complete(prompt: str, payload: str) -> str:
+        post = json.loads(payload)
+        tries[post["post_key"]] += 1
+        if tries[post["post_key"]] <= post["n_chars"] % 7:
+            raise RateLimited("busy")
+        return f"after {tries[post['post_key']]}"
+
+    return complete
+
+
+def score_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a busy model answers at the first to fifth attempt, or not at all."""
+    posts = views.posts(spark, sf_dir)
+    asked = posts.select("post_key", payload_json(posts, ["post_key", "n_chars"]).alias("payload"))
+    return score_with(asked, busy_completer(), SENTIMENT.prompt, workers=4, retry=Retry(sleep=lambda _: None))
+
+
 def echo_completer(prompt: str, payload: str) -> str:
     return payload
 
@@ -390,9 +416,14 @@ def target_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _partitions(transform: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        orders = views.orders(spark, sf_dir)
-        number = partition_number(F.col("o_orderdate"), transform)
-        return orders.select("o_orderkey", number.alias("partition_number"))
+        """Three runs' rows, read back from a cut-off between them, and the partition each is stored in."""
+        target = _target(spark, partition_by=transform)
+        posts = views.posts(spark, sf_dir).select("post_key", "post_type")
+        for third, now in enumerate((datetime(2023, 11, 30, 23, 30), FIRST_RUN, SECOND_RUN)):
+            target.append(posts.filter(F.col("post_key") % 3 == third), now)
+        stored = spark.read.parquet(target.path)
+        numbers = stored.select("post_key", "written_at", F.col(f"written_at_{transform}").alias("partition_number"))
+        return target.load(spark, CUTOFF).join(numbers, ["post_key", "written_at"])
 
     return query
 
@@ -455,6 +486,75 @@ def sentiment_job_sampled_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_runs(spark, job, Native(SENTIMENT_WORDS), 2_000)
 
 
+def _as_table(df: DataFrame, name: str) -> dict[str, str]:
+    """A catalog entry for a job definition."""
+    df.createOrReplaceGlobalTempView(name)
+    return {"database": "global_temp", "table": name, "index_field": "post_key", "datetime_field": "last_update_time"}
+
+
+def _configured(spark: SparkSession, sources: list[dict], response_format: str, partition_by: str) -> Job:
+    """A job from a definition as a user writes it."""
+    name = f"freshet_{uuid.uuid4().hex}"
+    target = {"database": "default", "table": name, "index_field": "post_key", "datetime_field": "written_at"}
+    config = {
+        "connector": {
+            "source": {"tables": sources, "time_filter_hours": WHOLE_MONTH},
+            "target": {**target, "location": scratch_dir(spark, name), "partition_by": partition_by},
+        },
+        "inference": {
+            "workers": 20,
+            "response_format": response_format,
+            "include_fields": ["post_type", "post_message", "n_chars"],
+        },
+    }
+    return Job.from_config(config, seed=SEED)
+
+
+def sentiment_job_completer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job as it is scheduled: two tables, at most 2,000 rows per run, a model that fails on some,
+    whose rows come again in the second run."""
+    tables = [
+        _as_table(views.reactions(spark, sf_dir), "freshet_reactions"),
+        _as_table(views.posts(spark, sf_dir), "freshet_posts"),
+    ]
+    job = _configured(spark, tables, "sentiment", "month")
+    job = replace(job, sources=(replace(job.sources[0], row_id=("event_id",)), job.sources[1]))
+    return _two_runs(spark, job, Completer(rule_completer), 2_000)
+
+
+def needs_completer(prompt: str, payload: str) -> str:
+    """Nested answers by the post's length; refused, or of an unknown type, for some."""
+    length = json.loads(payload)["n_chars"]
+    if length % 11 == 0:
+        raise RuntimeError("refused")
+    groups = {}
+    for i, group in enumerate(f for f in USER_NEEDS.fields if f.fields):
+        kinds = group.fields[0].allowed
+        kind = "something else" if length % 13 == 0 else kinds[(length + i) % 2]
+        groups[group.name] = {"type": kind, "score": length % 101 / 100, "confidence": 0.5}
+    return json.dumps({**groups, "summary": f"{length} characters"})
+
+
+def user_needs_job_completer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table, every new row, nested answers."""
+    job = _configured(spark, [_as_table(views.posts(spark, sf_dir), "freshet_posts")], "user_needs", "day")
+    return _two_runs(spark, job, Completer(needs_completer))
+
+
+def empty_completer(prompt: str, payload: str) -> str:
+    return ""
+
+
+def run_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs that end early: nothing in the window, and no valid answer. Neither makes a target."""
+    rows = []
+    for case, hours, now in (("no_rows", 1, datetime(2030, 1, 1)), ("no_valid", WHOLE_MONTH, FIRST_RUN)):
+        job = replace(_needs_job(spark, sf_dir), hours=hours)
+        summary = run_job(spark, job, Completer(empty_completer), None, now=now)
+        rows.append((case, summary.scored, summary.written, job.target.load(spark) is not None))
+    return spark.createDataFrame(rows, "run string, scored long, written long, target_made boolean")
+
+
 def user_needs_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_runs(spark, _needs_job(spark, sf_dir), Native(NEEDS_WORDS))
 
@@ -491,10 +591,8 @@ def result_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result_profile(rows, ["post_key", "event_id"])
 
 
-def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch run, then a stream of all documents through the same job."""
-    job = _needs_job(spark, sf_dir)
-    run_job(spark, job, Native(NEEDS_WORDS), None, now=FIRST_RUN)
+def _stream_documents(spark: SparkSession, sf_dir: str, job: Job) -> None:
+    """All documents as a stream from its beginning."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     stream = (
         spark.readStream.schema(documents.schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
@@ -503,6 +601,22 @@ def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         views.as_posts(stream), job, Native(NEEDS_WORDS), scratch_dir(spark, "stream"), clock=lambda: SECOND_RUN
     )
     query.awaitTermination()
+
+
+def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch run, then a stream of all documents through the same job."""
+    job = _needs_job(spark, sf_dir)
+    run_job(spark, job, Native(NEEDS_WORDS), None, now=FIRST_RUN)
+    _stream_documents(spark, sf_dir, job)
+    return job.target.load(spark)
+
+
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, and the stream once more with its state lost: the target stays as it is."""
+    job = _needs_job(spark, sf_dir)
+    run_job(spark, job, Native(NEEDS_WORDS), None, now=FIRST_RUN)
+    for _ in range(2):
+        _stream_documents(spark, sf_dir, job)
     return job.target.load(spark)
 
 
@@ -553,6 +667,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enrich_sentiment": enrich_sentiment,
     "enrich_user_needs": enrich_user_needs,
     "score_batch": score_batch,
+    "score_retry": score_retry,
     "score_keeps_key": score_keeps_key,
     "result_profile": result_profile_query,
     "run_summary": run_summary,
@@ -560,6 +675,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sentiment_job_salted": sentiment_job_salted,
     "sentiment_job_sampled": sentiment_job_sampled,
     "sentiment_job_sampled_salted": sentiment_job_sampled_salted,
+    "sentiment_job_completer": sentiment_job_completer,
     "user_needs_job": user_needs_job,
+    "user_needs_job_completer": user_needs_job_completer,
+    "run_empty": run_empty,
     "stream_incremental": stream_incremental,
+    "stream_replay": stream_replay,
 }

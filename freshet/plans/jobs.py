@@ -26,6 +26,16 @@ from freshet.sources.scan import ROW_NUMBER, Source, check_same_key, read_source
 
 # Sampled ids are broadcast up to this number.
 BROADCAST_ROWS = 100_000
+ROWS_PER_TASK = 500
+# Keys of a job definition that say how a model service is reached; the completer's business.
+SERVICE_KEYS = ("provider", "version", "deployment", "engine", "api_key", "api_base")
+
+
+def _only(section: dict, *known: str) -> None:
+    """Refuse a misspelt key: a bound that is not read is no bound at all."""
+    unknown = sorted(set(section) - set(known))
+    if unknown:
+        raise ValueError(f"unknown keys {unknown}; known are {sorted(known)}")
 
 
 @dataclass(frozen=True)
@@ -55,7 +65,15 @@ class Job:
     @classmethod
     def from_config(cls, config: dict, **options) -> Job:
         """From a nested job definition: connector.source, connector.target and inference."""
+        _only(config, "connector", "inference")
         connector, inference = config["connector"], config["inference"]
+        _only(connector, "source", "target")
+        _only(connector["source"], "tables", "time_filter_hours")
+        _only(inference, "workers", "include_fields", "response_format", *SERVICE_KEYS)
+        entry_keys = ("database", "table", "index_field", "datetime_field")
+        for entry in connector["source"]["tables"]:
+            _only(entry, *entry_keys, "location", "partition_by")
+        _only(connector["target"], *entry_keys, "location", "partition_by")
 
         def place(entry: dict) -> dict:
             return {
@@ -177,8 +195,9 @@ def _needed(frames: list[tuple[Source, DataFrame]], job: Job) -> tuple[list[Data
     needed, ids = [], [job.target.key]
     for i, (source, df) in enumerate(frames):
         own = {f"_id_{i}_{name}": name for name in source.ids()}
-        wanted = [name for name in df.columns if name in (job.target.key, ROW_NUMBER, *job.include)]
-        copies = [F.col(f"`{name}`").alias(copy) for copy, name in own.items()]
+        wanted = [name for name in df.columns if name in (job.target.key, *job.include)]
+        numbers = {f"_id_{i}{ROW_NUMBER}": ROW_NUMBER} if ROW_NUMBER in df.columns else {}
+        copies = [F.col(f"`{name}`").alias(copy) for copy, name in {**own, **numbers}.items()]
         needed.append(df.select(*[f"`{name}`" for name in wanted], *copies))
         ids += own
     return needed, ids
@@ -213,21 +232,29 @@ def _sampled(frames: list[DataFrame], ids: list[str], job: Job, k: int) -> DataF
 
     With large sources, texts would be shuffled only to drop nearly all of them. So the ids alone
     are joined and sampled first; then each frame is cut to the ids in that sample, broadcast up to
-    BROADCAST_ROWS of them, and only what is left is joined with its texts. Being part of the full
-    join and holding all of its sample, that has the same sample.
+    BROADCAST_ROWS of them, what is left is joined with its texts, and of that join the sampled rows
+    are kept. Rows read from files are numbered and so told apart; others may be copies of each
+    other, of which only as many are taken as asked for.
     """
     seed = random_seed() if job.seed is None else job.seed
+    numbers = [name for df in frames for name in df.columns if name.startswith("_id_") and name.endswith(ROW_NUMBER)]
     large = job.large
     if large is None:
         large = not all(fits_task(df) for df in frames)
-    if large and k > 0:
-        ensure_checkpoint_dir(frames[0].sparkSession)
-        narrow = [df.select(*[f"`{name}`" for name in df.columns if name in ids]) for df in frames]
-        picked = sample_exact(_join(narrow, job), k, ids, seed).checkpoint()
-        if k <= BROADCAST_ROWS:
-            picked = F.broadcast(picked)
-        frames = [_semi(df, picked, [name for name in df.columns if name in ids]) for df in frames]
-    return sample_exact(_join(frames, job), k, ids, seed)
+    if not large or k == 0:
+        return sample_exact(_join(frames, job), k, ids, seed, ties=numbers).drop(*numbers)
+    ensure_checkpoint_dir(frames[0].sparkSession)
+    told = [*ids, *numbers]
+    narrow = [df.select(*[f"`{name}`" for name in df.columns if name in told]) for df in frames]
+    picked = sample_exact(_join(narrow, job), k, ids, seed, ties=numbers).select(*[f"`{n}`" for n in told]).checkpoint()
+    few = k <= BROADCAST_ROWS
+    picked = F.broadcast(picked) if few else picked
+    cut = [_semi(df, picked, [name for name in df.columns if name in told]) for df in frames]
+    joined = _join(cut, replace(job, large=False) if few else job)
+    rows = _semi(joined, picked, told)
+    if len(numbers) < len(frames):
+        rows = sample_exact(rows, k, ids, seed, direct_rows=BROADCAST_ROWS, ties=numbers)
+    return rows.drop(*numbers)
 
 
 def _semi(df: DataFrame, picked: DataFrame, columns: list[str]) -> DataFrame:
@@ -245,10 +272,14 @@ def enriched(
         owner = _owner(needed, job.include) if isinstance(scorer, Native) else None
         if owner is not None:
             return _score_then_join(needed, owner, job, scorer)
-        return scorer.enrich(spread_small(_join(needed, job)), job)
+        rows = _join(needed, job)
+        return scorer.enrich(spread_small(rows) if isinstance(scorer, Native) else rows, job)
     rows = _sampled(needed, ids, job, max_records)
-    # A small sample ends up in one task; spread it out again before the costly part.
-    return scorer.enrich(rows.repartition(rows.sparkSession.sparkContext.defaultParallelism), job)
+    if isinstance(scorer, Native):
+        # A small sample ends up in one task; spread it out again, a few hundred rows to each.
+        tasks = min(rows.sparkSession.sparkContext.defaultParallelism, -(-max_records // ROWS_PER_TASK))
+        rows = rows.repartition(max(1, tasks))
+    return scorer.enrich(rows, job)
 
 
 def process(

@@ -207,6 +207,61 @@ def _sentiment_runs(limit: int | None) -> str:
     )
 
 
+def _partitions(number: str) -> str:
+    """The second and third run's thirds of the posts."""
+    return _with(
+        "posts",
+        f"""
+        , runs as (select post_key, post_type, case post_key % 3 when 1 then timestamp '2024-01-16'
+                          when 2 then timestamp '2024-01-31' end as written_at from posts where post_key % 3 > 0)
+        select post_key, post_type, written_at, cast({number} as int) as partition_number from runs""",
+    )
+
+
+_ANSWERED = "n_chars % 11 <> 0 and n_chars % 13 <> 0 and n_chars % 7 <> 0"
+
+
+def _completer_runs(limit: int) -> str:
+    """Rows without a post have no length, which the completer fails on; failed rows leave no state."""
+    ids = "coalesce(cast(post_key as varchar), ''), cast(event_id as varchar), coalesce(cast(posted_at as varchar), '')"
+    cut = f"order by md5(concat_ws(':', '{SEED}', {ids})), event_id limit {limit}"
+    joined = "select r.post_key, r.event_id, p.n_chars, p.last_update_time as posted_at from {r} r left join {p} p on r.post_key = p.post_key"
+    return _with(
+        "posts reactions",
+        f"""
+        , run1 as (select * from ({joined.format(r="reactions", p="posts")}) {cut}),
+        done as (select distinct post_key, timestamp '2024-01-16' as written_at from run1 where {_ANSWERED}),
+        new_reactions as ({_new("reactions", _state("max", "done"), "s.last_update_time >= timestamp '2024-01-01'")}),
+        new_posts as ({_new("posts", _state("max", "done"), "s.last_update_time >= timestamp '2024-01-01'")}),
+        run2 as (select * from ({joined.format(r="new_reactions", p="new_posts")}) {cut}),
+        runs as (select *, timestamp '2024-01-16' as written_at from run1
+                 union all select *, timestamp '2024-01-31' from run2)
+        select post_key, written_at, s as score, cast(0.5 as double) as confidence,
+               case when s > 0 then 'positive' when s < 0 then 'negative' else 'neutral' end as sentiment
+        from (select *, (n_chars % 201 - 100) / 100 as s from runs where {_ANSWERED})""",
+    )
+
+
+def _completer_needs() -> str:
+    columns = []
+    for i, group in enumerate(f for f in USER_NEEDS.fields if f.fields):
+        first, second = group.fields[0].allowed
+        columns += [
+            f"case (n_chars + {i}) % 2 when 0 then '{first}' else '{second}' end as \"{group.name}.type\"",
+            f'(n_chars % 101) / 100 as "{group.name}.score"',
+            f'cast(0.5 as double) as "{group.name}.confidence"',
+        ]
+    return _with(
+        "posts",
+        f"""
+        , answered as (select *, n_chars % 11 <> 0 and n_chars % 13 <> 0 as good from posts),
+        runs as (select *, timestamp '2024-01-16' as written_at from answered where good
+                 union all
+                 select *, timestamp '2024-01-31' from answered where good and last_update_time > timestamp '2024-01-16')
+        select post_key, written_at, {", ".join(columns)}, n_chars || ' characters' as summary from runs""",
+    )
+
+
 _NEEDS_RUNS = _with(
     "posts",
     f"""
@@ -290,13 +345,9 @@ ORACLES: dict[str, str] = {
         from (values (0, 'written_at', 'timestamp_ntz'), (1, 'score', 'double'), (2, 'sentiment', 'string'),
                      (3, 'confidence', 'double'), (4, 'post_key', 'bigint'), (5, 'written_at_year', 'int'),
                      (6, 'written_at_month', 'int'), (7, 'written_at_day', 'int')) as t(position, name, type)""",
-    "partition_year": "select o_orderkey, cast(year(o_orderdate) - 1970 as int) as partition_number from orders",
-    "partition_month": """
-        select o_orderkey, cast((year(o_orderdate) - 1970) * 12 + month(o_orderdate) - 1 as int) as partition_number
-        from orders""",
-    "partition_day": """
-        select o_orderkey, cast(date_diff('day', date '1970-01-01', cast(o_orderdate as date)) as int) as partition_number
-        from orders""",
+    "partition_year": _partitions("year(written_at) - 1970"),
+    "partition_month": _partitions("(year(written_at) - 1970) * 12 + month(written_at) - 1"),
+    "partition_day": _partitions("date_diff('day', date '1970-01-01', cast(written_at as date))"),
     "reprocess_after_drop": _with("posts", "select timestamp '2024-01-31' as written_at, post_key from posts"),
     "project_include": _with("posts", "select post_key, post_message from posts"),
     "project_exclude": _with("posts", "select post_key, last_update_time, post_type, lang from posts"),
@@ -329,9 +380,10 @@ ORACLES: dict[str, str] = {
     ),
     "join_salted_both_sides": _with(
         "reactions",
-        """select c.post_key, c.event_id as click_id, e.event_id as error_id
-           from (select * from reactions where event_type = 'click') c
-           left join (select * from reactions where event_type = 'error') e on c.post_key = e.post_key""",
+        """select e.post_key, e.event_id, o.event_type, o.n
+           from (select * from reactions where event_id % 2 = 0) e
+           left join (select post_key, event_type, count(*) as n from reactions where event_id % 2 = 1
+                      group by post_key, event_type) o on e.post_key = o.post_key""",
     ),
     "join_last_wins": _with(
         "posts reactions",
@@ -394,6 +446,12 @@ ORACLES: dict[str, str] = {
                case when reject_reason is null then cast(0.5 as double) end as confidence, reject_reason
         from ruled""",
     ),
+    "score_retry": _with(
+        "posts",
+        """select post_key, case when n_chars % 7 < 5 then 'after ' || (n_chars % 7 + 1) end as content,
+                  case when n_chars % 7 >= 5 then 'RateLimited: busy' end as error
+           from posts""",
+    ),
     "score_keeps_key": _with(
         "reactions",
         """select post_key, event_id,
@@ -433,6 +491,12 @@ ORACLES: dict[str, str] = {
     "sentiment_job_salted": _sentiment_runs(None),
     "sentiment_job_sampled": _sentiment_runs(2_000),
     "sentiment_job_sampled_salted": _sentiment_runs(2_000),
+    "sentiment_job_completer": _completer_runs(2_000),
     "user_needs_job": _NEEDS_RUNS,
+    "user_needs_job_completer": _completer_needs(),
+    "run_empty": """
+        select 'no_rows' as run, cast(0 as bigint) as scored, cast(0 as bigint) as written, false as target_made
+        union all select 'no_valid', count(*), 0, false from documents""",
     "stream_incremental": _NEEDS_RUNS,
+    "stream_replay": _NEEDS_RUNS,
 }

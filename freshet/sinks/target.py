@@ -38,9 +38,12 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
     """
     spark = df.sparkSession
     path = scratch_dir(spark, "staged")
-    df.write.parquet(path)
-    yield spark.read.schema(df.schema).parquet(path)
-    empty_folder(spark, path)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        if load_table(spark, path=path) is not None:
+            empty_folder(spark, path)
 
 
 @dataclass(frozen=True)

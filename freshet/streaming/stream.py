@@ -25,7 +25,8 @@ def start_stream(
     """Run the job on each micro-batch of its first source; the other sources are read as they are.
 
     Without `every` (such as "30 minutes") the query works off what is there and ends. No batch is
-    sampled: rows left out would not come again. For the same reason a batch that another source
+    sampled: rows left out would not come again; for at most so many rows a time, schedule `run_job`
+    with `max_records`, which finds the rest again next time. For the same reason a batch that another source
     holds up, by having no row in the window, fails the query: it is offered again on restart. A
     batch replayed after a failure finds its rows in the target, written later than their update,
     and skips them.
@@ -34,13 +35,19 @@ def start_stream(
     def enrich(batch: DataFrame, _: int) -> None:
         now = utc_naive(clock())
         cutoff = cutoff_before(now, job.hours)
-        first = replace(job.sources[0], frame=batch, table=None, path=None)
-        this = replace(job, sources=(first, *job.sources[1:]))
-        frames = new_frames(batch.sparkSession, this, cutoff)
-        if frames:
-            process(frames, this, scorer, None, now)
-        elif not scan_window(batch, first.ts, cutoff).isEmpty():
-            raise RuntimeError("another source has no rows in the window; the batch is kept back")
+        needed = {job.sources[0].key, job.sources[0].ts, *job.sources[0].ids(), *job.include}
+        # Looked at several times below: read from its source once.
+        batch = batch.select(*[f"`{name}`" for name in batch.columns if name in needed]).persist()
+        try:
+            first = replace(job.sources[0], frame=batch, table=None, path=None)
+            this = replace(job, sources=(first, *job.sources[1:]))
+            frames = new_frames(batch.sparkSession, this, cutoff)
+            if frames:
+                process(frames, this, scorer, None, now)
+            elif not scan_window(batch, first.ts, cutoff).isEmpty():
+                raise RuntimeError("another source has no rows in the window; the batch is kept back")
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(enrich).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)

@@ -166,6 +166,10 @@ def test_job_definition():
     assert [s.table for s in job.sources] == ["gold.facts", "gold.posts"]
     assert (job.target.table, job.target.path, job.target.partition_by) == ("dev.sentiment", "/data/sentiment", "month")
     assert (job.model, job.include, job.hours, job.workers) == (SENTIMENT, ("post_message",), 10, 20)
+    config["connector"]["source"]["time_filter_hour"] = 10
+    with pytest.raises(ValueError, match="time_filter_hour"):
+        Job.from_config(config)
+    del config["connector"]["source"]["time_filter_hour"]
     config["connector"]["source"]["tables"][1]["index_field"] = "id"
     with pytest.raises(ValueError):
         Job.from_config(config)

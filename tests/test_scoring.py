@@ -1,11 +1,15 @@
 import json
+import threading
+import time
 
 import pytest
 from helpers import collected
 
 from freshet.functions.lexicon import SentimentLexicon
+from freshet.operators import scoring
 from freshet.operators.scoring import RateLimited, Retry, score_with
 from pyspark.sql import functions as F
+import pyarrow as pa
 
 
 def waits_until(success_at):
@@ -104,3 +108,66 @@ def test_lexicon_edges(spark):
         (6, 0.0, "neutral", 1.0),
         (7, 0.0, "neutral", 0.0),
     ]
+
+
+@pytest.mark.parametrize("workers", [3, 13, 20])
+def test_calls_in_flight_are_bounded_over_all_tasks(spark, tmp_path, workers):
+    log = str(tmp_path / "calls")
+
+    def slow(prompt, payload):
+        for sign in "+-":
+            with open(log, "a") as out:
+                out.write(f"{time.time():.6f} {sign}\n")
+            if sign == "+":
+                time.sleep(0.05)
+        return payload
+
+    df = spark.range(90).selectExpr("id", "cast(id as string) as payload").repartition(6)
+    assert score_with(df, slow, "p", workers=workers).filter("content = cast(id as string)").count() == 90
+    at, most = 0, 0
+    for line in sorted(open(log)):
+        at += 1 if line.split()[1] == "+" else -1
+        most = max(most, at)
+    assert workers // 2 < most <= workers
+
+
+def batches(*sizes):
+    at = 0
+    for size in sizes:
+        yield pa.RecordBatch.from_pydict({"payload": [str(i) for i in range(at, at + size)]})
+        at += size
+
+
+def test_a_waiting_row_frees_its_worker():
+    calls, lock = [], threading.Lock()
+
+    def call(text):
+        with lock:
+            calls.append(text)
+            if text == "0" and calls.count("0") < 3:
+                raise RateLimited("later")
+        return text
+
+    waits = []
+    out = list(scoring.answered(batches(3, 3, 3), "payload", call, 1, Retry(sleep=waits.append)))
+    assert [b.content for b in out] == [["0", "1", "2"], ["3", "4", "5"], ["6", "7", "8"]]
+    # With a single worker, all other rows were called before the first one's second attempt.
+    assert calls.index("8") < [i for i, c in enumerate(calls) if c == "0"][1] and len(waits) == 2
+
+
+def test_open_batches_are_bounded():
+    taken = []
+
+    def source():
+        for batch in batches(*[1] * 20):
+            taken.append(batch)
+            yield batch
+
+    def call(text):
+        if text == "0":
+            raise RateLimited("always")
+        return text
+
+    out = scoring.answered(source(), "payload", call, 2, Retry(sleep=lambda _: None))
+    assert next(out).errors == ["RateLimited: always"] and len(taken) <= scoring.OPEN_BATCHES + 1
+    assert sum(1 for _ in out) == 19
