@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,8 +46,8 @@ def join_sources(
     Same-named columns of later frames get a suffix; `prefer="right"` keeps the last one's value
     under the plain name instead.
 
-    With a right side too large to broadcast (`large` forces the choice), the hot keys are joined in
-    pieces; see `freshet.operators.skew`.
+    With a right side too large to broadcast (`large` forces the choice), the rows of hot keys are
+    split off and joined in pieces; see `freshet.operators.skew`.
     """
     if prefer not in ("left", "right"):
         raise ValueError(f"prefer must be 'left' or 'right', got {prefer!r}")
@@ -54,17 +55,34 @@ def join_sources(
     renamed = with_suffixes(frames, key)
     shuffled = [large if large is not None else not fits_broadcast(df) for df in renamed[1:]]
     hot = hot_keys(renamed, key, hot_rows) if any(shuffled) else None
-    joined = renamed[0]
-    for step, df in enumerate(renamed[1:], start=1):
-        if shuffled[step - 1] and hot is not None:
-            joined = salted_join(joined, df, key, hot, step, how, hot_rows)
-        else:
-            joined = joined.join(df, key, how)
+    if hot is None:
+        joined = reduce(lambda left, right: left.join(right, key, how), renamed)
+    else:
+        joined = _split_join(renamed, key, how, shuffled, hot, hot_rows)
     if prefer == "right":
         joined = _last_wins(joined, frames, renamed, key)
     return joined
 
 
+def _split_join(
+    frames: list[DataFrame], key: str, how: str, shuffled: list[bool], hot: DataFrame, hot_rows: int
+) -> DataFrame:
+    """Rows of hot keys, and those without a key, are joined in pieces; all others plainly, with the
+    one shuffle by key that serves every step."""
+    keys, own = F.broadcast(hot.select("_hot_key")), F.col(f"`{key}`")
+    cold = [df.filter(own.isNotNull()).join(keys, own == F.col("_hot_key"), "left_anti") for df in frames]
+    joined = reduce(lambda left, right: left.join(right, key, how), cold)
+    first, *others = frames
+    hot_key = F.col("_hot_key")
+    pieces = first.join(keys, own == hot_key, "left").filter(own.isNull() | hot_key.isNotNull()).drop("_hot_key")
+    for step, df in enumerate(others, start=1):
+        if shuffled[step - 1]:
+            pieces = salted_join(pieces, df.join(keys, own == hot_key, "left_semi"), key, hot, step, how, hot_rows)
+        else:
+            pieces = pieces.join(df, key, how)
+    return joined.unionByName(pieces)
+
+
 def _last_wins(joined: DataFrame, frames: list[DataFrame], renamed: list[DataFrame], key: str) -> DataFrame:
     last = {}
     for original, fresh in zip(frames, renamed):

@@ -126,3 +126,20 @@ def test_suffix_does_not_hit_an_existing_name(spark):
     joined = join_sources([left, frame(spark, "v", [(1, "c")])], "k")
     assert joined.columns == ["k", "v", "v_2", "v_2_"]
     assert collected(joined) == [(1, "a", "b", "c")]
+
+
+def test_cold_rows_are_shuffled_once(spark):
+    """Three sources, one hot key: the steps for all other keys share one shuffle of each side."""
+    left = spark.range(400).selectExpr("if(id < 200, 7, id) as k", "id as a")
+    others = [spark.range(300).selectExpr("id as k", f"id as {name}") for name in ("b", "c")]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_sources([left, *others], "k", hot_rows=50, large=True)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert joined.count() == 400
+    cold = plan.split("Union")[1]
+    assert len([l for l in cold.splitlines() if "Exchange hashpartitioning(" in l and "_piece" not in l]) == 3
