@@ -41,12 +41,49 @@ def json_string(col: Column) -> Column:
     return once(quoted, lower_escapes)
 
 
+def _shortest(value: Column) -> Column:
+    """The value in scientific form, `1.5E20`, with no more digits than tell it from its neighbours.
+
+    Java before release 19 now and then writes a digit too many. That shows by 16 digits or more, or
+    next to the smallest values; there, fewer digits are tried until they no longer give the value."""
+    text = value.cast("string")
+    size = F.abs(value)
+
+    def fits(candidate: Column) -> Column:
+        return candidate.try_cast("double") == value
+
+    # Whole numbers in reach, of 16 to 19 digits, are rounded from their exact digits.
+    whole = size.try_cast("bigint")
+    rounded = [F.round(whole, -dropped).cast("string") for dropped in (4, 3, 2, 1, 0)]
+    exact = [F.when(value < 0, F.concat(F.lit("-"), r)).otherwise(r) for r in rounded]
+    shown = {n: F.format_string(f"%.{n - 1}E", value) for n in range(1, 18)}
+    first = lambda texts: F.coalesce(*[F.when(fits(t), t) for t in texts], text)
+    long = F.length(F.regexp_replace(F.substring_index(text, "E", 1), "[-.]|^0[.]0*", "")) >= 16
+    return (
+        F.when(size.between(2.0**53, 2.0**61), first(exact))
+        .when(size < 1e-300, F.when(value == 0, text).otherwise(first(shown.values())))
+        .when(long, first([shown[n] for n in (15, 16, 17)]))
+        .otherwise(text)
+    )
+
+
 def float_text(col: Column) -> Column:
     """A double as Python shows it: plain digits for exponents -4 to 15, else like `1e+20`."""
-    text = col.cast("double").cast("string")
-    mantissa, exponent = F.substring_index(text, "E", 1), F.substring_index(text, "E", -1).cast("int")
+    return once(col.cast("double"), lambda value: once(_shortest(value), _python_style))
+
+
+def _python_style(text: Column) -> Column:
+    """From digits with a point, without one, or with an exponent behind `E`, whatever its form."""
+    mantissa = F.regexp_extract(text, r"^-?([0-9]+)(?:[.]([0-9]+))?", 1)
+    fraction = F.regexp_extract(text, r"^-?([0-9]+)(?:[.]([0-9]+))?", 2)
+    power = F.coalesce(F.regexp_extract(text, r"E[+]?(-?[0-9]+)$", 1).try_cast("int"), F.lit(0))
     sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    digits = F.regexp_replace(F.regexp_replace(mantissa, "[-.]", ""), "(?<=.)0+$", "")
+    every = F.concat(mantissa, fraction)
+    significant = F.ltrim(every, F.lit("0"))
+    leading = F.length(every) - F.length(significant)
+    exponent = F.length(mantissa) - 1 - leading + power
+    digits = F.when(significant == "", F.lit("0")).otherwise(F.regexp_replace(significant, "(?<=.)0+$", ""))
+    exponent = F.when(significant == "", F.lit(0)).otherwise(exponent)
     head, tail = F.substr(digits, F.lit(1), F.lit(1)), F.substr(digits, F.lit(2))
     scientific = F.concat(
         F.when(tail == "", head).otherwise(F.concat(head, F.lit("."), tail)),
@@ -63,7 +100,7 @@ def float_text(col: Column) -> Column:
     rebuilt = (
         F.when((exponent >= 16) | (exponent < -4), scientific).when(exponent < 0, small).otherwise(large)
     )
-    return F.when(F.contains(text, F.lit("E")), F.concat(sign, rebuilt)).otherwise(text)
+    return F.when(text.rlike("^-?[0-9]"), F.concat(sign, rebuilt)).otherwise(text)
 
 
 class _Pair(T.StructType):

@@ -123,13 +123,13 @@ def adhoc_inner_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    views.posts(spark, sf_dir).createOrReplaceTempView("posts")
-    views.reactions(spark, sf_dir).createOrReplaceTempView("reactions")
+    views.posts(spark, sf_dir).createOrReplaceTempView("freshet_adhoc_posts")
+    views.reactions(spark, sf_dir).createOrReplaceTempView("freshet_adhoc_reactions")
     return spark.sql(
         """
         SELECT p.post_key, p.last_update_time AS posted_at, p.post_type, p.lang, p.n_chars,
                r.event_id, r.last_update_time AS reacted_at, r.event_type, r.value
-        FROM reactions r JOIN posts p ON r.post_key = p.post_key
+        FROM freshet_adhoc_reactions r JOIN freshet_adhoc_posts p ON r.post_key = p.post_key
         WHERE r.last_update_time >= TIMESTAMP_NTZ '2024-01-31 00:00:00' - INTERVAL '672' HOUR
           AND p.last_update_time >= TIMESTAMP_NTZ '2024-01-31 00:00:00' - INTERVAL '672' HOUR
         """

@@ -7,7 +7,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +46,13 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
             empty_folder(spark, path)
 
 
+def _stored_value(value: Column, dtype: T.DataType) -> Column:
+    """As the table holds it: times with a zone as UTC without one."""
+    if isinstance(dtype, T.TimestampType):
+        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), value.cast(T.TimestampNTZType()))
+    return value.cast(table_type(dtype))
+
+
 @dataclass(frozen=True)
 class Target:
     """A catalog table (`table`, optionally stored at `path`) or just a folder (`path`).
@@ -100,7 +107,7 @@ class Target:
     def layout(self, records: DataFrame, now: datetime) -> DataFrame:
         """The stored form of a batch: write time first, the batch's columns, partition columns."""
         columns = [
-            F.col(f"`{f.name}`").cast(table_type(f.dataType)).alias(f.name)
+            _stored_value(F.col(f"`{f.name}`"), f.dataType).alias(f.name)
             for f in records.schema
             if f.name != self.ts
         ]

@@ -1,5 +1,7 @@
 import json
+import math
 import random
+import struct
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -7,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from freshet.functions.models import MODELS, PYTHON_TYPES, SENTIMENT, USER_NEEDS, model_named, table_type
-from freshet.functions.payload import payload_json, prompt_messages
+from freshet.functions.payload import float_text, payload_json, prompt_messages
 from freshet.functions.times import partition_number
 from pyspark.sql import types as T
 
@@ -135,3 +137,17 @@ def test_any_number(spark):
     assert [json.loads(text)["x"] for text in texts] == values
     same = sum(text == json.dumps({"x": x}) for text, x in zip(texts, values))
     assert same > 0.9 * len(values)
+
+
+def test_doubles_of_all_sizes(spark):
+    rng = random.Random(17)
+    bits = [rng.getrandbits(64) for _ in range(12_000)]
+    values = [struct.unpack("<d", struct.pack("<Q", b))[0] for b in bits]
+    values += [float(rng.randrange(2**53, 2**61)) for _ in range(1500)] + [rng.randrange(-(10**9), 10**9) / 10**rng.randrange(12) for _ in range(1500)]
+    values += [2e23, 5e-324, 2.2250738585072014e-308, 1e22, 1e16, 9007199254740993.0, -0.0, 0.0, 1e-5, 123456789012345680.0, 2.0**60]
+    values = [v for v in values if math.isfinite(v)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    shown = dict(df.select("i", float_text(F.col("v"))).collect())
+    wrong = [(v, shown[i]) for i, v in enumerate(values) if shown[i] != json.dumps(v)]
+    # Beyond 2^61 the JVM does not always show the nearer of two shortest texts; both are the value.
+    assert all(abs(v) > 2**61 and float(text) == v for v, text in wrong) and len(wrong) <= len(values) // 500

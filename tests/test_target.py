@@ -67,3 +67,16 @@ def test_types_a_table_does_not_hold_become_text(spark, tmp_path):
     stored = target.load(spark)
     assert [f.dataType.simpleString() for f in stored.schema] == ["timestamp_ntz", "string", "string", "int"]
     assert collected(stored) == [(at(8), "1.50", "1", 2)]
+
+
+def test_zoned_times_are_stored_as_utc_without_zone(spark, tmp_path):
+    target = Target("k", "written_at", path=str(tmp_path / "t"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        target.append(spark.sql("select 1L as k, timestamp '2024-01-10 12:00:00+00:00' as seen"), at(13))
+        stored = spark.read.parquet(target.path)
+        assert dict(stored.dtypes)["seen"] == "timestamp_ntz"
+        assert stored.first()["seen"] == at(12)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
