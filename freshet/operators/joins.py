@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.operators.sizing import fits_broadcast
-from freshet.operators.skew import HOT_ROWS, hot_keys, salted_join
+from freshet.operators.skew import default_hot_rows, hot_keys, salted_join
 from freshet.sources.scan import scan_window
 
 
@@ -37,7 +37,7 @@ def join_sources(
     key: str,
     how: str = "left",
     prefer: str = "left",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     large: bool | None = None,
 ) -> DataFrame:
     """Fold the frames into one by equi joins on `key`; null keys match nothing.
@@ -54,7 +54,10 @@ def join_sources(
     frames = list(frames)
     renamed = with_suffixes(frames, key)
     shuffled = [large if large is not None else not fits_broadcast(df) for df in renamed[1:]]
-    hot = hot_keys(renamed, key, hot_rows) if any(shuffled) else None
+    hot = None
+    if any(shuffled):
+        hot_rows = default_hot_rows(renamed) if hot_rows is None else hot_rows
+        hot = hot_keys(renamed, key, hot_rows)
     if hot is None:
         joined = reduce(lambda left, right: left.join(right, key, how), renamed)
     else:

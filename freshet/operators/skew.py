@@ -1,7 +1,7 @@
 """Joins on keys of which a few may hold a large share of the rows.
 
 A hash shuffle sends all rows of one key to one task. Before joining two large frames, the keys
-with more than `hot_rows` rows are found by a count that reads the key column alone and is combined
+with more than `hot_rows` rows (by default what is 256 MB of the widest side) are found by a count that reads the key column alone and is combined
 before its shuffle. Where there are none, the join is a plain one. Otherwise their rows are cut into
 pieces: each side spreads its own rows over its own number of pieces and repeats them for every
 piece of the other side, so that each pair of rows still meets exactly once.
@@ -20,10 +20,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from freshet.operators.sizing import planned_bytes
 from freshet.session import ensure_checkpoint_dir
 
 MAX_HOT_KEYS = 100_000
+# A key is hot by default if its rows take more than this, or are more than HOT_ROWS.
+HOT_BYTES = 256 * 2**20
 HOT_ROWS = 1_000_000
+FEWEST_HOT_ROWS = 1_000
+
+
+def default_hot_rows(frames: Sequence[DataFrame]) -> int:
+    """How many rows of the widest frame make HOT_BYTES, by planned size and a count of rows."""
+    counted = [df.agg(F.count(F.lit(1)).alias("n"), F.lit(i).alias("i")) for i, df in enumerate(frames)]
+    rows = {r["i"]: max(1, r["n"]) for r in reduce(DataFrame.union, counted).collect()}
+    widest = max(planned_bytes(df) / rows[i] for i, df in enumerate(frames))
+    return int(min(HOT_ROWS, max(FEWEST_HOT_ROWS, HOT_BYTES / max(widest, 1))))
+
 
 def hot_keys(frames: Sequence[DataFrame], key: str, hot_rows: int) -> DataFrame | None:
     """Keys with more than `hot_rows` rows in a frame or in the join of the first i frames; None if

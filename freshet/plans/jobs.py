@@ -18,7 +18,6 @@ from freshet.operators.responses import flatten, parse_responses, valid_rows
 from freshet.operators.sampling import random_seed, sample_exact
 from freshet.operators.scoring import Retry, score_with
 from freshet.operators.sizing import fits_task, spread_small
-from freshet.operators.skew import HOT_ROWS
 from freshet.operators.state import incremental_filter, last_processed
 from freshet.session import ensure_checkpoint_dir
 from freshet.sinks.target import Target, staged
@@ -56,7 +55,7 @@ class Job:
     seed: int | None = None
     state: str = "latest"
     prefer: str = "right"
-    hot_rows: int = HOT_ROWS
+    hot_rows: int | None = None
     large: bool | None = None
 
     def __post_init__(self):

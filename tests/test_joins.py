@@ -143,3 +143,14 @@ def test_cold_rows_are_shuffled_once(spark):
     assert joined.count() == 400
     cold = plan.split("Union")[1]
     assert len([l for l in cold.splitlines() if "Exchange hashpartitioning(" in l and "_piece" not in l]) == 3
+
+
+def test_wide_rows_make_a_key_hot_sooner(spark, tmp_path):
+    narrow = spark.range(20_000).selectExpr("id as k")
+    narrow.write.parquet(str(tmp_path / "narrow"))
+    spark.range(2_000).selectExpr("id as k", "sha2(cast(id as string), 512) as a").selectExpr("k", "repeat(a, 400) as text").write.option(
+        "compression", "none"
+    ).parquet(str(tmp_path / "wide"))
+    sizes = [skew.default_hot_rows([spark.read.parquet(str(tmp_path / n))]) for n in ("narrow", "wide")]
+    assert sizes[0] == skew.HOT_ROWS and skew.FEWEST_HOT_ROWS <= sizes[1] < 50_000
+    assert skew.default_hot_rows([narrow.limit(0)]) >= skew.FEWEST_HOT_ROWS
