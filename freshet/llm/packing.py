@@ -11,14 +11,15 @@ it does not grow with the data:
 3. What is left over goes, longest first, where it fits best: into the room that rounding to classes
    left in the patterns, or into new sequences. Also in runs.
 
-A piece then finds its place by its rank among the pieces of its length: ranks are numbered within
-salted parts of a length, so a length that very many pieces share is spread over tasks, and the
-plan's runs say which sequence and offset a rank has.
+A piece then finds its place by its rank among the pieces of its length: the n pieces of a length are
+numbered in about sqrt(n) salted parts, so that one which very many pieces share is spread over tasks,
+and the plan's runs say which sequence and offset a rank has.
 """
 
 from __future__ import annotations
 
 import bisect
+import math
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
@@ -35,7 +36,6 @@ from freshet.llm.tokens import END, encoder
 CAPACITY = 4096
 CLASSES = 128
 PARTS = 4
-SALT_ROWS = 50_000
 
 
 def tokenizer_path() -> str:
@@ -232,7 +232,7 @@ def slots(made: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int,
     return out
 
 
-def place(found: DataFrame, capacity: int = CAPACITY, salt_rows: int = SALT_ROWS) -> DataFrame:
+def place(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """`found` (with `_row`, `piece`, `length`) with `sequence_id` and `offset`.
 
     Pieces of equal length are interchangeable; which one goes where follows from their order by
@@ -245,7 +245,7 @@ def place(found: DataFrame, capacity: int = CAPACITY, salt_rows: int = SALT_ROWS
         slots(plan(histogram, capacity)), "length long, first long, end long, sequence long, offset long"
     )
     salts = spark.createDataFrame(
-        [(length, -(-n // salt_rows)) for length, n in histogram.items()], "length long, salts long"
+        [(length, math.isqrt(n)) for length, n in histogram.items()], "length long, salts long"
     )
     salted = found.join(F.broadcast(salts), "length").withColumn("_salt", F.pmod(F.xxhash64("_row", "piece"), F.col("salts"))).drop("salts")
     counts = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("n"))

@@ -84,12 +84,11 @@ def check(rows, expected, capacity):
     return len(places), -(-total // capacity)
 
 
-@pytest.mark.parametrize("salt_rows", [50_000, 3])
-def test_documents_are_packed_whole(spark, tokenizer, salt_rows):
+def test_documents_are_packed_whole(spark, tokenizer):
     all_texts = texts()
     expected = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 1] for i, t in all_texts.items()}
     found = packing.materialise(packing.pieces(documents(spark, all_texts.items()), packing.tokenizer_path()), "p")
-    used, least = check(packing.place(found, salt_rows=salt_rows).collect(), expected, packing.CAPACITY)
+    used, least = check(packing.place(found).collect(), expected, packing.CAPACITY)
     assert used <= 1.03 * least + 2
 
 
