@@ -210,14 +210,15 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
             for path in batch.column("path").to_pylist():
                 with system.open_input_stream(path) as stream:
                     data = stream.read()
-                rows = []
+                rows, size = [], 0
                 for r in read_archive(data):
                     response = r.headers["WARC-Type"] == "response"
                     rows.append((r.headers["WARC-Record-ID"], r.headers["WARC-Type"], r.headers.get("WARC-Target-URI"), int(r.http["Content-Length"]),
                                  r.headers["WARC-Payload-Digest"].removeprefix("sha1:"), r.headers.get("WARC-Refers-To"), r.payload if response else None))
-                    if len(rows) == 500:
+                    size += len(r.payload)
+                    if size > 8 * 2**20 or len(rows) == 5000:
                         yield _batch(rows, names, kinds)
-                        rows = []
+                        rows, size = [], 0
                 if rows:
                     yield _batch(rows, names, kinds)
 
