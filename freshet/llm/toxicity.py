@@ -59,6 +59,13 @@ class Machine:
     def score(self, index: np.ndarray, starts: np.ndarray) -> np.ndarray:
         return 1.0 / (1.0 + np.exp(-np.clip(self.margins(index, starts), -30, 30)))
 
+    def score_texts(self, texts: pa.Array) -> np.ndarray:
+        """A few texts at a time: each term of each text takes a vector while it is summed."""
+        parts = [np.zeros(0)]
+        for at in range(0, len(texts), 128):
+            parts.append(self.score(*_rows([terms(t.as_py()) for t in texts[at : at + 128]])))
+        return np.concatenate(parts)
+
 
 def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sums of consecutive rows; 0 for a row without terms."""
@@ -167,8 +174,7 @@ def score(docs: DataFrame, machine: Machine, text: str = "text", id_col: str = "
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            index, starts = _rows([terms(t.as_py()) for t in batch.column("text")])
-            found = pa.array(shared.value.score(index, starts), pa.float64())
+            found = pa.array(shared.value.score_texts(batch.column("text")), pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("doc_id"), found], ["_row", "doc_id", "score"])
 
     rows = numbered(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")))
@@ -189,7 +195,6 @@ def drop_toxic(docs: DataFrame, machine: Machine, text: str = "text", id_col: st
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            index, starts = _rows([terms(t.as_py()) for t in batch.column(text)])
-            yield batch.filter(pa.array(shared.value.score(index, starts) < 0.5))
+            yield batch.filter(pa.array(shared.value.score_texts(batch.column(text)) < 0.5))
 
     return docs.mapInArrow(each, docs.schema)
