@@ -2,7 +2,7 @@
 
 The tree builder closes what HTML lets authors leave open (paragraphs, list items, cells, options) and
 ignores stray end tags. The layout leaves out what is not shown (scripts, styles, hidden attributes and
-styles), collapses white space outside `pre`, sets blocks apart, marks list items and aligns table cells
+styles, lists to choose from), collapses white space outside `pre`, sets blocks apart, marks list items and aligns table cells
 in columns. All visible text is kept, navigation and footers too.
 """
 
@@ -19,7 +19,11 @@ from pyspark.sql import functions as F
 
 # Element classes of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head script style template noscript title meta link datalist object iframe svg math audio video canvas select textarea".split())
+HIDDEN = frozenset("head script style template noscript title meta link datalist object iframe audio video canvas select".split())
+# What may lie in a head; any other element, or text, ends one left open.
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+# Parts of a drawing or formula that only describe it.
+ASIDE = frozenset("defs desc metadata annotation annotation-xml".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Blocks with an empty line around them, and those that only start a line of their own.
 SPACED = frozenset("p blockquote pre ul ol dl table figure hr".split()) | HEADINGS
@@ -61,15 +65,17 @@ class TreeBuilder(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in ("html", "body") and any(n.tag == tag for n in self.open):
             return
+        if tag == "body" or (self.open[-1].tag == "head" and tag not in HEAD and tag not in ("html", "head")):
+            self._close(("head",), ())
         if tag in BLOCKS:
             self._close(("p",), _CELLS + ("table", "li", "dd", "button", "object"))
             if tag in HEADINGS and self.open[-1].tag in HEADINGS:
                 self.open.pop()
-        if tag == "body" or (tag in BLOCKS and self.open[-1].tag == "head"):
-            self._close(("head",), ())
         if tag in IMPLIED_END:
             self._close(*IMPLIED_END[tag])
         node = Node(tag, {k: v or "" for k, v in attrs})
+        if tag in ASIDE and any(n.tag in ("svg", "math") for n in self.open):
+            node.attrs["hidden"] = ""
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
@@ -86,6 +92,8 @@ class TreeBuilder(HTMLParser):
         self._close((tag,), limit if tag not in _CELLS else ("table",))
 
     def handle_data(self, data: str) -> None:
+        if self.open[-1].tag == "head" and data.strip(" \t\n\r\f"):
+            self.open.pop()
         if self.open[-1].tag in ("table", "thead", "tbody", "tfoot", "tr") and not data.strip():
             return
         self.open[-1].children.append(data)
@@ -196,6 +204,8 @@ def render(root: Node) -> str:
                 out.indent = out.indent[2:]
             elif node.tag == "q":
                 out.add('"')
+            elif node.tag in ("textarea", "svg", "text"):
+                out.space = bool(out.line)
             if node.tag in BLOCKS:
                 out.block(2 if node.tag in SPACED and not (lists and node.tag in ("ul", "ol")) else 1)
             continue
@@ -236,7 +246,7 @@ def render(root: Node) -> str:
             out.text("    ", True)
         elif tag == "q":
             out.text('"')
-        if tag in ("td", "th"):  # a cell outside a table
+        if tag in ("td", "th", "textarea", "svg", "text"):  # a cell outside a table, a field, a drawing and its labels
             out.space = bool(out.line)
         stack.append((_CLOSE, at))
         stack.extend(reversed(at.children))

@@ -40,6 +40,24 @@ def test_layout(html, text):
     assert page_text(html) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<head><title>t</title>first<p>a", "first\n\na"),
+        ("<head><meta charset=x><span>a <p>b</span></p>c", "a\n\nb\n\nc"),
+        ("<html><head><title>t</title><font><div>a</div>b</font>", "a\nb"),
+        ("<head><script>1</script> <!-- c --> <style>x</style></head> z", "z"),
+        ("<head><noscript><p>n</noscript><title>t</title></head><body>b", "b"),
+        ("x<textarea>typed</textarea>y", "x typed y"),
+        ("<svg><title>n</title><desc>d</desc><text>one</text><text>two</text></svg>", "one two"),
+        ("<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math>", "x=1"),
+        ("<desc>seen</desc>", "seen"),
+    ],
+)
+def test_text_outside_a_body_and_in_fields_and_drawings_is_kept(html, text):
+    assert page_text(html) == text
+
+
 def test_no_visible_word_of_the_pages_is_lost():
     for _, _, html in table("pages"):
         shown = re.sub(r"(?s)<!--.*?-->|<(script|style|title)\b.*?</\1>|<[^>]*>", " ", html)
