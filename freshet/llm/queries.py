@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freshet.llm import exact_dedup, html_text, mixing, packing, pii, quality_rules, simhash, suffix_dedup, toxicity, warc
+from freshet.llm import (
+    exact_dedup,
+    fill_middle,
+    html_text,
+    mixing,
+    packing,
+    pii,
+    quality_rules,
+    quality_votes,
+    ranked_search,
+    simhash,
+    suffix_dedup,
+    toxicity,
+    warc,
+)
 from freshet.llm.frames import read
 
 
@@ -60,6 +74,19 @@ def op10_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_swar_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digest(fill_middle.transform(read(spark, sf_dir, "documents")))
+
+
+def op12_neighbour_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality_votes.score(docs, quality_votes.train(docs, read(spark, sf_dir, "labels")))
+
+
+def op13_document_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -73,6 +100,9 @@ QUERIES = {
         op8_simhash_blocks,
         op9_layout_text,
         op10_sainte_lague,
+        op11_swar_fill_middle,
+        op12_neighbour_votes,
+        op13_document_tree,
     )
 }
 
@@ -212,4 +242,57 @@ ORACLES = {
                place = 1 as kept, sha256(bare) as text_sha256
         from ranked
     """,
+    "op11_swar_fill_middle": r"""
+        with texts as (
+            select doc_id, coalesce(text, '') as t, cast(length(coalesce(text, '')) as bigint) as n,
+                   sha256('1:' || coalesce(cast(doc_id as varchar), '')) as hex
+            from documents
+        ), drawn as (
+            select doc_id, t, n, cast('0x' || substr(hex, 1, 8) as bigint) % (n + 1) as one,
+                   cast('0x' || substr(hex, 9, 8) as bigint) % (n + 1) as two,
+                   case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>')
+                             or cast('0x' || substr(hex, 17, 8) as bigint) % 100 >= 90 then 'plain'
+                        when cast('0x' || substr(hex, 25, 8) as bigint) % 100 < 20 then 'spm' else 'psm' end as form
+            from texts
+        ), cut as (
+            select *, least(one, two) as a, greatest(one, two) as b from drawn
+        ), parts as (
+            select *, substr(t, 1, a) as prefix, substr(t, a + 1, b - a) as middle, substr(t, b + 1) as suffix from cut
+        )
+        select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars,
+               case when form <> 'plain' then b - a end as middle_chars,
+               sha256(case form when 'plain' then t
+                                when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                                else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+               sha256(t) as restored_sha256
+        from parts
+    """,
+    "op13_document_tree": r"""
+        with words as (
+            select doc_id, row, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from (select doc_id, text, row_number() over () as row from documents)
+        ), items as (
+            select item_id, row, unnest(list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) as term
+            from (select item_id, text, row_number() over () as row from benchmark)
+        ), lengths as (
+            select row, doc_id, count(*) as n from words group by all
+        ), corpus as (
+            select count(*) as n_docs, sum(n)::bigint as n_terms from lengths
+        ), counted as (
+            select row, term, count(*) as tf from words where term in (select term from items) group by all
+        ), weights as (
+            select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+            from counted, corpus group by term, n_docs
+        ), scored as (
+            select i.row as item, i.item_id, c.row, l.doc_id,
+                   sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::bigint as score
+            from items i join counted c using (term) join weights using (term) join lengths l on l.row = c.row, corpus
+            group by all
+        ), ranked as (
+            select *, row_number() over (partition by item order by score desc, doc_id nulls last) as rank from scored where score > 0
+        )
+        select item_id, rank::int as rank, doc_id, score from ranked where rank <= 50
+    """,
 }

@@ -14,8 +14,8 @@ def test_query(spark, name):
     assert spark_rows(QUERIES[name](spark, SF_DIR)) == duck_rows(duck(SF_DIR), ORACLES[name])
 
 
-def test_entry_has_all_ten_and_the_pipeline():
+def test_entry_has_all_operators_and_the_pipeline():
     names = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in names if n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names
     assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
