@@ -7,7 +7,7 @@ nulls kept, everything outside printable ASCII as lower-case `\\uXXXX`.
 from __future__ import annotations
 
 import json
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,49 +41,129 @@ def json_string(col: Column) -> Column:
     return once(quoted, lower_escapes)
 
 
+# 2^e for e from _LOW on, as 38 digits each, all zeros behind them left out: _POWERS[e - _LOW] times 10 to the
+# power of _TENS[e - _LOW], rounded down.
+_LOW, _HIGH, _WIDTH = 9, 971, 38
+
+
+def _powers() -> tuple[str, str]:
+    digits, tens = [], []
+    for e in range(_LOW, _HIGH + 1):
+        left_out = len(str(2**e)) - _WIDTH
+        digits.append(str(2**e // 10**left_out if left_out > 0 else 2**e * 10**-left_out))
+        tens.append(f"{left_out:4d}")
+    return "".join(digits), "".join(tens)
+
+
+def _whole_digits(size: Column, fits: Callable[[Column], Column]) -> Column:
+    """The shortest text of a whole value beyond 2^61, and of those the nearest one, as `123E45`; null if none.
+
+    The value is m * 2^e, m of 53 bits. m times the power's first 22 digits and, for what is carried, its
+    other 16 fits a decimal, which makes some 37 digits of the value, right but for the last ones. Rounded to
+    15, 16 and 17 of them it gives the texts of each length, the nearer one first."""
+    digits, tens = _powers()
+    low = F.greatest(F.floor(F.log2(size)) - 53, F.lit(_LOW - 1))
+    # The logarithm may be off by one next to a power of two.
+    m = size * F.pow(F.lit(2.0), -low)
+    e = F.greatest(low + F.when(m >= 2.0**54, 2).when(m >= 2.0**53, 1).otherwise(0), F.lit(_LOW))
+
+    def product(at: Column) -> Column:
+        m = (size * F.pow(F.lit(2.0), -at)).cast("decimal(16,0)")
+        start = (at - _LOW) * _WIDTH
+        head = F.substr(F.lit(digits), (start + 1).cast("int"), F.lit(22)).cast("decimal(22,0)")
+        rest = F.substr(F.lit(digits), (start + 23).cast("int"), F.lit(16)).cast("decimal(16,0)")
+        carried = F.floor(m * rest / F.lit(10**16).cast("decimal(17,0)")).cast("decimal(17,0)")
+        ten = F.trim(F.substr(F.lit(tens), ((at - _LOW) * 4 + 1).cast("int"), F.lit(4))).cast("int") + 16
+        return F.struct((m * head + carried).cast("string").alias("digits"), ten.alias("ten"))
+
+    def text(found: Column) -> Column:
+        every, ten = found.getField("digits"), found.getField("ten")
+
+        def around(n: int) -> list[Column]:
+            whole = F.substr(every, F.lit(1), F.lit(n)).cast("bigint")
+            up = (F.substr(every, F.lit(n + 1), F.lit(1)) >= "5").cast("bigint")
+            behind = F.concat(F.lit("E"), (F.length(every) - n + ten).cast("string"))
+            # Next to a power of two the farther one alone may give the value.
+            return [F.concat((whole + step).cast("string"), behind) for step in (up, 1 - up)]
+
+        return F.coalesce(*[F.when(fits(t), t) for n in (15, 16, 17) for t in around(n)])
+
+    return once(once(e.cast("int"), product), text)
+
+
 def _shortest(value: Column) -> Column:
     """The value in scientific form, `1.5E20`, with no more digits than tell it from its neighbours.
 
-    Java before release 19 now and then writes a digit too many. That shows by 16 digits or more, or
-    next to the smallest values; there, fewer digits are tried until they no longer give the value."""
+    Java before release 19 now and then writes a digit too many, or the farther of two texts. That shows by
+    16 digits or more, or next to the smallest values; there, fewer digits are tried until they no longer
+    give the value."""
     text = value.cast("string")
     size = F.abs(value)
 
     def fits(candidate: Column) -> Column:
         return candidate.try_cast("double") == value
 
+    def signed(plain: Column) -> Column:
+        return F.when(value < 0, F.concat(F.lit("-"), plain)).otherwise(plain)
+
     # Whole numbers in reach, of 16 to 19 digits, are rounded from their exact digits.
     whole = size.try_cast("bigint")
-    rounded = [F.round(whole, -dropped).cast("string") for dropped in (4, 3, 2, 1, 0)]
-    exact = [F.when(value < 0, F.concat(F.lit("-"), r)).otherwise(r) for r in rounded]
+    exact = [signed(F.round(whole, -dropped).cast("string")) for dropped in (4, 3, 2, 1, 0)]
     shown = {n: F.format_string(f"%.{n - 1}E", value) for n in range(1, 18)}
     first = lambda texts: F.coalesce(*[F.when(fits(t), t) for t in texts], text)
     long = F.length(F.regexp_replace(F.substring_index(text, "E", 1), "[-.]|^0[.]0*", "")) >= 16
+    beyond = _whole_digits(size, lambda t: t.try_cast("double") == size)
     return (
         F.when(size.between(2.0**53, 2.0**61), first(exact))
         .when(size < 1e-300, F.when(value == 0, text).otherwise(first(shown.values())))
+        .when(long & (size > 2.0**61) & (size < float("inf")), F.coalesce(signed(beyond), text))
         .when(long, first([shown[n] for n in (15, 16, 17)]))
         .otherwise(text)
     )
 
 
 def float_text(col: Column) -> Column:
-    """A double as Python shows it: plain digits for exponents -4 to 15, else like `1e+20`."""
-    return once(col.cast("double"), lambda value: once(_shortest(value), _python_style))
+    """A double as Python shows it: plain digits for exponents -4 to 15, else like `1e+20`.
+
+    Java's own text is that already where it has no exponent and at most 15 digits: no shorter one and no other
+    of 15 gives the value. Only other values take the long way, which computes each part once."""
+    value = col.cast("double")
+    text = value.cast("string")
+    plain = ~F.contains(text, F.lit("E")) & (F.length(text) <= 16) & text.rlike("^-?[0-9]")
+    return F.when(plain, text).otherwise(once(value, lambda v: once(_shortest(v), _python_style)))
 
 
 def _python_style(text: Column) -> Column:
     """From digits with a point, without one, or with an exponent behind `E`, whatever its form."""
-    mantissa = F.regexp_extract(text, r"^-?([0-9]+)(?:[.]([0-9]+))?", 1)
-    fraction = F.regexp_extract(text, r"^-?([0-9]+)(?:[.]([0-9]+))?", 2)
-    power = F.coalesce(F.regexp_extract(text, r"E[+]?(-?[0-9]+)$", 1).try_cast("int"), F.lit(0))
-    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    every = F.concat(mantissa, fraction)
+    return F.when(text.rlike("^-?[0-9]"), once(_parts(text), lambda parts: once(_digits(parts), _laid_out))).otherwise(text)
+
+
+def _parts(text: Column) -> Column:
+    number = r"^-?([0-9]+)(?:[.]([0-9]+))?"
+    return F.struct(
+        F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit("")).alias("sign"),
+        F.regexp_extract(text, number, 1).alias("mantissa"),
+        F.regexp_extract(text, number, 2).alias("fraction"),
+        F.coalesce(F.regexp_extract(text, r"E[+]?(-?[0-9]+)$", 1).try_cast("int"), F.lit(0)).alias("power"),
+    )
+
+
+def _digits(parts: Column) -> Column:
+    """Sign, digits without zeros at either end, and the exponent of the first one."""
+    mantissa = parts.getField("mantissa")
+    every = F.concat(mantissa, parts.getField("fraction"))
     significant = F.ltrim(every, F.lit("0"))
     leading = F.length(every) - F.length(significant)
-    exponent = F.length(mantissa) - 1 - leading + power
-    digits = F.when(significant == "", F.lit("0")).otherwise(F.regexp_replace(significant, "(?<=.)0+$", ""))
-    exponent = F.when(significant == "", F.lit(0)).otherwise(exponent)
+    exponent = F.length(mantissa) - 1 - leading + parts.getField("power")
+    return F.struct(
+        parts.getField("sign").alias("sign"),
+        F.when(significant == "", F.lit("0")).otherwise(F.regexp_replace(significant, "(?<=.)0+$", "")).alias("digits"),
+        F.when(significant == "", F.lit(0)).otherwise(exponent).alias("exponent"),
+    )
+
+
+def _laid_out(number: Column) -> Column:
+    sign, digits, exponent = (number.getField(name) for name in ("sign", "digits", "exponent"))
     head, tail = F.substr(digits, F.lit(1), F.lit(1)), F.substr(digits, F.lit(2))
     scientific = F.concat(
         F.when(tail == "", head).otherwise(F.concat(head, F.lit("."), tail)),
@@ -100,7 +180,7 @@ def _python_style(text: Column) -> Column:
     rebuilt = (
         F.when((exponent >= 16) | (exponent < -4), scientific).when(exponent < 0, small).otherwise(large)
     )
-    return F.when(text.rlike("^-?[0-9]"), F.concat(sign, rebuilt)).otherwise(text)
+    return F.concat(sign, rebuilt)
 
 
 class _Pair(T.StructType):
