@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_WORKERS = 50
-# Calls that one task keeps in flight; a run takes as many tasks as its workers need.
-TASK_WORKERS = 10
 # Arrow batches a task works on at once, so that a slow row does not hold up the rows behind it.
 OPEN_BATCHES = 4
 
@@ -141,15 +139,16 @@ def score_with(
     """Call `completer(prompt, payload)` once per row and add `content` and `error`.
 
     At most `workers` calls are in flight at any time in the whole run, whatever the size of the
-    cluster: the rows are dealt to as few tasks as that takes. A call that raises fills `error` and
+    cluster: they are shared out over as many tasks as there are cores for them, so that answers come back spread
+    and a lost task repeats its part alone. A call that raises fills `error` and
     leaves the other rows alone. Other columns pass through as Arrow data, so a key comes back with
     its own type on its own row. The payload is dropped.
 
-    Every evaluation of the result calls the model again: checkpoint it before using it twice.
+    Every evaluation of the result calls the model again: `freshet.operators.waves` keeps answers for good.
     """
     if not 1 <= workers <= MAX_WORKERS:
         raise ValueError(f"workers must be between 1 and {MAX_WORKERS}, got {workers}")
-    tasks = -(-workers // TASK_WORKERS)
+    tasks = min(workers, df.sparkSession.sparkContext.defaultParallelism)
     kept = [name for name in df.columns if name != payload]
     schema = T.StructType(
         [df.schema[name] for name in kept]

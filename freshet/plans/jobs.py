@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime
@@ -16,11 +17,12 @@ from freshet.operators.joins import join_sources
 from freshet.operators.projection import included
 from freshet.operators.responses import flatten, parse_responses, valid_rows
 from freshet.operators.sampling import random_seed, sample_exact
-from freshet.operators.scoring import Retry, score_with
+from freshet.operators.scoring import Retry
 from freshet.operators.sizing import fits_task, spread_small
 from freshet.operators.state import incremental_filter, last_processed
-from freshet.session import ensure_checkpoint_dir
-from freshet.sinks.target import Target, staged
+from freshet.operators.waves import REQUEST, WAVE_ROWS, RunFolder, ask_in_waves, request_id
+from freshet.session import ensure_checkpoint_dir, scratch_dir, shared_dir
+from freshet.sinks.target import Target
 from freshet.sources.scan import ROW_NUMBER, Source, check_same_key, read_sources
 
 # Sampled ids are broadcast up to this number.
@@ -120,25 +122,43 @@ class Native:
     def of_nothing(self) -> Column:
         return self.answer(F.lit(""))
 
-    def enrich(self, rows: DataFrame, job: Job) -> DataFrame:
+    def enrich(self, rows: DataFrame, job: Job, folder: RunFolder, carry: Sequence[str] = ()) -> DataFrame:
         key = job.target.key
-        scored = rows.select(key, self.of(rows, job.include).alias("_answer"))
+        scored = rows.select(*carry, key, self.of(rows, job.include).alias("_answer"))
         return flatten(scored, "_answer", job.model).withColumn("reject_reason", F.lit(None).cast("string"))
 
 
 @dataclass(frozen=True)
 class Completer:
-    """Scores by calling `complete(prompt, payload)` for every row."""
+    """Scores by calling `complete(prompt, payload)` for every row, in waves of `wave_rows`.
+
+    What is asked, and each wave's answers, are kept in the run's folder. Rows that agree in key, ids and
+    payload are one request.
+    """
 
     complete: Callable[[str, str], str | None]
     retry: Retry = Retry()
+    wave_rows: int = WAVE_ROWS
 
-    def enrich(self, rows: DataFrame, job: Job) -> DataFrame:
+    def enrich(self, rows: DataFrame, job: Job, folder: RunFolder, carry: Sequence[str] = ()) -> DataFrame:
         key = job.target.key
-        asked = rows.select(key, payload_json(rows, job.include).alias("payload"))
-        answered = score_with(asked, self.complete, job.model.prompt, workers=job.workers, retry=self.retry)
+
+        def requests() -> DataFrame:
+            asked = rows.withColumn("_payload", payload_json(rows, job.include))
+            told = [key, *[name for name in rows.columns if name.startswith("_id_")]]
+            asked = asked.withColumn(REQUEST, request_id(asked, told, "_payload"))
+            return asked.select(REQUEST, *carry, key, F.col("_payload").alias("payload"))
+
+        return self.answer(folder.once("requests", requests), job, folder, carry)
+
+    def answer(self, requests: DataFrame, job: Job, folder: RunFolder, carry: Sequence[str] = ()) -> DataFrame:
+        key = job.target.key
+        answered = ask_in_waves(
+            requests, self.complete, job.model.prompt, folder, job.workers, self.retry, wave_rows=self.wave_rows
+        )
         parsed = parse_responses(answered, job.model, error="error")
-        return parsed.select(*[f"`{n}`" for n in parsed.columns if n not in (key, "reject_reason")], key, "reject_reason")
+        last = (*carry, key, "reject_reason")
+        return parsed.select(*[f"`{n}`" for n in parsed.columns if n not in last], *last)
 
 
 def new_frames(
@@ -175,17 +195,17 @@ def select_rows(spark: SparkSession, job: Job, cutoff: datetime | None = None) -
     frames = [df for _, df in new_frames(spark, job, cutoff, whole=True)]
     if not frames:
         return None
-    rows = _join(frames, job)
+    rows = join_frames(frames, job)
     return rows.drop(*[name for name in rows.columns if name.startswith(ROW_NUMBER)])
 
 
-def _join(frames: list[DataFrame], job: Job) -> DataFrame:
+def join_frames(frames: list[DataFrame], job: Job) -> DataFrame:
     return join_sources(
         frames, job.target.key, prefer=job.prefer, hot_rows=job.hot_rows, large=job.large
     )
 
 
-def _needed(frames: list[tuple[Source, DataFrame]], job: Job) -> tuple[list[DataFrame], list[str]]:
+def needed_columns(frames: list[tuple[Source, DataFrame]], job: Job) -> tuple[list[DataFrame], list[str]]:
     """The frames with only the columns the job needs, and the names that tell joined rows apart.
 
     Row ids are copied to names of their own, which a same-named column of another source cannot
@@ -218,7 +238,7 @@ def _score_then_join(frames: list[DataFrame], owner: int, job: Job, scorer: Nati
         *[f"`{name}`" for name in texts.columns if name not in job.include or name == job.target.key],
         scorer.of(texts, job.include).alias("_answer"),
     )
-    joined = _join([*frames[:owner], answered, *frames[owner + 1 :]], job)
+    joined = join_frames([*frames[:owner], answered, *frames[owner + 1 :]], job)
     # A row without a match has no text either.
     answer = F.coalesce("_answer", scorer.of_nothing()) if owner > 0 else F.col("_answer")
     return flatten(joined.select(answer.alias("_answer"), job.target.key), "_answer", job.model).withColumn(
@@ -226,7 +246,9 @@ def _score_then_join(frames: list[DataFrame], owner: int, job: Job, scorer: Nati
     )
 
 
-def _sampled(frames: list[DataFrame], ids: list[str], job: Job, k: int) -> DataFrame:
+def _sampled(
+    frames: list[DataFrame], ids: list[str], job: Job, k: int, carry: Sequence[str] = ()
+) -> DataFrame:
     """At most k joined rows.
 
     With large sources, texts would be shuffled only to drop nearly all of them. So the ids alone
@@ -241,19 +263,19 @@ def _sampled(frames: list[DataFrame], ids: list[str], job: Job, k: int) -> DataF
     if large is None:
         large = not all(fits_task(df) for df in frames)
     if not large or k == 0:
-        return sample_exact(_join(frames, job), k, ids, seed, ties=numbers).drop(*numbers)
+        return sample_exact(join_frames(frames, job), k, ids, seed, ties=numbers).drop(*set(numbers).difference(carry))
     ensure_checkpoint_dir(frames[0].sparkSession)
     told = [*ids, *numbers]
     narrow = [df.select(*[f"`{name}`" for name in df.columns if name in told]) for df in frames]
-    picked = sample_exact(_join(narrow, job), k, ids, seed, ties=numbers).select(*[f"`{n}`" for n in told]).checkpoint()
+    picked = sample_exact(join_frames(narrow, job), k, ids, seed, ties=numbers).select(*[f"`{n}`" for n in told]).checkpoint()
     few = k <= BROADCAST_ROWS
     picked = F.broadcast(picked) if few else picked
     cut = [_semi(df, picked, [name for name in df.columns if name in told]) for df in frames]
-    joined = _join(cut, replace(job, large=False) if few else job)
+    joined = join_frames(cut, replace(job, large=False) if few else job)
     rows = _semi(joined, picked, told)
     if len(numbers) < len(frames):
         rows = sample_exact(rows, k, ids, seed, direct_rows=BROADCAST_ROWS, ties=numbers)
-    return rows.drop(*numbers)
+    return rows.drop(*set(numbers).difference(carry))
 
 
 def _semi(df: DataFrame, picked: DataFrame, columns: list[str]) -> DataFrame:
@@ -263,45 +285,80 @@ def _semi(df: DataFrame, picked: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def enriched(
-    frames: list[tuple[Source, DataFrame]], job: Job, scorer: Native | Completer, max_records: int | None
+    frames: list[tuple[Source, DataFrame]],
+    job: Job,
+    scorer: Native | Completer,
+    max_records: int | None,
+    folder: RunFolder,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Join, sample and score: the model's columns, the key and `reject_reason`."""
-    needed, ids = _needed(frames, job)
+    """Join, sample and score: the model's columns, the columns to carry along, the key and `reject_reason`."""
+    needed, ids = needed_columns(frames, job)
     if max_records is None:
-        owner = _owner(needed, job.include) if isinstance(scorer, Native) else None
+        owner = _owner(needed, job.include) if isinstance(scorer, Native) and not carry else None
         if owner is not None:
             return _score_then_join(needed, owner, job, scorer)
-        rows = _join(needed, job)
-        return scorer.enrich(spread_small(rows) if isinstance(scorer, Native) else rows, job)
-    rows = _sampled(needed, ids, job, max_records)
+        rows = join_frames(needed, job)
+        return scorer.enrich(spread_small(rows) if isinstance(scorer, Native) else rows, job, folder, carry)
+    rows = _sampled(needed, ids, job, max_records, carry)
     if isinstance(scorer, Native):
         # A small sample ends up in one task; spread it out again, a few hundred rows to each.
         tasks = min(rows.sparkSession.sparkContext.defaultParallelism, -(-max_records // ROWS_PER_TASK))
         rows = rows.repartition(max(1, tasks))
-    return scorer.enrich(rows, job)
+    return scorer.enrich(rows, job, folder, carry)
+
+
+def run_folder(spark: SparkSession, run_id: str | None = None) -> RunFolder:
+    """The folder of a run: the same one for the same id, a fresh one without."""
+    if run_id is None:
+        return RunFolder(spark, scratch_dir(spark, "run"), lasting=False)
+    return RunFolder(spark, f"{shared_dir(spark).rstrip('/')}/run-{hashlib.sha256(run_id.encode()).hexdigest()[:32]}")
+
+
+STAGES = ("requests", "answers", "dealt", "results")
 
 
 def process(
-    frames: list[tuple[Source, DataFrame]],
+    results: Callable[[], DataFrame],
     job: Job,
-    scorer: Native | Completer,
-    max_records: int | None,
     now: datetime,
+    folder: RunFolder,
+    run_id: str | None = None,
+    carry: Sequence[str] = (),
+    done: Callable[[DataFrame], None] | None = None,
 ) -> Summary:
-    """Enrich the frames and append the valid results.
+    """Append the valid ones of the results, as `enriched` gives them.
 
-    The results are staged first: the model is asked once per row, the counts agree with what is
-    written, the state is read in full before the target changes, and a run without any valid
-    result leaves the target as it was.
+    The results are a stage of the run's folder first: the model is asked once per row, the counts agree
+    with what is written, the state is read in full before the target changes, and a run without any valid
+    result leaves the target as it was. `done` is given the results, with the columns to carry, once they are
+    in the target. The folder of a run that nobody will take up again is emptied even if it fails.
     """
-    with staged(enriched(frames, job, scorer, max_records)) as scored:
+    try:
+        scored = folder.once("results", results)
         counts = {row["reject_reason"]: row["count"] for row in scored.groupBy("reject_reason").count().collect()}
         written = counts.pop(None, 0)
         if written:
-            job.target.append(valid_rows(scored), now)
+            job.target.append(valid_rows(scored).drop(*carry), now, run_id)
+        if done is not None:
+            done(scored)
+    except BaseException:
+        if not folder.lasting:
+            folder.clear(*STAGES)
+        raise
+    folder.clear(*STAGES)
     return Summary(written + sum(counts.values()), written, counts)
 
 
+def taken_up(job: Job, scorer: Native | Completer, folder: RunFolder, carry: Sequence[str] = ()) -> Callable[[], DataFrame]:
+    """The results of a run whose requests are in its folder, from where it stopped."""
+
+    def lost() -> DataFrame:
+        raise RuntimeError(f"the requests in {folder.path} are gone")
+
+    return lambda: scorer.answer(folder.once("requests", lost), job, folder, carry)
+
+
 def run_job(
     spark: SparkSession,
     job: Job,
@@ -310,13 +367,24 @@ def run_job(
     drop: bool = False,
     now: datetime | None = None,
     count_available: bool = False,
+    run_id: str | None = None,
 ) -> Summary:
     """One run. `now` (default: the start of the run, UTC) fixes the window and is the write time,
     so that a source update during the run is later than it and picked up next time.
 
-    `max_records=None` takes every new row. `drop` starts the target afresh.
+    `max_records=None` takes every new row. `drop` starts the target afresh. With a `run_id`, for which the
+    target must keep a table of runs, a run that failed is taken up where it stopped when it is started again:
+    the same rows, no answered request asked twice, and nothing at all if it was committed.
     """
     now = utc_now() if now is None else utc_naive(now)
+    if run_id is not None:
+        if job.target.runs is None:
+            raise ValueError("a run id needs a target with a table of runs")
+        if job.target.committed(spark, run_id):
+            return Summary()
+    folder = run_folder(spark, run_id)
+    if run_id is not None and (folder.has("results") or folder.has("requests")):
+        return process(taken_up(job, scorer, folder), job, now, folder, run_id)
     if drop:
         job.target.drop(spark)
     frames = new_frames(spark, job, cutoff_before(now, job.hours))
@@ -324,5 +392,9 @@ def run_job(
         return Summary()
     available = None
     if count_available:
-        available = _join(_needed(frames, job)[0], job).count()
-    return replace(process(frames, job, scorer, max_records, now), available=available)
+        available = join_frames(needed_columns(frames, job)[0], job).count()
+
+    def results() -> DataFrame:
+        return enriched(frames, job, scorer, max_records, folder)
+
+    return replace(process(results, job, now, folder, run_id), available=available)

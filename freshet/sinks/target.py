@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -13,7 +12,6 @@ from pyspark.sql import types as T
 
 from freshet.functions.models import table_type
 from freshet.functions.times import partition_number, ts_literal
-from freshet.session import scratch_dir
 from freshet.sources.scan import load_table, scan_window
 
 
@@ -30,22 +28,6 @@ def empty_folder(spark: SparkSession, path: str, fmt: str = "parquet") -> None:
     )
 
 
-@contextmanager
-def staged(df: DataFrame) -> Iterator[DataFrame]:
-    """The frame written once to the shared folder and read back; emptied again at the end.
-
-    Columnar and compressed, so that counting by one column reads that column only.
-    """
-    spark = df.sparkSession
-    path = scratch_dir(spark, "staged")
-    try:
-        df.write.parquet(path)
-        yield spark.read.schema(df.schema).parquet(path)
-    finally:
-        if load_table(spark, path=path) is not None:
-            empty_folder(spark, path)
-
-
 def _stored_value(value: Column, dtype: T.DataType) -> Column:
     """As the table holds it: times with a zone as UTC without one."""
     if isinstance(dtype, T.TimestampType):
@@ -60,6 +42,12 @@ class Target:
     `partition_by` names one or more of year, month, day, counted since 1970 on the write time.
     File tables have no hidden partitions, so each is kept in a column `<ts>_<transform>`, which
     `load` hides again.
+
+    With `runs`, the folder of a table of committed runs, an append is one transaction: its rows carry a number
+    of the attempt, in a column `<ts>_attempt` that `load` hides too, and count only once the attempt is
+    committed, by the one row written last. A run id that is committed already writes nothing.
+
+    `own_types` keeps columns as they come, where the table need not hold common types only.
     """
 
     key: str
@@ -68,6 +56,8 @@ class Target:
     path: str | None = None
     partition_by: str | tuple[str, ...] | None = None
     fmt: str = "parquet"
+    runs: str | None = None
+    own_types: bool = False
 
     def __post_init__(self):
         if self.table is None and self.path is None:
@@ -84,6 +74,24 @@ class Target:
     def partition_columns(self) -> list[str]:
         return [f"{self.ts}_{transform}" for transform in self.transforms]
 
+    @property
+    def attempt_column(self) -> str:
+        return f"{self.ts}_attempt"
+
+    def commits(self, spark: SparkSession) -> DataFrame | None:
+        """One row per committed run: of two attempts at once, the same one for all readers."""
+        if load_table(spark, path=self.runs) is None:
+            return None
+        commits = spark.read.schema("run_id string, attempt string, committed_at timestamp_ntz").parquet(self.runs)
+        return commits.groupBy("run_id").agg(
+            F.min(F.struct("attempt", "committed_at")).alias("first")
+        ).select("run_id", "first.*")
+
+    def committed(self, spark: SparkSession, run_id: str) -> bool:
+        """Whether the rows of a run are in the target for good."""
+        commits = self.commits(spark) if self.runs else None
+        return commits is not None and not commits.filter(F.col("run_id") == run_id).isEmpty()
+
     def _stored(self, spark: SparkSession) -> DataFrame | None:
         if self.table is not None:
             return load_table(spark, table=self.table)
@@ -102,12 +110,20 @@ class Target:
             for transform, column in zip(self.transforms, self.partition_columns()):
                 if column in df.columns:
                     df = df.filter(F.col(column) >= partition_number(ts_literal(cutoff), transform))
-        return df.drop(*self.partition_columns())
+        if self.runs is not None:
+            commits = self.commits(spark)
+            if commits is None:
+                return df.limit(0).drop(*self.partition_columns(), self.attempt_column)
+            if cutoff is not None:
+                # A run's rows share its write time.
+                commits = commits.filter(F.col("committed_at") >= ts_literal(cutoff))
+            df = df.join(commits.select(F.col("attempt").alias(self.attempt_column)), self.attempt_column, "left_semi")
+        return df.drop(*self.partition_columns(), self.attempt_column)
 
     def layout(self, records: DataFrame, now: datetime) -> DataFrame:
         """The stored form of a batch: write time first, the batch's columns, partition columns."""
         columns = [
-            _stored_value(F.col(f"`{f.name}`"), f.dataType).alias(f.name)
+            (F.col(f"`{f.name}`") if self.own_types else _stored_value(F.col(f"`{f.name}`"), f.dataType)).alias(f.name)
             for f in records.schema
             if f.name != self.ts
         ]
@@ -116,14 +132,31 @@ class Target:
             {f"{self.ts}_{t}": partition_number(F.col(self.ts), t) for t in self.transforms}
         )
 
-    def append(self, records: DataFrame, now: datetime) -> None:
-        """Append a batch, creating the target on first use. Columns go by name.
+    def append(self, records: DataFrame, now: datetime, run_id: str | None = None) -> bool:
+        """Append a batch, creating the target on first use. Columns go by name. With `runs`, all of the batch is
+        there afterwards or nothing, and False says that the run was committed before.
 
         `rebalance` lets AQE merge small tasks and split large ones, so that a run leaves files
         of even size instead of one per task.
         """
         spark = records.sparkSession
-        batch = self.layout(records, now).hint("rebalance")
+        if run_id is not None and self.runs is None:
+            raise ValueError("a run id needs a target with a table of runs")
+        batch = self.layout(records, now)
+        attempt = uuid.uuid4().hex
+        if self.runs is not None:
+            run_id = attempt if run_id is None else run_id
+            if self.committed(spark, run_id):
+                return False
+            batch = batch.withColumn(self.attempt_column, F.lit(attempt))
+        self._write(batch.hint("rebalance"))
+        if self.runs is not None:
+            commit = spark.createDataFrame([(run_id, attempt)], "run_id string, attempt string")
+            commit.withColumn("committed_at", ts_literal(now)).coalesce(1).write.mode("append").parquet(self.runs)
+        return True
+
+    def _write(self, batch: DataFrame) -> None:
+        spark = batch.sparkSession
         stored = self._stored(spark)
         if stored is not None:
             if set(stored.columns) != set(batch.columns):
@@ -147,3 +180,5 @@ class Target:
         if self.path is not None and stored is not None:
             # A table with its own location leaves its files behind.
             empty_folder(spark, self.path, self.fmt)
+        if self.runs is not None and load_table(spark, path=self.runs) is not None:
+            empty_folder(spark, self.runs)
