@@ -7,7 +7,7 @@ import uuid
 from collections import Counter
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,11 +23,13 @@ from freshet.operators.responses import flatten, parse_responses, valid_rows
 from freshet.operators.scoring import RateLimited, Retry, score_with
 from freshet.operators.sizing import spread_small
 from freshet.operators.state import incremental_filter, last_processed
+from freshet.operators.waves import REQUEST, RunFolder, ask_in_waves, request_id
 from freshet.plans import views
 from freshet.plans.jobs import Completer, Job, Native, run_job, select_rows
 from freshet.session import scratch_dir
 from freshet.sinks.target import Target
 from freshet.sources.scan import Source, relative_cutoff, scan_window
+from freshet.streaming.backlog import Backlog, work_off
 from freshet.streaming.stream import start_stream
 
 CUTOFF = datetime(2024, 1, 3)
@@ -347,6 +349,30 @@ def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_responses(score_with(asked, rule_completer, SENTIMENT.prompt, workers=4), SENTIMENT, error="error")
 
 
+def late_completer(prompt: str, payload: str) -> str:
+    """`rule_completer`, for posts it has not been asked about before."""
+    if json.loads(payload)["post_key"] % 3 == 0:
+        return "asked again"
+    return rule_completer(prompt, payload)
+
+
+def score_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the posts answered by a run that went no further; the run taken up for all of them."""
+    folder = RunFolder(spark, scratch_dir(spark, "run"))
+
+    def requests() -> DataFrame:
+        posts = _texts(spark, sf_dir)
+        payload = payload_json(posts, ["post_key", "post_type", "n_chars"])
+        asked = posts.select("post_key", payload.alias("payload"))
+        return asked.withColumn(REQUEST, request_id(asked, ["post_key"], "payload"))
+
+    asked = folder.once("requests", requests)
+    options = {"folder": folder, "workers": 4}
+    ask_in_waves(asked.filter(F.col("post_key") % 3 == 0), rule_completer, SENTIMENT.prompt, **options)
+    answered = ask_in_waves(folder.once("requests", requests), late_completer, SENTIMENT.prompt, **options)
+    return parse_responses(answered, SENTIMENT, error="error")
+
+
 def busy_completer() -> Callable[[str, str], str]:
     """A model that is busy up to six times, as often as the post's length says."""
     tries = Counter()
@@ -393,6 +419,16 @@ def write_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.load(spark)
 
 
+def write_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run, the same run once more, and one that wrote its rows but was lost before its commit."""
+    target = _target(spark, partition_by="month", runs=scratch_dir(spark, "runs"))
+    batch = _batch(spark, sf_dir)
+    target.append(batch, FIRST_RUN, "first")
+    target.append(batch, SECOND_RUN, "first")
+    replace(target, runs=scratch_dir(spark, "elsewhere")).append(batch, SECOND_RUN, "second")
+    return target.load(spark)
+
+
 def target_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored columns in order, with their types and how many values each holds."""
     target = _target(spark, partition_by=("year", "month", "day"))
@@ -591,14 +627,14 @@ def result_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result_profile(rows, ["post_key", "event_id"])
 
 
-def _stream_documents(spark: SparkSession, sf_dir: str, job: Job) -> None:
+def _stream_documents(spark: SparkSession, sf_dir: str, job: Job, **options) -> None:
     """All documents as a stream from its beginning."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     stream = (
         spark.readStream.schema(documents.schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
     )
     query = start_stream(
-        views.as_posts(stream), job, Native(NEEDS_WORDS), scratch_dir(spark, "stream"), clock=lambda: SECOND_RUN
+        views.as_posts(stream), job, Native(NEEDS_WORDS), scratch_dir(spark, "stream"), lambda: SECOND_RUN, **options
     )
     query.awaitTermination()
 
@@ -611,6 +647,17 @@ def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job.target.load(spark)
 
 
+def stream_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in one batch of a stream, scored in four triggers of a quarter each."""
+    job = replace(_needs_job(spark, sf_dir), target=_target(spark, runs=scratch_dir(spark, "runs")))
+    backlog = Backlog(scratch_dir(spark, "backlog"))
+    quarter = -(-views.posts(spark, sf_dir).count() // 4)
+    _stream_documents(spark, sf_dir, job, max_records=quarter, backlog=backlog)
+    for hour in (1, 2, 3):
+        work_off(spark, job, Native(NEEDS_WORDS), backlog, quarter, SECOND_RUN + timedelta(hours=hour))
+    return job.target.load(spark)
+
+
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, and the stream once more with its state lost: the target stays as it is."""
     job = _needs_job(spark, sf_dir)
@@ -629,6 +676,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "adhoc_inner_window": adhoc_inner_window,
     "adhoc_sql": adhoc_sql,
     "write_append_roundtrip": write_append_roundtrip,
+    "write_once": write_once,
     "target_layout": target_layout,
     "partition_year": _partitions("year"),
     "partition_month": _partitions("month"),
@@ -668,6 +716,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enrich_user_needs": enrich_user_needs,
     "score_batch": score_batch,
     "score_retry": score_retry,
+    "score_resumed": score_resumed,
     "score_keeps_key": score_keeps_key,
     "result_profile": result_profile_query,
     "run_summary": run_summary,
@@ -681,4 +730,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_empty": run_empty,
     "stream_incremental": stream_incremental,
     "stream_replay": stream_replay,
+    "stream_capped": stream_capped,
 }

@@ -272,6 +272,19 @@ _NEEDS_RUNS = _with(
     {_needs("runs", keep="post_key, written_at")}""",
 )
 
+_CAPPED = _with(
+    "posts",
+    f"""
+    , ranked as (
+      select *, row_number() over (order by md5(concat_ws(':', '{SEED}', cast(post_key as varchar),
+                                                          cast(last_update_time as varchar))), post_key) - 1 as place
+      from posts),
+    runs as (
+      select *, timestamp '2024-01-31' + place // ((select count(*) + 3 from posts) // 4) * interval 1 hour as written_at
+      from ranked)
+    {_needs("runs", keep="post_key, written_at")}""",
+)
+
 _JOIN_LEFT_TWO = """
     select p.post_key, p.last_update_time, p.post_type, p.lang, p.n_chars,
            r.event_id, r.last_update_time as last_update_time_2, r.event_type, r.value
@@ -340,6 +353,12 @@ ORACLES: dict[str, str] = {
         select *, timestamp '2024-01-16' as written_at from scored
         union all select *, timestamp '2024-01-31' from scored""",
     ),
+    "write_once": _with(
+        "posts",
+        f"""
+        , scored as ({_sentiment("posts")})
+        select *, timestamp '2024-01-16' as written_at from scored""",
+    ),
     "target_layout": """
         select position, name, type, (select count(*) from documents) as n_values
         from (values (0, 'written_at', 'timestamp_ntz'), (1, 'score', 'double'), (2, 'sentiment', 'string'),
@@ -436,7 +455,7 @@ ORACLES: dict[str, str] = {
     "flatten_user_needs": _with("posts", f"select *, {_NULL_NEEDS} from ({_needs('posts')})"),
     "enrich_sentiment": _with("posts", _sentiment("posts")),
     "enrich_user_needs": _with("posts", _needs("posts")),
-    "score_batch": _with(
+    **dict.fromkeys(("score_batch", "score_resumed"), _with(
         "posts",
         f"""
         , {_RULED}
@@ -445,7 +464,7 @@ ORACLES: dict[str, str] = {
                  case when s > 0 then 'positive' when s < 0 then 'negative' else 'neutral' end end as sentiment,
                case when reject_reason is null then cast(0.5 as double) end as confidence, reject_reason
         from ruled""",
-    ),
+    )),
     "score_retry": _with(
         "posts",
         """select post_key, case when n_chars % 7 < 5 then 'after ' || (n_chars % 7 + 1) end as content,
@@ -499,4 +518,5 @@ ORACLES: dict[str, str] = {
         union all select 'no_valid', count(*), 0, false from documents""",
     "stream_incremental": _NEEDS_RUNS,
     "stream_replay": _NEEDS_RUNS,
+    "stream_capped": _CAPPED,
 }
