@@ -2,22 +2,21 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.operators.sizing import scan_tasks
+from freshet.session import ensure_checkpoint_dir
 
 # Up to this size the k smallest rows of every task are merged in one task, if all tasks together
 # send it no more than MERGED_ROWS.
-DIRECT_ROWS = 1_000
+DIRECT_ROWS = 10_000
 MERGED_ROWS = 1_000_000
-# Above it, rows are counted by the next four hex digits of their hash, 65,536 counts at a time, until
-# the bucket with the k-th row has no more than EDGE_ROWS.
-_DIGITS, _HASH_DIGITS = 4, 32
-EDGE_ROWS = 10_000
+_HASH_DIGITS = 15
 
 
 def sample_hash(id_cols: Sequence[str], seed: int) -> Column:
@@ -32,15 +31,15 @@ def sample_exact(
     seed: int,
     direct_rows: int = DIRECT_ROWS,
     ties: Sequence[str] = (),
-    edge_rows: int = EDGE_ROWS,
 ) -> DataFrame:
     """min(k, n) rows: those with the smallest seeded hash of `id_cols`, which must tell rows apart;
     where they do not, `ties` decide.
 
     The same seed gives the same rows however often the plan is run. A large k, or one of very many
-    tasks, is cut without passing the sample through one task: counts by hash prefix, longer and
-    longer, fix the prefix at which the k-th row lies; rows below it are all in, and only the few at
-    it are ranked.
+    tasks, is cut without passing the sample through one task. Hashes are even, so a count of the rows is
+    enough to name a hash below which lie a few more than k of them; those are kept, and only the few that are
+    too many are ranked, from the top. Where the ids do not tell rows apart and less than k lie there, the
+    hash is raised.
     """
     if k < 0:
         raise ValueError(f"k must not be negative, got {k}")
@@ -50,45 +49,41 @@ def sample_exact(
     order = ["_hash", *[f"`{name}`" for name in (*id_cols, *ties)]]
     if k <= direct_rows and k * scan_tasks(df) <= MERGED_ROWS:
         return hashed.orderBy(*order).limit(k).drop("_hash")
-    edge = _edge(hashed, k, edge_rows)
-    if edge is None:
+    n = df.count()
+    if n <= k:
         return df
-    prefix, need = edge
-    at_edge = F.col("_hash").startswith(prefix)
-    # Rows below the edge need no rank; grouped by their whole hash they spread over all tasks.
-    group = F.when(at_edge, F.lit("")).otherwise(F.col("_hash"))
-    rank = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    return (
-        hashed.filter(at_edge | (F.col("_hash") < prefix))
-        .withColumn("_rank", rank)
-        .filter(~F.col("_hash").startswith(prefix) | (F.col("_rank") <= need))
-        .drop("_hash", "_rank")
-    )
-
-
-def _edge(hashed: DataFrame, k: int, edge_rows: int) -> tuple[str, int] | None:
-    """The shortest prefix of few rows that the k-th hash has, and how many rows it still needs;
-    None if there are not k rows."""
-    prefix, need = "", k
+    ensure_checkpoint_dir(df.sparkSession)
+    share = (k + 6 * math.sqrt(k) + 20) / n
     while True:
-        digits = len(prefix) + _DIGITS
-        counts = (
-            hashed.filter(F.col("_hash").startswith(prefix))
-            .groupBy(F.substring("_hash", 1, digits).alias("_prefix"))
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        upto = F.sum("n").over(Window.orderBy("_prefix"))
-        found = (
-            counts.select("_prefix", "n", upto.alias("upto"))
-            .filter(F.col("upto") >= need)
-            .agg(F.min(F.struct("_prefix", "n", (need - F.col("upto") + F.col("n")).alias("need"))).alias("edge"))
-            .first()["edge"]
-        )
-        if found is None:
-            return None
-        prefix, need = found["_prefix"], found["need"]
-        if found["n"] <= edge_rows or digits >= _HASH_DIGITS:
-            return prefix, need
+        below = hashed if share >= 1 else hashed.filter(F.col("_hash") < hex_digits(share))
+        below = below.checkpoint()
+        spare = below.count() - k
+        if spare >= 0:
+            return _without_last(below, spare, order).drop("_hash")
+        share *= 4
+
+
+def hex_digits(share: float) -> str:
+    """The hash below which that share of all hashes lies."""
+    return f"{int(share * 16**_HASH_DIGITS):0{_HASH_DIGITS}x}"
+
+
+def _without_last(rows: DataFrame, spare: int, order: list[str]) -> DataFrame:
+    """The rows but for the `spare` last ones. The first of those is found by a top-k of its own; of rows
+    that equal it in every ordered column, any will do."""
+    if not spare:
+        return rows
+    place = F.struct(*[F.col(name).alias(str(i)) for i, name in enumerate(order)])
+    last = rows.select(place.alias("place")).orderBy(F.desc("place")).limit(spare)
+    # One row: the place to cut at, and how many of its copies are among the last.
+    cut = F.broadcast(last.groupBy("place").agg(F.count(F.lit(1)).alias("_gone")).orderBy("place").limit(1).checkpoint())
+    placed = rows.withColumn("_place", place)
+    kept = placed.join(cut, F.col("_place") < F.col("place"), "left_semi")
+    # Null-safe: an id may be null.
+    equal = placed.join(cut, F.col("_place").eqNullSafe(F.col("place")), "left_semi")
+    copies = equal.count() - cut.first()["_gone"]
+    kept = kept.drop("_place")
+    return kept.unionByName(equal.drop("_place").limit(copies)) if copies > 0 else kept
 
 
 def random_seed() -> int:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freshet.operators.sizing import planned_bytes
+from freshet.operators.sizing import read_bytes
 from freshet.session import ensure_checkpoint_dir
 
 MAX_HOT_KEYS = 100_000
@@ -34,7 +34,7 @@ def default_hot_rows(frames: Sequence[DataFrame]) -> int:
     """How many rows of the widest frame make HOT_BYTES, by planned size and a count of rows."""
     counted = [df.agg(F.count(F.lit(1)).alias("n"), F.lit(i).alias("i")) for i, df in enumerate(frames)]
     rows = {r["i"]: max(1, r["n"]) for r in reduce(DataFrame.union, counted).collect()}
-    widest = max(planned_bytes(df) / rows[i] for i, df in enumerate(frames))
+    widest = max(read_bytes(df) / rows[i] for i, df in enumerate(frames))
     return int(min(HOT_ROWS, max(FEWEST_HOT_ROWS, HOT_BYTES / max(widest, 1))))
 
 

@@ -4,6 +4,7 @@ import pytest
 from helpers import collected
 
 from freshet.operators.projection import project_exclude, project_include, recent_first
+from freshet.operators import sampling, sizing
 from freshet.operators.sampling import sample_exact, sample_random
 
 N = 3000
@@ -62,3 +63,32 @@ def test_projections(spark):
 def test_recent_first(spark):
     df = spark.sql("select * from values (1, date'2024-01-01'), (2, null), (3, date'2024-01-02') as t(id, ts)")
     assert [row["id"] for row in recent_first(df, "ts", "id").collect()] == [3, 1, 2]
+
+
+def test_copies_at_the_cut(spark):
+    """Ids that do not tell rows apart: a third of all rows are one hash, and the hash has to be raised."""
+    rows = spark.range(900).selectExpr("if(id % 3 = 0, 1, id) as id", "id as number")
+    for k in (1, 299, 300, 301, 302, 640, 899):
+        drawn = sample_exact(rows, k, ["id"], 7, direct_rows=1)
+        assert drawn.count() == k == drawn.select("number").distinct().count()
+        by_number = sample_exact(rows, k, ["id"], 7, direct_rows=1, ties=["number"])
+        assert collected(by_number) == collected(sample_exact(rows, k, ["id"], 7, direct_rows=1000, ties=["number"]))
+
+
+def test_a_joined_frame_is_sized_by_its_scans(spark, tmp_path):
+    for name in "ab":
+        spark.range(20_000).write.parquet(str(tmp_path / name))
+    one, two = (spark.read.parquet(str(tmp_path / name)) for name in "ab")
+    joined = one.join(two, "id")
+    assert sizing.planned_bytes(joined) > 1000 * sizing.read_bytes(joined)
+    assert sizing.read_bytes(joined) == sizing.planned_bytes(one) + sizing.planned_bytes(two)
+    plan = sample_exact(joined, 500, ["id"], 7)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_a_large_sample_counts_once_and_ranks_few(spark):
+    """One count, then rows below a hash; nothing is grouped and no window ranks the sample."""
+    drawn = sample_exact(spark.range(5000).selectExpr("id", "id % 7 as other"), 2000, ["id"], 7, direct_rows=1)
+    plan = drawn._jdf.queryExecution().toString()
+    assert "Window" not in plan and "HashAggregate" not in plan.split("Physical Plan")[1].split("BroadcastExchange")[0]
+    assert sampling.hex_digits(0.5) == "8" + "0" * 14 and sampling.hex_digits(1 / 16**3) == "001" + "0" * 12
