@@ -7,7 +7,8 @@ nulls kept, everything outside printable ASCII as lower-case `\\uXXXX`.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Collection
+from collections.abc import Collection
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +27,8 @@ def bytes_text(col: Column) -> Column:
 
 
 def json_string(col: Column) -> Column:
-    """A quoted JSON string. `to_json` escapes with upper-case digits and leaves DEL as it is."""
+    """A quoted JSON string. `to_json` escapes with upper-case digits and leaves DEL as it is; text that needs
+    no escape is quoted alone."""
     document = F.to_json(F.struct(col.alias("v")), {"writeNonAsciiCharacterAsCodePoint": "true"})
     quoted = F.substr(document, F.lit(len('{"v":') + 1), F.length(document) - len('{"v":}'))
     quoted = F.replace(quoted, F.lit("\x7f"), F.lit("\\u007f"))
@@ -38,7 +40,8 @@ def json_string(col: Column) -> Column:
         lowered = F.transform(tokens, lambda t: F.when(t.startswith("\\u"), F.lower(t)).otherwise(t))
         return F.when(F.contains(text, F.lit("\\u")), F.array_join(lowered, "")).otherwise(text)
 
-    return once(quoted, lower_escapes)
+    plain = col.rlike(r"^[ !#-\[\]-~]*+\z")
+    return F.when(plain, F.concat(F.lit('"'), col, F.lit('"'))).otherwise(once(quoted, lower_escapes))
 
 
 # 2^e for e from _LOW on, as 38 digits each, all zeros behind them left out: _POWERS[e - _LOW] times 10 to the
@@ -46,6 +49,7 @@ def json_string(col: Column) -> Column:
 _LOW, _HIGH, _WIDTH = 9, 971, 38
 
 
+@cache
 def _powers() -> tuple[str, str]:
     digits, tens = [], []
     for e in range(_LOW, _HIGH + 1):
@@ -55,7 +59,12 @@ def _powers() -> tuple[str, str]:
     return "".join(digits), "".join(tens)
 
 
-def _whole_digits(size: Column, fits: Callable[[Column], Column]) -> Column:
+def _first_fit(texts: Column, value: Column) -> Column:
+    """The first of an array of texts that gives the value; null if none does."""
+    return F.try_element_at(F.filter(texts, lambda t: t.try_cast("double") == value), F.lit(1))
+
+
+def _whole_digits(size: Column) -> Column:
     """The shortest text of a whole value beyond 2^61, and of those the nearest one, as `123E45`; null if none.
 
     The value is m * 2^e, m of 53 bits. m times the power's first 22 digits and, for what is carried, its
@@ -79,14 +88,14 @@ def _whole_digits(size: Column, fits: Callable[[Column], Column]) -> Column:
     def text(found: Column) -> Column:
         every, ten = found.getField("digits"), found.getField("ten")
 
-        def around(n: int) -> list[Column]:
-            whole = F.substr(every, F.lit(1), F.lit(n)).cast("bigint")
-            up = (F.substr(every, F.lit(n + 1), F.lit(1)) >= "5").cast("bigint")
+        def around(n: Column) -> Column:
+            whole = F.substr(every, F.lit(1), n).cast("bigint")
+            up = (F.substr(every, n + 1, F.lit(1)) >= "5").cast("bigint")
             behind = F.concat(F.lit("E"), (F.length(every) - n + ten).cast("string"))
             # Next to a power of two the farther one alone may give the value.
-            return [F.concat((whole + step).cast("string"), behind) for step in (up, 1 - up)]
+            return F.transform(F.array(up, 1 - up), lambda step: F.concat((whole + step).cast("string"), behind))
 
-        return F.coalesce(*[F.when(fits(t), t) for n in (15, 16, 17) for t in around(n)])
+        return _first_fit(F.flatten(F.transform(F.array(F.lit(15), F.lit(16), F.lit(17)), around)), size)
 
     return once(once(e.cast("int"), product), text)
 
@@ -100,26 +109,25 @@ def _shortest(value: Column) -> Column:
     text = value.cast("string")
     size = F.abs(value)
 
-    def fits(candidate: Column) -> Column:
-        return candidate.try_cast("double") == value
-
     def signed(plain: Column) -> Column:
         return F.when(value < 0, F.concat(F.lit("-"), plain)).otherwise(plain)
 
+    def shown(fewest: int, most: int) -> Column:
+        formats = F.transform(F.sequence(F.lit(fewest - 1), F.lit(most - 1)), lambda n: F.concat(F.lit("%."), n.cast("string"), F.lit("E")))
+        return _first_fit(F.transform(formats, lambda f: F.call_function("format_string", f, value)), value)
+
     # Whole numbers in reach, of 16 to 19 digits, are rounded from their exact digits.
     whole = size.try_cast("bigint")
-    exact = [signed(F.round(whole, -dropped).cast("string")) for dropped in (4, 3, 2, 1, 0)]
-    shown = {n: F.format_string(f"%.{n - 1}E", value) for n in range(1, 18)}
-    first = lambda texts: F.coalesce(*[F.when(fits(t), t) for t in texts], text)
+    exact = F.array(*[F.round(whole, -dropped).cast("string") for dropped in (4, 3, 2, 1, 0)])
     long = F.length(F.regexp_replace(F.substring_index(text, "E", 1), "[-.]|^0[.]0*", "")) >= 16
-    beyond = _whole_digits(size, lambda t: t.try_cast("double") == size)
-    return (
-        F.when(size.between(2.0**53, 2.0**61), first(exact))
-        .when(size < 1e-300, F.when(value == 0, text).otherwise(first(shown.values())))
-        .when(long & (size > 2.0**61) & (size < float("inf")), F.coalesce(signed(beyond), text))
-        .when(long, first([shown[n] for n in (15, 16, 17)]))
-        .otherwise(text)
+    found = (
+        F.when(size.between(2.0**53, 2.0**61), signed(_first_fit(exact, size)))
+        .when(value == 0, text)
+        .when(size < 1e-300, shown(1, 17))
+        .when(long & (size > 2.0**61) & (size < float("inf")), signed(_whole_digits(size)))
+        .when(long, shown(15, 17))
     )
+    return F.coalesce(found, text)
 
 
 def float_text(col: Column) -> Column:
