@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.operators.sizing import fits_broadcast
-from freshet.operators.skew import default_hot_rows, hot_keys, salted_join
+from freshet.operators.skew import find_hot_keys, salted_join
 from freshet.sources.scan import scan_window
 
 
@@ -56,8 +56,7 @@ def join_sources(
     shuffled = [large if large is not None else not fits_broadcast(df) for df in renamed[1:]]
     hot = None
     if any(shuffled):
-        hot_rows = default_hot_rows(renamed) if hot_rows is None else hot_rows
-        hot = hot_keys(renamed, key, hot_rows)
+        hot, hot_rows = find_hot_keys(renamed, key, hot_rows)
     if hot is None:
         joined = reduce(lambda left, right: left.join(right, key, how), renamed)
     else:

@@ -1,19 +1,20 @@
 """Joins on keys of which a few may hold a large share of the rows.
 
 A hash shuffle sends all rows of one key to one task. Before joining two large frames, the keys
-with more than `hot_rows` rows (by default what is 256 MB of the widest side) are found by a count that reads the key column alone and is combined
-before its shuffle. Where there are none, the join is a plain one. Otherwise their rows are cut into
-pieces: each side spreads its own rows over its own number of pieces and repeats them for every
-piece of the other side, so that each pair of rows still meets exactly once.
-
-The list of hot keys is checkpointed and broadcast. Its size is bounded by `MAX_HOT_KEYS`, whatever
-the data: the largest ones are kept, and a key beyond the list holds less than 1/MAX_HOT_KEYS of
-the rows and is joined whole.
+with more than `hot_rows` rows (by default what is 256 MB of the widest side) are found in one look at the key
+column: every task sends a small sketch of its most frequent keys on, and no key is shuffled. Only the few keys
+that may be hot by their sketches, if any, are then counted exactly. Where there are none, the join is a plain
+one. Otherwise their rows are cut into pieces: each side spreads its own rows over its own number of pieces and
+repeats them for every piece of the other side, so that each pair of rows still meets exactly once.
+
+The list of hot keys is checkpointed and broadcast. A sketch follows `TRACKED` keys, whatever the data; a key
+that escapes one holds less than 1/1,000 of that frame's rows, and its rows are joined whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -23,31 +24,98 @@ from pyspark.sql import types as T
 from freshet.operators.sizing import read_bytes
 from freshet.session import ensure_checkpoint_dir
 
-MAX_HOT_KEYS = 100_000
+# Keys a sketch follows, and tasks that merge the sketches before the last one does.
+TRACKED = 4096
+MERGERS = 64
 # A key is hot by default if its rows take more than this, or are more than HOT_ROWS.
 HOT_BYTES = 256 * 2**20
 HOT_ROWS = 1_000_000
 FEWEST_HOT_ROWS = 1_000
 
 
-def default_hot_rows(frames: Sequence[DataFrame]) -> int:
-    """How many rows of the widest frame make HOT_BYTES, by planned size and a count of rows."""
-    counted = [df.agg(F.count(F.lit(1)).alias("n"), F.lit(i).alias("i")) for i, df in enumerate(frames)]
-    rows = {r["i"]: max(1, r["n"]) for r in reduce(DataFrame.union, counted).collect()}
-    widest = max(read_bytes(df) / rows[i] for i, df in enumerate(frames))
+@dataclass(frozen=True)
+class Frequent:
+    """The rows of a frame, and the hashes of its most frequent keys with no less than their rows. A key that is not
+    listed has at most `unlisted`."""
+
+    rows: int
+    counts: dict[int, int]
+    unlisted: int
+
+
+def frequent_keys(df: DataFrame, key: str, tracked: int = TRACKED) -> Frequent:
+    """In one pass over the key column: sketches of frequent items per task, merged in two steps. Keys go by
+    their hash, so any type will do."""
+    of = F.call_function
+    sketches = (
+        df.select(F.xxhash64(f"`{key}`").alias("h"))
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGERS)))
+        .agg(F.count(F.lit(1)).alias("n"), of("approx_top_k_accumulate", F.col("h"), F.lit(tracked)).alias("s"))
+    )
+    found = (
+        # Grouped by a constant, no rows give no row instead of an error.
+        sketches.groupBy(F.lit("all"))
+        .agg(F.sum("n").alias("n"), of("approx_top_k_combine", F.col("s"), F.lit(tracked)).alias("s"))
+        .select("n", of("approx_top_k_estimate", F.col("s"), F.lit(tracked)).alias("top"))
+        .first()
+    )
+    if found is None:
+        return Frequent(0, {}, 0)
+    counts = {item["item"]: item["count"] for item in found["top"]}
+    # Counts are exact as long as all keys fit; else they may be too high, by what the smallest ones show.
+    return Frequent(found["n"], counts, min(counts.values()) if len(counts) >= tracked // 2 else 0)
+
+
+def default_hot_rows(frames: Sequence[DataFrame], rows: Sequence[int] | None = None) -> int:
+    """How many rows of the widest frame make HOT_BYTES, by the size of its scans and its rows, counted if
+    they are not known."""
+    if rows is None:
+        counted = [df.agg(F.count(F.lit(1)).alias("n"), F.lit(i).alias("i")) for i, df in enumerate(frames)]
+        by_frame = {r["i"]: r["n"] for r in reduce(DataFrame.union, counted).collect()}
+        rows = [by_frame[i] for i in range(len(frames))]
+    widest = max(read_bytes(df) / max(1, n) for df, n in zip(frames, rows))
     return int(min(HOT_ROWS, max(FEWEST_HOT_ROWS, HOT_BYTES / max(widest, 1))))
 
 
-def hot_keys(frames: Sequence[DataFrame], key: str, hot_rows: int) -> DataFrame | None:
-    """Keys with more than `hot_rows` rows in a frame or in the join of the first i frames; None if
-    there are none. Counted right away and checkpointed.
+def candidates(found: Sequence[Frequent], hot_rows: int) -> list[int]:
+    """Hashes of listed keys that may have more than `hot_rows` rows in a frame or in the join of the first i."""
+    hot = []
+    for h in set().union(*[f.counts for f in found]):
+        most = [f.counts.get(h, f.unlisted) for f in found]
+        joined, largest = 1, 0
+        for n in most:
+            joined *= max(n, 1)
+            largest = max(largest, n, joined)
+        if largest > hot_rows:
+            hot.append(h)
+    return hot
 
-    Columns: `_hot_key`, `_rows_i` (rows of frame i) and `_joined_i` (rows after joining frames 0..i).
+
+def find_hot_keys(
+    frames: Sequence[DataFrame], key: str, hot_rows: int | None = None, tracked: int = TRACKED
+) -> tuple[DataFrame | None, int]:
+    """Keys with more than `hot_rows` rows in a frame or in the join of the first i frames, None if there are none,
+    and what `hot_rows` is. Found right away and checkpointed.
+
+    Columns: `_hot_key`, `_rows_i` (rows of frame i) and `_joined_i` (rows after joining frames 0..i), exact.
     """
-    ensure_checkpoint_dir(frames[0].sparkSession)
+    found = [frequent_keys(df, key, tracked) for df in frames]
+    if hot_rows is None:
+        hot_rows = default_hot_rows(frames, [f.rows for f in found])
+    maybe = candidates(found, hot_rows)
+    if not maybe:
+        return None, hot_rows
+    spark = frames[0].sparkSession
+    ensure_checkpoint_dir(spark)
+    hashes = F.broadcast(spark.createDataFrame([(h,) for h in maybe], "_maybe long"))
     tagged = reduce(
         DataFrame.union,
-        [df.select(F.col(f"`{key}`").alias("_hot_key"), F.lit(i).alias("_frame")) for i, df in enumerate(frames)],
+        [
+            df.select(F.col(f"`{key}`").alias("_hot_key"), F.lit(i).alias("_frame")).join(
+                hashes, F.xxhash64("_hot_key") == F.col("_maybe"), "left_semi"
+            )
+            for i, df in enumerate(frames)
+        ],
     )
     counts = tagged.groupBy("_hot_key").agg(
         *[F.count_if(F.col("_frame") == i).alias(f"_rows_{i}") for i in range(len(frames))]
@@ -62,15 +130,12 @@ def hot_keys(frames: Sequence[DataFrame], key: str, hot_rows: int) -> DataFrame
         *[F.col(f"{name}_{i}").cast("double") for name in ("_rows", "_joined") for i in range(len(frames))],
         F.lit(0.0),
     )
-    hot = (
-        counts.withColumn("_largest", largest)
-        .filter(F.col("_largest") > hot_rows)
-        .orderBy(F.desc("_largest"))
-        .limit(MAX_HOT_KEYS)
-        .drop("_largest")
-        .checkpoint()
-    )
-    return None if hot.isEmpty() else hot
+    hot = counts.filter(largest > hot_rows).checkpoint()
+    return (None if hot.isEmpty() else hot), hot_rows
+
+
+def hot_keys(frames: Sequence[DataFrame], key: str, hot_rows: int) -> DataFrame | None:
+    return find_hot_keys(frames, key, hot_rows)[0]
 
 
 def hashable(dtype: T.DataType) -> bool:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.operators.sizing import fits_broadcast
-from freshet.operators.skew import default_hot_rows, hot_keys, salted_anti_join
+from freshet.operators.skew import find_hot_keys, salted_anti_join
 from freshet.session import ensure_checkpoint_dir
 
 # Keys with something new are broadcast up to this number and size.
@@ -90,8 +90,7 @@ def incremental_filter(
         new = own_key.eqNullSafe(F.col("_pending_key")) & is_new(time, F.col("_pending_ts"))
         return df.join(F.broadcast(pending), new, "left_semi")
 
-    hot_rows = default_hot_rows([df]) if hot_rows is None else hot_rows
-    hot = hot_keys([df], key, hot_rows)
+    hot, hot_rows = find_hot_keys([df], key, hot_rows)
     if hot is not None:
         spread_by = None if ids is None else [key, ts, *ids]
         return salted_anti_join(df, state, key, _KEY, done, hot, hot_rows, spread_by)

@@ -6,6 +6,7 @@ from helpers import collected
 from freshet.operators import sizing, skew
 from freshet.operators.joins import join_sources
 from freshet.sources.scan import Source
+from pyspark.sql import functions as F
 
 
 def frame(spark, name, rows):
@@ -154,3 +155,46 @@ def test_wide_rows_make_a_key_hot_sooner(spark, tmp_path):
     sizes = [skew.default_hot_rows([spark.read.parquet(str(tmp_path / n))]) for n in ("narrow", "wide")]
     assert sizes[0] == skew.HOT_ROWS and skew.FEWEST_HOT_ROWS <= sizes[1] < 50_000
     assert skew.default_hot_rows([narrow.limit(0)]) >= skew.FEWEST_HOT_ROWS
+
+
+def test_sketches_find_what_is_spread_thin(spark, tmp_path):
+    """A key with a few rows in each of many files, among far more keys than a sketch follows."""
+    rows = spark.range(0, 60_000, 1, 24).selectExpr("if(id % 10 = 0, -7, id) as k", "id as v")
+    rows.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    found = skew.frequent_keys(stored, "k", tracked=256)
+    hot_hash = spark.range(1).select(F.xxhash64(F.lit(-7).cast("long")).alias("h")).first()["h"]
+    assert found.rows == 60_000 and max(found.counts, key=found.counts.get) == hot_hash
+    assert found.counts[hot_hash] >= 6_000 and len(found.counts) <= 256
+    hot, hot_rows = skew.find_hot_keys([stored], "k", 3_000, tracked=256)
+    assert hot_rows == 3_000 and collected(hot) == [(-7, 6_000, 6_000.0)]
+    other = spark.createDataFrame([(-7, "hot"), (11, "cold"), (None, "n")], "k long, w string")
+    joined = join_sources([stored, other], "k", hot_rows=3_000, large=True)
+    assert joined.count() == 60_000 and joined.filter("w = 'hot'").count() == 6_000
+    assert [r["w"] for r in joined.filter("k = 11").collect()] == ["cold"]
+
+
+def test_no_key_is_shuffled_to_find_hot_ones(spark):
+    """One pass of sketches; without a candidate nothing else runs, and no exchange goes by key."""
+    frames = [spark.range(500).selectExpr("id % 100 as k", "id as a"), spark.range(100).selectExpr("id as k", "id as b")]
+    tracker, group = spark.sparkContext.statusTracker(), "hot-keys"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        assert skew.find_hot_keys(frames, "k", 50)[0] is None
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    assert 0 < len(stages) <= 12
+    found = [skew.frequent_keys(df, "k") for df in frames]
+    assert [f.rows for f in found] == [500, 100] and {*found[0].counts.values()} == {5}
+    # 5 rows by 1 is no more than 5; of three frames the join is what counts.
+    assert skew.candidates(found, 5) == [] and len(skew.candidates(found, 4)) == 100
+    assert skew.frequent_keys(frames[0].limit(0), "k") == skew.Frequent(0, {}, 0)
+
+
+@pytest.mark.parametrize("kind", ["binary", "string", "decimal(20,3)", "date"])
+def test_keys_of_any_type(spark, kind):
+    df = spark.range(300).select((F.when(F.col("id") < 200, 3).otherwise(F.col("id"))).alias("n"))
+    value = F.date_add(F.lit("2024-01-01").cast("date"), F.col("n").cast("int")) if kind == "date" else F.col("n").cast("string").cast(kind)
+    hot = skew.hot_keys([df.select(value.alias("k"))], "k", 100)
+    assert [(r["_rows_0"], r["_joined_0"]) for r in hot.collect()] == [(200, 200.0)]
