@@ -14,6 +14,8 @@ from freshet.session import ensure_checkpoint_dir
 # Keys with something new are broadcast up to this number and size.
 MAX_PENDING = 500_000
 MAX_PENDING_BYTES = 64 * 2**20
+# Beyond that, up to this number make a Bloom filter: at most 60 MB where it is broadcast.
+MAX_FILTER_KEYS = 10_000_000
 # Names that no source column has.
 _KEY, _TS = "_freshet_state_key", "_freshet_state_ts"
 
@@ -32,27 +34,56 @@ def is_new(time: Column, processed: Column) -> Column:
     return processed.isNull() | F.coalesce(time > processed, F.lit(False))
 
 
-def pending_keys(df: DataFrame, state: DataFrame, key: str, ts: str, most: int) -> DataFrame | None:
-    """The keys with a new row, and when they were processed last; None if more than `most` or too
-    wide to broadcast.
+def all_pending(df: DataFrame, state: DataFrame, key: str, ts: str) -> tuple[DataFrame, int, int]:
+    """The keys with a new row, and when they were processed last; how many, and their bytes.
 
-    Both sides of the join hold one row per key and no text. Looked up right away and checkpointed:
-    at most one key more than asked for.
+    Both sides of the join hold one row per key and no text. Looked up right away and checkpointed.
     """
-    if most < 1:
-        return None
     ensure_checkpoint_dir(df.sparkSession)
     newest = df.groupBy(F.col(f"`{key}`").alias("_pending_key")).agg(F.max(f"`{ts}`").alias("_newest"))
     pending = (
         newest.join(state, F.col("_pending_key").eqNullSafe(F.col(_KEY)), "left")
         .filter(is_new(F.col("_newest"), F.col(_TS)))
         .select("_pending_key", F.col(_TS).alias("_pending_ts"))
-        .limit(most + 1)
         .checkpoint()
     )
     width = F.octet_length(F.to_json(F.struct("_pending_key"))) + 16
     size = pending.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("width")).first()
-    return pending if size["n"] <= most and size["width"] <= MAX_PENDING_BYTES else None
+    return pending, size["n"], size["width"]
+
+
+def pending_keys(df: DataFrame, state: DataFrame, key: str, ts: str, most: int) -> DataFrame | None:
+    """The keys with a new row; None if more than `most` or too wide to broadcast."""
+    if most < 1:
+        return None
+    pending, n, width = all_pending(df, state, key, ts)
+    return pending if n <= most and width <= MAX_PENDING_BYTES else None
+
+
+def _word_and_mask(key: Column, words: int) -> tuple[Column, Column]:
+    """A key's place in a Bloom filter of 64-bit words, and its four bits there. Null is a key like any other."""
+    bits = F.xxhash64(key, F.lit(1))
+    mask = F.lit(0).cast("long")
+    for i in range(4):
+        at = F.shiftrightunsigned(bits, 6 * i).bitwiseAND(F.lit(63).cast("long")).cast("int")
+        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), at))
+    return F.pmod(F.xxhash64(key), F.lit(words).cast("long")), mask
+
+
+def bloom_filter(pending: DataFrame, n: int) -> tuple[DataFrame, int]:
+    """A Bloom filter of the pending keys as a table of words, 16 bits for each key, and how many words it may
+    have. All bits of a key are in one word, so a row is told by one lookup; of others some 2% pass."""
+    words = max(1, -(-n * 16 // 64))
+    word, mask = _word_and_mask(F.col("_pending_key"), words)
+    return pending.select(word.alias("_word"), mask.alias("_mask")).groupBy("_word").agg(F.bit_or("_mask").alias("_bits")), words
+
+
+def cut_by_filter(df: DataFrame, key: str, pending: DataFrame, n: int) -> DataFrame:
+    """The rows of pending keys, and a few others, by a broadcast of less than 6 bytes for each key."""
+    table, words = bloom_filter(pending, n)
+    word, mask = _word_and_mask(F.col(f"`{key}`"), words)
+    found = (word == F.col("_word")) & (F.col("_bits").bitwiseAND(mask) == mask)
+    return df.join(F.broadcast(table), found, "left_semi")
 
 
 def incremental_filter(
@@ -63,6 +94,7 @@ def incremental_filter(
     hot_rows: int | None = None,
     large: bool | None = None,
     max_pending: int = MAX_PENDING,
+    max_filter: int = MAX_FILTER_KEYS,
     ids: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows whose key was never processed or whose update is later than that.
@@ -73,9 +105,10 @@ def incremental_filter(
 
     A state small enough to broadcast is. Otherwise (`large` forces the choice) the keys with
     something new are found first, from key and time alone. Few of them, as in a regular run, are
-    broadcast and the rows are cut where they are read, without a shuffle; with many, as after a
-    long break, rows and state are joined by key, the hot keys in pieces by `ids`, the columns that
-    tell rows apart (by default all of them).
+    broadcast and the rows are cut where they are read, without a shuffle. More of them, up to
+    `max_filter`, cut the rows there by a Bloom filter, which lets few others pass. What is left, or with
+    still more keys, as after a long break, all rows, is joined with the state by key, the hot keys in pieces by
+    `ids`, the columns that tell rows apart (by default all of them).
     """
     if large is None:
         large = not fits_broadcast(state)
@@ -85,10 +118,13 @@ def incremental_filter(
     if not large:
         return df.join(state, own_key.eqNullSafe(F.col(_KEY)) & done, "left_anti")
 
-    pending = pending_keys(df, state, key, ts, max_pending)
-    if pending is not None:
-        new = own_key.eqNullSafe(F.col("_pending_key")) & is_new(time, F.col("_pending_ts"))
-        return df.join(F.broadcast(pending), new, "left_semi")
+    if max_pending > 0:
+        pending, n, width = all_pending(df, state, key, ts)
+        if n <= max_pending and width <= MAX_PENDING_BYTES:
+            new = own_key.eqNullSafe(F.col("_pending_key")) & is_new(time, F.col("_pending_ts"))
+            return df.join(F.broadcast(pending), new, "left_semi")
+        if n <= max_filter:
+            df = cut_by_filter(df, key, pending, n)
 
     hot, hot_rows = find_hot_keys([df], key, hot_rows)
     if hot is not None:

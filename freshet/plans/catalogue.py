@@ -690,6 +690,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_oldest": incremental_oldest,
     "incremental_null_key": incremental_null_key,
     "incremental_pending": _large_state(),
+    "incremental_filtered": _large_state(max_pending=1),
     "incremental_shuffled": _large_state(max_pending=0),
     "incremental_salted": _large_state(max_pending=0, hot_rows=TEST_HOT_ROWS),
     "join_left_two": join_left_two,

@@ -378,7 +378,7 @@ ORACLES: dict[str, str] = {
         f"incremental_{name}": _with(
             "reactions processed processed_nullkey", _new("reactions", _state("max", "processed_nullkey"))
         )
-        for name in ("null_key", "pending", "shuffled", "salted")
+        for name in ("null_key", "pending", "filtered", "shuffled", "salted")
     },
     "join_left_two": _with("posts reactions", _JOIN_LEFT_TWO),
     "join_left_three": _with(

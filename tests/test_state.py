@@ -3,7 +3,7 @@ import random
 import pytest
 from helpers import at, collected
 
-from freshet.operators.state import incremental_filter, last_processed, pending_keys
+from freshet.operators.state import all_pending, bloom_filter, cut_by_filter, incremental_filter, last_processed, pending_keys
 
 ROWS = [(1, None), (3, None), (None, None), (1, at(10)), (1, at(12)), (2, at(10)), (3, at(10)), (None, at(10)), (None, at(13)), (4, at(10))]
 STATE = [(1, at(10)), (1, at(11)), (2, at(10)), (4, at(9)), (4, at(11)), (9, at(20))]
@@ -26,7 +26,9 @@ def expected(rows, state, pick):
 WAYS = {
     "broadcast": {"large": False},
     "pending": {"large": True},
-    "shuffled": {"large": True, "max_pending": 1},
+    "shuffled": {"large": True, "max_pending": 1, "max_filter": 0},
+    "filtered": {"large": True, "max_pending": 1},
+    "filtered and salted": {"large": True, "max_pending": 1, "hot_rows": 1},
     "salted": {"large": True, "max_pending": 0, "hot_rows": 1},
 }
 
@@ -100,3 +102,45 @@ def test_only_what_is_needed_is_read(spark, tmp_path, way):
     kept = incremental_filter(df, last_processed(done, "k", "written"), "k", "ts", ids=(), **WAYS[way])
     plan = kept.select("k")._jdf.queryExecution().executedPlan().toString()
     assert "text:string" not in plan and "k:bigint" in plan
+
+
+def test_the_filter_lets_few_others_pass(spark, tmp_path):
+    """All rows of pending keys, null among them, and some two in a hundred of the others."""
+    df = spark.range(40_000).selectExpr("if(id % 1000 = 0, null, id % 20000) as k", "timestamp_ntz '2024-01-10 12:00:00' as ts")
+    done = spark.range(20_000).filter("id % 10 > 0").selectExpr("id as k", "timestamp_ntz '2024-01-10 13:00:00' as written")
+    state = last_processed(done, "k", "written").toDF("_freshet_state_key", "_freshet_state_ts")
+    pending, n, _ = all_pending(df, state, "k", "ts")
+    assert n == 1_981  # tens but for the thousands, and null
+    cut = cut_by_filter(df, "k", pending, n)
+    kept = {r["k"]: r["count"] for r in cut.groupBy("k").count().collect()}
+    wanted = [r["_pending_key"] for r in pending.collect()]
+    rows = sum(kept[k] for k in wanted)
+    assert all(k in kept for k in wanted) and rows == 4_000
+    assert cut.count() - rows < 0.05 * (40_000 - rows)
+    table, words = bloom_filter(pending, n)
+    assert table.count() <= words <= n // 4 + 1
+
+
+def test_the_filter_comes_before_the_shuffle(spark, tmp_path):
+    spark.range(3000).selectExpr("id as k", "timestamp_ntz '2024-01-10 12:00:00' as ts", "repeat('x', 50) as text").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    done = spark.range(3000).filter("id % 30 > 0").selectExpr("id as k", "timestamp_ntz '2024-01-10 13:00:00' as written")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = incremental_filter(df, last_processed(done, "k", "written"), "k", "ts", large=True, max_pending=1)
+        assert kept.count() == 100
+        plan = kept._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Of the two joins, the one by word is the lower one.
+    assert plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin") < plan.index("text#")
+
+
+def test_random_filters(spark):
+    rng = random.Random(9)
+    keys = [None, *range(300)]
+    rows = [(rng.choice(keys), rng.choice([None, at(rng.randrange(24))])) for _ in range(900)]
+    state = [(rng.choice(keys), at(rng.randrange(24))) for _ in range(500)]
+    df, done = frames(spark, rows, state)
+    kept = incremental_filter(df, last_processed(done, "k", "written"), "k", "ts", large=True, max_pending=1)
+    assert collected(kept) == expected(rows, state, max)
