@@ -19,7 +19,7 @@ from freshet.operators.responses import flatten, parse_responses, valid_rows
 from freshet.operators.sampling import random_seed, sample_exact
 from freshet.operators.scoring import Retry
 from freshet.operators.sizing import fits_task, spread_small
-from freshet.operators.state import incremental_filter, last_processed
+from freshet.operators.state import incremental_filter
 from freshet.operators.waves import REQUEST, WAVE_ROWS, RunFolder, ask_in_waves, request_id
 from freshet.session import ensure_checkpoint_dir, scratch_dir, shared_dir
 from freshet.sinks.target import Target
@@ -166,14 +166,13 @@ def new_frames(
 ) -> list[tuple[Source, DataFrame]]:
     """Each source cut by the window and by what the target holds already, before any join, its rows
     numbered where they can be. Only the columns the job needs, unless `whole` rows are asked for."""
-    processed = job.target.load(spark, cutoff)
-    warm = processed is not None and not processed.isEmpty()
+    state = job.target.state(spark, job.state, cutoff)
+    warm = state is not None and not state.isEmpty()
     alive = [(source, source.number(df)) for source, df in read_sources(spark, job.sources, cutoff, warm)]
     if not whole:
         alive = [(source, _narrow(source, df, job)) for source, df in alive]
     if not warm:
         return alive
-    state = last_processed(processed, job.target.key, job.target.ts, job.state)
     return [
         (
             source,

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from freshet.functions.models import table_type
 from freshet.functions.times import partition_number, ts_literal
+from freshet.operators.state import last_processed
+from freshet.sinks.kept_state import KeptState
 from freshet.sources.scan import load_table, scan_window
 
 
@@ -47,7 +49,8 @@ class Target:
     of the attempt, in a column `<ts>_attempt` that `load` hides too, and count only once the attempt is
     committed, by the one row written last. A run id that is committed already writes nothing.
 
-    `own_types` keeps columns as they come, where the table need not hold common types only.
+    `keep_state` keeps the times of each key beside the runs (`freshet.sinks.kept_state`), for reads that are not
+    cut off to go by. `own_types` keeps columns as they come, where the table need not hold common types only.
     """
 
     key: str
@@ -58,10 +61,13 @@ class Target:
     fmt: str = "parquet"
     runs: str | None = None
     own_types: bool = False
+    keep_state: bool = False
 
     def __post_init__(self):
         if self.table is None and self.path is None:
             raise ValueError("a target needs a table name or a path")
+        if self.keep_state and self.runs is None:
+            raise ValueError("a kept state needs a target with a table of runs")
         for transform in self.transforms:
             partition_number(F.lit(None).cast("timestamp_ntz"), transform)
 
@@ -150,11 +156,23 @@ class Target:
                 return False
             batch = batch.withColumn(self.attempt_column, F.lit(attempt))
         self._write(batch.hint("rebalance"))
+        if self.keep_state:
+            KeptState(self).add(batch, now, attempt)
         if self.runs is not None:
             commit = spark.createDataFrame([(run_id, attempt)], "run_id string, attempt string")
             commit.withColumn("committed_at", ts_literal(now)).coalesce(1).write.mode("append").parquet(self.runs)
+        if self.keep_state:
+            KeptState(self).compact(spark)
         return True
 
+    def state(self, spark: SparkSession, which: str = "latest", cutoff: datetime | None = None) -> DataFrame | None:
+        """When each key was processed last (or first): from the kept state where that can tell, else from the rows
+        themselves, from the cut-off on."""
+        if self.keep_state and (cutoff is None or which == "latest"):
+            return KeptState(self).load(spark, which, cutoff)
+        rows = self.load(spark, cutoff)
+        return None if rows is None else last_processed(rows, self.key, self.ts, which)
+
     def _write(self, batch: DataFrame) -> None:
         spark = batch.sparkSession
         stored = self._stored(spark)
@@ -181,4 +199,7 @@ class Target:
             # A table with its own location leaves its files behind.
             empty_folder(spark, self.path, self.fmt)
         if self.runs is not None and load_table(spark, path=self.runs) is not None:
-            empty_folder(spark, self.runs)
+            places = [self.runs, *(KeptState(self).places(spark) if self.keep_state else ())]
+            for place in places:
+                if load_table(spark, path=place) is not None:
+                    empty_folder(spark, place)
