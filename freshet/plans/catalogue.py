@@ -12,6 +12,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freshet.functions.distilled import distil, word_buckets
 from freshet.functions.lexicon import NeedsLexicon, SentimentLexicon
 from freshet.functions.models import SENTIMENT, USER_NEEDS
 from freshet.functions.payload import bytes_text, payload_json, prompt_messages
@@ -149,6 +150,15 @@ def state_oldest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last_processed(views.processed(spark, sf_dir), "post_key", "written_at", "oldest")
 
 
+def state_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The times kept beside a target of two runs, without a look at its rows."""
+    target = _target(spark, runs=scratch_dir(spark, "runs"), keep_state=True)
+    posts = views.posts(spark, sf_dir).select("post_key", "post_type")
+    target.append(posts, FIRST_RUN)
+    target.append(posts.filter(F.col("post_key") % 3 == 0), SECOND_RUN)
+    return target.state(spark)
+
+
 def incremental_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental_filter(
         views.reactions(spark, sf_dir), state_latest(spark, sf_dir), "post_key", "last_update_time"
@@ -405,6 +415,21 @@ def score_keeps_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_with(asked, echo_completer, SENTIMENT.prompt, workers=4).drop("error")
 
 
+def enrich_distilled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scorer learned from the answers to every third post, for all of them: the words it goes by, and
+    whether it gives an answer of the model's form."""
+    posts = _texts(spark, sf_dir)
+    answered = posts.filter(F.col("post_key") % 3 == 0)
+    answers = flatten(answered.select("post_message", SENTIMENT_WORDS(F.col("post_message")).alias("a")), "a", SENTIMENT)
+    scorer = distil(answers, "post_message", SENTIMENT)
+    scored = flatten(posts.select("post_key", "post_message", scorer(F.col("post_message")).alias("a")), "a", SENTIMENT)
+    known = F.col("sentiment").isin(*next(f.allowed for f in SENTIMENT.fields if f.allowed))
+    return scored.select(
+        "post_key", F.size(word_buckets(F.col("post_message"))).cast("long").alias("n_words"),
+        (known & F.col("score").isNotNull() & F.col("confidence").isNotNull()).alias("answered"),
+    )
+
+
 # Target
 
 
@@ -686,6 +711,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "project_exclude": project_exclude_query,
     "state_latest": state_latest,
     "state_oldest": state_oldest,
+    "state_kept": state_kept,
     "incremental_latest": incremental_latest,
     "incremental_oldest": incremental_oldest,
     "incremental_null_key": incremental_null_key,
@@ -715,6 +741,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_user_needs": flatten_user_needs,
     "enrich_sentiment": enrich_sentiment,
     "enrich_user_needs": enrich_user_needs,
+    "enrich_distilled": enrich_distilled,
     "score_batch": score_batch,
     "score_retry": score_retry,
     "score_resumed": score_resumed,

@@ -372,6 +372,18 @@ ORACLES: dict[str, str] = {
     "project_exclude": _with("posts", "select post_key, last_update_time, post_type, lang from posts"),
     "state_latest": _with("processed", f"select * from {_state('max')}"),
     "state_oldest": _with("processed", f"select * from {_state('min')}"),
+    "state_kept": _with(
+        "posts",
+        """select post_key as state_key,
+                  case when post_key % 3 = 0 then timestamp '2024-01-31' else timestamp '2024-01-16' end as state_ts
+           from posts""",
+    ),
+    "enrich_distilled": _with(
+        "posts",
+        r"""select post_key, cast(len(regexp_extract_all(coalesce(post_message, ''), '[\p{L}\p{N}]+')) as bigint) as n_words,
+                  true as answered
+           from posts""",
+    ),
     "incremental_latest": _with("reactions processed", _new("reactions", _state("max"))),
     "incremental_oldest": _with("reactions processed", _new("reactions", _state("min"))),
     **{
