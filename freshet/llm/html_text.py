@@ -4,13 +4,20 @@ The tree builder closes what HTML lets authors leave open (paragraphs, list item
 ignores stray end tags. The layout leaves out what is not shown (scripts, styles, hidden attributes and
 styles, lists to choose from), collapses white space outside `pre`, sets blocks apart, marks list items and aligns table cells
 in columns. All visible text is kept, navigation and footers too.
+
+Pages may nest as deep as they like, tables too: nothing recurses, and closing an element looks up where the
+open ones of its kind are. Padding between cells is bounded, whatever their text, so the text grows with the page.
+
+Odd rows: a null page, like an empty one, has an empty text; repeated rows and null ids each give a row; no rows
+give none; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Generator, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -44,7 +51,14 @@ IMPLIED_END = {
     "tfoot": (("tr", *_CELLS, "thead", "tbody", "tfoot", "caption"), ("table",)),
 }
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(visible|hidden|collapse)", re.I)
+# Cells up to this wide are aligned, with at most this much padding in a line; all text is kept.
+ALIGNED = 60
+PADDING = 400
+SPAN = 100
+# Inline boxes that stand apart from the text around them.
+BOXES = frozenset("textarea svg text button".split())
 
 
 class Node:
@@ -55,36 +69,47 @@ class Node:
 
 
 class TreeBuilder(HTMLParser):
-    """Nodes and strings below `root`; open elements on a stack."""
+    """Nodes and strings below `root`; open elements on a stack, and where in it those of each tag are."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Node("", {})
         self.open = [self.root]
+        self.places: dict[str, list[int]] = {}
+
+    def _is_open(self, *tags: str) -> bool:
+        return any(self.places.get(tag) for tag in tags)
+
+    def _cut(self, place: int) -> None:
+        """Close the open elements from a place on."""
+        for node in self.open[place:]:
+            self.places[node.tag].pop()
+        del self.open[place:]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in ("html", "body") and any(n.tag == tag for n in self.open):
+        if tag in ("html", "body") and self._is_open(tag):
             return
         if tag == "body" or (self.open[-1].tag == "head" and tag not in HEAD and tag not in ("html", "head")):
             self._close(("head",), ())
         if tag in BLOCKS:
             self._close(("p",), _CELLS + ("table", "li", "dd", "button", "object"))
             if tag in HEADINGS and self.open[-1].tag in HEADINGS:
-                self.open.pop()
+                self._cut(len(self.open) - 1)
         if tag in IMPLIED_END:
             self._close(*IMPLIED_END[tag])
         node = Node(tag, {k: v or "" for k, v in attrs})
-        if tag in ASIDE and any(n.tag in ("svg", "math") for n in self.open):
+        if tag in ASIDE and self._is_open("svg", "math"):
             node.attrs["hidden"] = ""
         self.open[-1].children.append(node)
         if tag not in VOID:
+            self.places.setdefault(tag, []).append(len(self.open))
             self.open.append(node)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # the slash means nothing outside void elements
 
     def handle_endtag(self, tag: str) -> None:
-        if tag == "br" or (tag == "p" and not any(n.tag == "p" for n in self.open)):
+        if tag == "br" or (tag == "p" and not self._is_open("p")):
             self.handle_starttag(tag, [])
         if tag in VOID:
             return
@@ -93,23 +118,22 @@ class TreeBuilder(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         if self.open[-1].tag == "head" and data.strip(" \t\n\r\f"):
-            self.open.pop()
+            self._cut(len(self.open) - 1)
         if self.open[-1].tag in ("table", "thead", "tbody", "tfoot", "tr") and not data.strip():
             return
         self.open[-1].children.append(data)
 
     def _close(self, tags: tuple[str, ...], stop: tuple[str, ...]) -> None:
-        """Close the outermost open element of `tags` above the nearest one of `stop`."""
-        found = None
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag in tags:
-                found = i
-                if len(tags) == 1:
-                    break
-            elif self.open[i].tag in stop:
-                break
-        if found is not None:
-            del self.open[found:]
+        """Close the outermost open element of `tags` above the nearest one of `stop`; of a single tag, the
+        nearest."""
+        floor = max((self.places[t][-1] for t in stop if self.places.get(t)), default=0)
+        found = []
+        for tag in tags:
+            places = self.places.get(tag)
+            if places and places[-1] > floor:
+                found.append(places[-1] if len(tags) == 1 else places[bisect_right(places, floor)])
+        if found:
+            self._cut(min(found))
 
 
 def visible(node: Node) -> bool:
@@ -177,11 +201,30 @@ class Layout:
         return "\n".join(self.lines).strip("\n")
 
 
-_CLOSE = object()
+def muted_by(node: Node, muted: bool) -> bool:
+    """Whether a node's own text is invisible, given that its parent's is: its place stays, and what is
+    made visible again inside it shows."""
+    found = _VISIBILITY.findall(node.attrs.get("style", ""))
+    return muted if not found else found[-1].lower() != "visible"
 
 
 def render(root: Node) -> str:
-    """Depth first without recursion: pages may nest as deep as they like."""
+    """The text of a tree. Parts that wait for the text of a part of theirs are kept on a stack."""
+    waiting, value = [_rendered(root, False)], None
+    while waiting:
+        try:
+            part = waiting[-1].send(value)
+        except StopIteration as end:
+            waiting.pop()
+            value = end.value
+        else:
+            waiting.append(part)
+            value = None
+    return value
+
+
+def _rendered(root: Node, muted: bool) -> Generator:
+    """Depth first; a table is another part, waited for."""
     out = Layout()
     lists: list[list] = []
     pre = 0
@@ -189,10 +232,11 @@ def render(root: Node) -> str:
     while stack:
         at = stack.pop()
         if isinstance(at, str):
-            out.text(at, pre > 0)
+            if not muted:
+                out.text(at, pre > 0)
             continue
         if isinstance(at, tuple):
-            _, node = at
+            node, muted = at
             if node.tag == "pre":
                 pre -= 1
             elif node.tag in ("ul", "ol", "menu"):
@@ -202,9 +246,9 @@ def render(root: Node) -> str:
                 out.prefix = ""
             elif node.tag == "blockquote":
                 out.indent = out.indent[2:]
-            elif node.tag == "q":
+            elif node.tag == "q" and not muted:
                 out.add('"')
-            elif node.tag in ("textarea", "svg", "text"):
+            elif node.tag in BOXES:
                 out.space = bool(out.line)
             if node.tag in BLOCKS:
                 out.block(2 if node.tag in SPACED and not (lists and node.tag in ("ul", "ol")) else 1)
@@ -218,13 +262,15 @@ def render(root: Node) -> str:
         if tag == "hr":
             out.block(2)
             continue
+        hidden = muted_by(at, muted)
         if tag == "img":
-            out.text(at.attrs.get("alt", ""))
+            if not hidden:
+                out.text(at.attrs.get("alt", ""))
             continue
         if tag in BLOCKS:
             out.block(2 if tag in SPACED and not (lists and tag in ("ul", "ol")) else 1)
         if tag == "table":
-            for row in table_lines(at):
+            for row in (yield _table_lines(at, hidden)):
                 out.add(row)
                 out.end_line()
             out.block(2)
@@ -244,59 +290,82 @@ def render(root: Node) -> str:
             out.indent += "  "
         elif tag == "dd":
             out.text("    ", True)
-        elif tag == "q":
+        elif tag == "q" and not hidden:
             out.text('"')
-        if tag in ("td", "th", "textarea", "svg", "text"):  # a cell outside a table, a field, a drawing and its labels
+        if tag in ("td", "th") or tag in BOXES:  # a cell outside a table, a field, a drawing and its labels
             out.space = bool(out.line)
-        stack.append((_CLOSE, at))
+        stack.append((at, muted))
         stack.extend(reversed(at.children))
+        muted = hidden
     return out.done()
 
 
-def table_lines(table: Node) -> list[str]:
+def _span(cell: Node, name: str) -> int:
+    given = cell.attrs.get(name, "1")
+    return min(int(given), SPAN) if re.fullmatch(r"[1-9]\d{0,3}", given) else 1
+
+
+def _table_lines(table: Node, muted: bool) -> Generator:
     """Its rows with cells padded to their column; a caption comes first, a nested table's rows are
-    lines of its cell."""
+    lines of its cell. Cells that reach into later rows keep their columns free there."""
     rows: list[list[list[str]]] = []
     lines: list[str] = []
-    stack = list(reversed(table.children))
+    taken: dict[int, int] = {}  # column: rows for which a cell above still takes it
+    stack: list = [(child, muted) for child in reversed(table.children)]
     while stack:
-        at = stack.pop()
+        at, muted = stack.pop()
         if isinstance(at, str):
-            if at.strip():
+            if at.strip() and not muted:
                 lines.append(_SPACE.sub(" ", at).strip())
-        elif not visible(at):
             continue
-        elif at.tag == "tr":
-            cells = [c for c in at.children if isinstance(c, Node) and visible(c)]
-            row = []
-            for cell in cells:
-                row.append(_inner(cell))
-                span = cell.attrs.get("colspan", "1")
-                row += [[""]] * (min(int(span), 100) - 1 if re.fullmatch(r"[1-9]\d{0,3}", span) else 0)
-            loose = [c for c in at.children if isinstance(c, str) and c.strip()]
-            lines += [_SPACE.sub(" ", c).strip() for c in loose]
+        if not visible(at):
+            continue
+        muted = muted_by(at, muted)
+        if at.tag == "tr":
+            row: list[list[str]] = []
+            spans: dict[int, int] = {}
+            for cell in at.children:
+                if isinstance(cell, str):
+                    if cell.strip() and not muted:
+                        lines.append(_SPACE.sub(" ", cell).strip())
+                    continue
+                if not visible(cell):
+                    continue
+                while taken.get(len(row)):
+                    row.append([""])
+                first = len(row)
+                row.append((yield _inner(cell, muted_by(cell, muted))).split("\n"))
+                row += [[""]] * (_span(cell, "colspan") - 1)
+                spans |= dict.fromkeys(range(first, len(row)), _span(cell, "rowspan"))
+            taken = {c: n - 1 for c, n in (taken | spans).items() if n > 1}
             if row:
                 rows.append(row)
         elif at.tag in ("thead", "tbody", "tfoot", "colgroup"):
-            stack.extend(reversed(at.children))
+            taken = {}
+            stack.extend((child, muted) for child in reversed(at.children))
         else:
-            lines += [line for line in _inner(at) if line]
+            lines += [line for line in (yield _inner(at, muted)).split("\n") if line]
     widths: list[int] = []
     for row in rows:
         for i, cell in enumerate(row):
             widths += [0] * (i + 1 - len(widths))
-            widths[i] = max(widths[i], *map(width, cell))
+            widths[i] = max(widths[i], *(w for w in map(width, cell) if w <= ALIGNED), 0)
     for row in rows:
         for k in range(max(map(len, row))):
-            parts = [cell[k] if k < len(cell) else "" for cell in row]
-            lines.append("  ".join(p + " " * (w - width(p)) for p, w in zip(parts, widths, strict=False)).rstrip())
+            room, parts = PADDING, []
+            for cell, wide in zip(row, widths, strict=False):
+                part = cell[k] if k < len(cell) else ""
+                pad = min(room, max(0, wide - width(part)))
+                room -= pad
+                parts.append(part + " " * pad)
+            lines.append("  ".join(parts).rstrip())
     return [line for line in lines if line.strip()]
 
 
-def _inner(node: Node) -> list[str]:
+def _inner(node: Node, muted: bool) -> Generator:
     holder = Node("", {})
     holder.children = node.children
-    return render(holder).split("\n")
+    return _rendered(holder, muted)
 
 
 def page_text(html: str | None) -> str:

@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 import pytest
 from corpus import table
@@ -74,3 +76,73 @@ def test_rows(spark):
     found = collected(html_text.extract(pages).selectExpr("page_id", "left(text, 3) as t", "n_lines"))
     assert found == sorted([(1, "a", 1), (1, "a", 1), (None, "", 0), (2, "", 0), (3, "w w", 1)], key=repr)
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<div style='visibility:hidden'>a<b style='visibility: visible'>b</b>c</div>d", "b\nd"),
+        ("<p style='visibility:hidden'>a<p style='visibility:hidden;visibility:visible'>b", "b"),
+        ("<table style='visibility:hidden'><tr><td>a<td style='visibility:visible'>b<tr><td>c<td>d</table>", "  b"),
+        ("<table><tr><td rowspan=2>r<td>a<tr><td>b<tr><td>c<td>d</table>", "r  a\n   b\nc  d"),
+        ("<table><tr><td>x<td rowspan=3 colspan=2>s<td>a<tr><td>y<td>b</table>", "x  s    a\ny       b"),
+        ("<label>a</label><button>go</button>on", "a go on"),
+        ("<table><tr><td>a<table><tr><td>b<td>c</table><td>d</table>", "a\n\nb  c  d"),
+        ("<table><tr><td>" + "w" * 61 + "<td>x<tr><td>ab<td>y</table>", "w" * 61 + "  x\nab  y"),
+    ],
+)
+def test_visibility_spans_and_boxes(html, text):
+    if "<table><tr><td>a<table>" in html:
+        assert [line.split() for line in page_text(html).split("\n") if line] == [["a", "d"], ["b", "c"]]
+    else:
+        assert page_text(html) == text.strip("\n")
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<table><tr><td>" * 2000 + "deep",
+        "<div>" * 20_000 + "deep" + "</div>" * 20_000,
+        "<b><p>" * 15_000 + "deep",
+        "<ul><li>" * 5_000 + "deep",
+        "<table>" + "<tr><td>a<td>b" * 5_000 + "<tr><td>" + "w" * 8_000 + "<td>c</table>deep",
+        "<table>" + "<tr><td colspan=100>x<td>y" * 3_000 + "<tr>" + f"<td>{'v' * 50}" * 100 + "</table>deep",
+    ],
+    ids=["tables", "blocks", "unclosed", "lists", "wide cell", "spans"],
+)
+def test_deep_and_wide_pages(html):
+    """In time and text that grow with the page."""
+    started = time.process_time()
+    text = page_text(html)
+    assert "deep" in text and len(text) < 40 * len(html) + 10_000
+    assert time.process_time() - started < 5
+
+
+def test_generated_pages_show_their_visible_words():
+    """Random trees: the words in order, without those under something not shown."""
+    draw = random.Random(11)
+    hiding = ("hidden", "style='display:none'", "style='visibility:hidden'")
+
+    def tree(depth, shown, muted):
+        parts, words = [], []
+        for _ in range(draw.randrange(1, 4)):
+            if depth == 0 or draw.random() < 0.4:
+                word = f"w{draw.randrange(10**6)}"
+                parts.append(f" {word} ")
+                words += [word] * (shown and not muted)
+                continue
+            tag = draw.choice(("div", "p", "span", "b", "section", "blockquote", "button", "table"))
+            attr = draw.choice((*hiding, "style='visibility:visible'", *[""] * 6))
+            quiet = True if attr == hiding[2] else False if "visible" in attr else muted
+            inner, found = tree(depth - 1, shown and attr not in hiding[:2], quiet)
+            if tag == "table":
+                inner = f"<tr><td>{inner}</td></tr>"
+            if tag == "p":
+                tag = "article"  # blocks would end it early
+            parts.append(f"<{tag} {attr}>{inner}</{tag}>")
+            words += found
+        return "".join(parts), words
+
+    for _ in range(300):
+        html, words = tree(5, True, False)
+        assert page_text(html).split() == words
