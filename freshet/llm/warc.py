@@ -1,12 +1,18 @@
 """WARC archives compressed with Zstandard: one frame per record, the dictionary in front.
 
 An archive starts with a skippable frame that holds the dictionary; each record is a frame of its own
-after it, so a record can be read by its offset alone. The reader loads the dictionary, decodes frame by
-frame and validates versions, headers, lengths and digests.
+after it, so a record can be read by its offset alone. The reader loads the dictionary, itself compressed or
+not, decodes frame by frame in time that grows with the bytes, and validates versions, headers, lengths and digests.
+It reads archives of other writers too: field names in any case, repeated and folded fields, responses without
+digest or length or sent in chunks, revisits that name nothing, and records of other types, which it passes over.
 
 Archives are written by the tasks to the folder that all executors share, through the file system its
 address names. A table lists the archives that Spark took as written, so the leavings of lost or repeated
 tasks are never read.
+
+Odd rows: a null page counts as empty, a null url leaves its header out, null ids come last among equal payloads;
+repeated rows are records of their own, of which the first is the response; no rows make no archive; other columns
+are not read, whatever their names. A record is held in memory whole, an archive up to its size.
 """
 
 from __future__ import annotations
@@ -30,6 +36,10 @@ from freshet.llm.frames import materialise, numbered
 from freshet.session import scratch_dir
 
 SKIPPABLE = 0x184D2A5D
+_SKIPPABLES = range(0x184D2A50, 0x184D2A60)
+_ZSTD = b"\x28\xb5\x2f\xfd"
+# Bytes of an archive that a record's decoding is first given; as many again, and so on, until it ends.
+WINDOW = 2**12
 ARCHIVE_BYTES = 32 * 2**20
 DICT_SAMPLES = 200
 DICT_SAMPLE_BYTES = 4096
@@ -44,12 +54,28 @@ class BadRecord(ValueError):
     """An archive that breaks the format: where and how."""
 
 
+class Fields(dict):
+    """Header fields; their names count the same in any case."""
+
+    def __setitem__(self, name: str, value: str) -> None:
+        super().__setitem__(name.lower(), value)
+
+    def __getitem__(self, name: str) -> str:
+        return super().__getitem__(name.lower())
+
+    def __contains__(self, name: object) -> bool:
+        return isinstance(name, str) and super().__contains__(name.lower())
+
+    def get(self, name: str, default: str | None = None) -> str | None:
+        return super().get(name.lower(), default)
+
+
 @dataclass
 class Record:
-    headers: dict[str, str]
+    headers: Fields
     block: bytes
     offset: int = 0
-    http: dict[str, str] = field(default_factory=dict)
+    http: Fields = field(default_factory=Fields)
     payload: bytes = b""
 
 
@@ -101,63 +127,113 @@ def parse_record(raw: bytes, offset: int = 0) -> Record:
     if not mark or not re.fullmatch(r"WARC/1\.[01]", lines[0]):
         raise fail("no WARC version line or no end of headers")
     headers = _headers(lines[1:], fail)
-    missing = {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"} - headers.keys()
+    missing = [name for name in ("WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length") if name not in headers]
     if missing:
-        raise fail(f"without {sorted(missing)}")
+        raise fail(f"without {missing}")
     if not headers["Content-Length"].isdigit():
         raise fail("Content-Length is not a number")
     length = int(headers["Content-Length"])
     if len(rest) != length + 4 or rest[length:] != b"\r\n\r\n":
         raise fail(f"{len(rest) - 4} bytes of content and end, {length} announced")
     record = Record(headers, rest[:length], offset)
-    if headers["WARC-Type"] in ("response", "revisit"):
-        http, mark, record.payload = record.block.partition(b"\r\n\r\n")
-        status, *fields = http.decode("latin-1").split("\r\n")
-        if not mark or not status.startswith("HTTP/"):
-            raise fail("no HTTP headers")
-        record.http = _headers(fields, fail)
-        announced = record.http.get("Content-Length", "")
-        if headers["WARC-Type"] == "response":
-            if announced != str(len(record.payload)):
+    kind = headers["WARC-Type"].lower()
+    if kind == "response":
+        record.payload = record.block
+        if headers.get("Content-Type", "application/http").lower().startswith("application/http"):
+            _read_http(record, fail)
+            announced = record.http.get("Content-Length")
+            if announced is not None and announced != str(len(record.payload)):
                 raise fail(f"payload of {len(record.payload)} bytes, {announced} announced")
-            if headers.get("WARC-Payload-Digest") != f"sha1:{sha1_base32(record.payload)}":
-                raise fail("payload digest differs")
-        elif record.payload or "WARC-Refers-To" not in headers:
-            raise fail("a revisit has no payload and names what it refers to")
+            if "chunked" in record.http.get("Transfer-Encoding", "").lower():
+                record.payload = _unchunked(record.payload)
+        method, _, digest = headers.get("WARC-Payload-Digest", "").partition(":")
+        if method.lower() == "sha1" and digest.upper() != sha1_base32(record.payload):
+            raise fail("payload digest differs")
+    elif kind == "revisit" and record.block:
+        _read_http(record, fail)
+        if record.payload:
+            raise fail("a revisit has no payload")
     return record
 
 
-def _headers(lines: Iterable[str], fail) -> dict[str, str]:
-    out: dict[str, str] = {}
+def _read_http(record: Record, fail) -> None:
+    """Take the block apart into HTTP fields and payload."""
+    head, mark, record.payload = record.block.partition(b"\r\n\r\n")
+    status, *fields = head.decode("latin-1").split("\r\n")
+    if not mark or not status.startswith("HTTP/"):
+        raise fail("no HTTP headers")
+    record.http = _headers(fields, fail)
+
+
+def _unchunked(body: bytes) -> bytes:
+    """A body sent in chunks, put together; as it is if its chunks do not add up (some writers store it so)."""
+    parts, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at, at + 1024)
+        size = body[at:end].split(b";")[0].strip() if end >= 0 else b""
+        if not re.fullmatch(rb"[0-9A-Fa-f]{1,8}", size):
+            return body
+        n, at = int(size, 16), end + 2
+        if n == 0:
+            return b"".join(parts)
+        if body[at + n : at + n + 2] != b"\r\n":
+            return body
+        parts.append(body[at : at + n])
+        at += n + 2
+
+
+def _headers(lines: Iterable[str], fail) -> Fields:
+    """Fields by name. Those that come again are joined, but for the ones a record has once; a line that starts with
+    white space goes on with the one before."""
+    out, name = Fields(), ""
     for line in lines:
+        if line[:1] in (" ", "\t") and name:
+            out[name] = f"{out[name]} {line.strip()}"
+            continue
         name, mark, value = line.partition(":")
-        if not mark or not name.strip():
+        name = name.strip()
+        if not mark or not name:
             raise fail(f"header line {line[:60]!r}")
-        if name in out:
+        if name in out and name.lower() in _SINGLE and out[name] != value.strip():
             raise fail(f"header {name} twice")
-        out[name] = value.strip()
+        out[name] = f"{out[name]}, {value.strip()}" if name in out and name.lower() not in _SINGLE else value.strip()
     return out
 
 
+_SINGLE = frozenset(("warc-type", "warc-record-id", "warc-date", "content-length", "warc-payload-digest"))
+
+
 def read_archive(data: bytes) -> Iterator[Record]:
     """Its records in order; memory holds the archive and one record."""
     if len(data) < 8:
         raise BadRecord("shorter than a frame")
     magic, size = struct.unpack_from("<II", data)
-    if magic != SKIPPABLE or len(data) < 8 + size:
+    words, at = None, 0
+    if magic == SKIPPABLE and len(data) >= 8 + size:
+        given, at = data[8 : 8 + size], 8 + size
+        if given.startswith(_ZSTD):
+            given = zstandard.ZstdDecompressor().decompressobj().decompress(given)
+        words = zstandard.ZstdCompressionDict(given)
+    elif not data.startswith(_ZSTD):
         raise BadRecord("no dictionary frame in front")
-    words = zstandard.ZstdCompressionDict(data[8 : 8 + size])
-    view, at = memoryview(data), 8 + size
+    unpack, view = zstandard.ZstdDecompressor(dict_data=words), memoryview(data)
     while at < len(data):
-        unpacker = zstandard.ZstdDecompressor(dict_data=words).decompressobj()
-        try:
-            raw = unpacker.decompress(view[at:])
-        except zstandard.ZstdError as why:
-            raise BadRecord(f"frame at {at}: {why}") from why
+        if len(data) - at >= 8:
+            magic, size = struct.unpack_from("<II", data, at)
+            if magic in _SKIPPABLES:
+                at += 8 + size
+                continue
+        unpacker, parts, fed, window = unpack.decompressobj(), [], at, WINDOW
+        while not unpacker.eof and fed < len(data):
+            try:
+                parts.append(unpacker.decompress(view[fed : fed + window]))
+            except zstandard.ZstdError as why:
+                raise BadRecord(f"frame at {at}: {why}") from why
+            fed, window = min(len(data), fed + window), 2 * window
         if not unpacker.eof:
             raise BadRecord(f"frame at {at}: cut off")
-        yield parse_record(raw, at)
-        at = len(data) - len(unpacker.unused_data)
+        yield parse_record(b"".join(parts), at)
+        at = fed - len(unpacker.unused_data)
 
 
 def _file_system(address: str) -> tuple[fs.FileSystem, str]:
@@ -174,7 +250,7 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE
 
         def close(held: list[bytes]) -> pd.DataFrame:
             path, data = f"{root}/{uuid.uuid4().hex}.warc.zst", encode_archive(held)
-            with system.open_output_stream(path) as out:
+            with system.open_output_stream(path, compression=None) as out:
                 out.write(data)
             return pd.DataFrame({"path": [path], "n_records": [len(held)], "n_bytes": [len(data)]})
 
@@ -199,8 +275,9 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE
 
 
 def read_archives(archives: DataFrame, folder: str) -> DataFrame:
-    """The records of the listed archives: `record_id`, `record_type`, `url`, `payload_bytes`,
-    `payload_digest`, `refers_to_id`, and `payload` (null for a revisit). A bad record fails the read."""
+    """The responses and revisits of the listed archives: `record_id`, `record_type`, `url`, `payload_bytes`,
+    `payload_digest`, `refers_to_id`, and `payload` (null for a revisit, whose length and digest are those it
+    states, if any). A bad record fails the read."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, _ = _file_system(folder)
@@ -208,13 +285,18 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
         kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary()]
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                with system.open_input_stream(path) as stream:
+                with system.open_input_stream(path, compression=None) as stream:
                     data = stream.read()
                 rows, size = [], 0
                 for r in read_archive(data):
-                    response = r.headers["WARC-Type"] == "response"
-                    rows.append((r.headers["WARC-Record-ID"], r.headers["WARC-Type"], r.headers.get("WARC-Target-URI"), int(r.http["Content-Length"]),
-                                 r.headers["WARC-Payload-Digest"].removeprefix("sha1:"), r.headers.get("WARC-Refers-To"), r.payload if response else None))
+                    kind = r.headers["WARC-Type"].lower()
+                    if kind not in ("response", "revisit"):
+                        continue
+                    response, stated = kind == "response", r.http.get("Content-Length", "")
+                    length = len(r.payload) if response else int(stated) if stated.isdigit() else None
+                    told = sha1_base32(r.payload) if response else r.headers.get("WARC-Payload-Digest", "").partition(":")[2] or None
+                    rows.append((r.headers["WARC-Record-ID"], kind, r.headers.get("WARC-Target-URI"), length, told,
+                                 r.headers.get("WARC-Refers-To"), r.payload if response else None))
                     size += len(r.payload)
                     if size > 8 * 2**20 or len(rows) == 5000:
                         yield _batch(rows, names, kinds)

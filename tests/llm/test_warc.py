@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import time
 
 import pytest
 import zstandard
@@ -82,3 +83,81 @@ def test_small_payloads_and_repeated_rows(spark):
     assert warc.digest(warc.archived(pages.limit(0))).count() == 0
     bodies = warc.archived(pages).filter("record_type = 'response'").select("payload").collect()
     assert sorted(bytes(r["payload"]) for r in bodies) == [b"a" * 50, b"abc"]
+
+
+def raw(kind, block, *fields, crlf=b"\r\n"):
+    head = [b"WARC/1.0", b"warc-type: " + kind, b"warc-record-id: <urn:x:1>", b"WARC-DATE: 2024-01-01T00:00:00Z", *fields]
+    return crlf.join([*head, b"content-length: " + str(len(block)).encode(), b"", b""]) + block + b"\r\n\r\n"
+
+
+HTTP = b"HTTP/1.1 200 OK\r\nSet-Cookie: a=1\r\nset-cookie: b=2\r\nX-Long: one\r\n two\r\n"
+
+
+def test_records_of_other_writers():
+    plain = parse_record(raw(b"response", HTTP + b"\r\nbody", b"content-type: application/http; msgtype=response"))
+    assert plain.payload == b"body" and plain.http["SET-COOKIE"] == "a=1, b=2" and plain.http.get("x-long") == "one two"
+    chunked = parse_record(raw(b"response", HTTP + b"Transfer-Encoding: chunked\r\n\r\n4;x=y\r\nbody\r\n3\r\n ok\r\n0\r\n\r\n"))
+    assert chunked.payload == b"body ok"
+    stored = parse_record(raw(b"response", HTTP + b"Transfer-Encoding: chunked\r\n\r\nnot in chunks"))
+    assert stored.payload == b"not in chunks"
+    digest = base64.b32encode(hashlib.sha1(b"body").digest()).lower()
+    assert parse_record(raw(b"response", HTTP + b"\r\nbody", b"Warc-Payload-Digest: SHA1:" + digest)).payload == b"body"
+    assert parse_record(raw(b"response", HTTP + b"\r\nbody", b"WARC-Payload-Digest: md5:abc")).payload == b"body"
+    assert parse_record(raw(b"response", b"1.2.3.4", b"Content-Type: text/dns")).payload == b"1.2.3.4"
+    assert parse_record(raw(b"revisit", b"")).payload == b""
+    for bad in (raw(b"response", HTTP + b"\r\nbody", b"WARC-Payload-Digest: sha1:AAAA"), raw(b"response", HTTP + b"Content-Length: 9\r\n\r\nbody"), raw(b"revisit", HTTP + b"\r\nbody")):
+        with pytest.raises(BadRecord):
+            parse_record(bad)
+
+
+def mixed_archive(records, compressed_dictionary):
+    words = warc.dictionary(records * 9)
+    given = zstandard.ZstdCompressor().compress(words) if compressed_dictionary else words
+    packer = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(words))
+    skipped = (0x184D2A50).to_bytes(4, "little") + (3).to_bytes(4, "little") + b"any"
+    return warc.SKIPPABLE.to_bytes(4, "little") + len(given).to_bytes(4, "little") + given + skipped.join(map(packer.compress, records))
+
+
+@pytest.mark.parametrize("compressed_dictionary", [False, True])
+def test_a_mixed_archive_reads(spark, tmp_path, compressed_dictionary):
+    records = [
+        raw(b"warcinfo", b"software: x\r\n"), raw(b"request", b"GET / HTTP/1.1\r\n\r\n"), raw(b"response", HTTP + b"\r\nbody"),
+        raw(b"metadata", b"k: v"), raw(b"revisit", b"", b"WARC-Refers-To: <urn:x:9>"), raw(b"conversion", b"text"),
+    ]
+    data = mixed_archive(records, compressed_dictionary)
+    assert [r.headers["WARC-Type"] for r in read_archive(data)] == ["warcinfo", "request", "response", "metadata", "revisit", "conversion"]
+    path = tmp_path / "a.warc.zst"
+    path.write_bytes(data)
+    listed = spark.createDataFrame([(str(path),)], "path string")
+    rows = warc.read_archives(listed, str(tmp_path)).select("record_type", "payload_bytes", "payload_digest", "refers_to_id", "payload")
+    assert collected(rows) == sorted([("response", 4, warc.sha1_base32(b"body"), None, bytearray(b"body")), ("revisit", None, None, "<urn:x:9>", None)], key=repr)
+
+
+def test_an_archive_without_dictionary_reads():
+    packer = zstandard.ZstdCompressor()
+    assert [r.payload for r in read_archive(b"".join(map(packer.compress, RECORDS)))] == [r.payload for r in map(parse_record, RECORDS)]
+
+
+def test_reading_takes_time_by_bytes():
+    """Eight times the records take some eight times as long, not 64 times."""
+    times = []
+    for n in (2_500, 20_000):
+        data = encode_archive(RECORDS * (n // 30))
+        started = time.process_time()
+        assert sum(1 for _ in read_archive(data)) == n // 30 * 30
+        times.append(time.process_time() - started)
+    assert times[1] < 20 * times[0]
+
+
+def test_large_records_span_windows():
+    body = bytes(range(256)) * 4_000
+    data = encode_archive([encode_record(1, None, body, None, False), *RECORDS])
+    assert next(read_archive(data)).payload == body and sum(1 for _ in read_archive(data)) == 31
+
+
+def test_archives_lie_in_the_folder_as_they_are(spark, tmp_path):
+    """The bytes of a file are those of an archive: nothing compresses them once more by its name."""
+    rows = spark.createDataFrame([(i, "u", f"page {i}".encode(), False, None) for i in range(5)], "page_id long, url string, payload binary, revisit boolean, refers_to long")
+    (path,) = [r["path"] for r in warc.write_archives(rows.coalesce(1), str(tmp_path)).collect()]
+    with open(path, "rb") as file:
+        assert [r.payload for r in read_archive(file.read())] == [f"page {i}".encode() for i in range(5)]
