@@ -5,10 +5,12 @@ words, and what one cannot give goes to the others by weight. The words come in
 A source gets its number of blocks by highest quotients (target / 1, / 3, / 5, ...), and so does each
 shard of it from the source's number. Within a shard the documents lie in a seeded order, a stream of
 words; the shard gives whole passes over the stream and, for the rest of its quota, a run of blocks
-that starts at a seeded one and wraps around.
+that starts at a seeded one and wraps around. What whole blocks cannot give is dealt to the word: a source whose
+target is all it may give gives all of it, and one with a target below a block gives a part of one.
 
 A shard is a bounded share of one source by hash, so a source with most of the rows is spread over
-many tasks. What reaches the driver is one row per source.
+many tasks. Rows go by their id, those of an id that very many rows have, or that have none, by their place in
+the files as well. What reaches the driver is one row per source.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from freshet.llm.frames import WORD, materialise, numbered
+from freshet.operators.skew import frequent_keys
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -31,13 +34,14 @@ MOST = 2
 BLOCK = 16
 SHARD_WORDS = 2**17
 MAX_SHARDS = 2**20
+OFTEN = 10_000
 
 
 @dataclass(frozen=True)
 class Recipe:
     """Weights of the sources in code point order (repeating), the share of all words to take, how
     often a word may be taken, words in a block, words in a shard (more where a source would have over
-    `max_shards`), and the seed of the order."""
+    `max_shards`), how many rows of one id stay together, and the seed of the order."""
 
     weights: Sequence[int] = WEIGHTS
     share: float = SHARE
@@ -45,6 +49,7 @@ class Recipe:
     block: int = BLOCK
     shard_words: int = SHARD_WORDS
     max_shards: int = MAX_SHARDS
+    often: int = OFTEN
     seed: int = 11
 
 
@@ -55,11 +60,13 @@ def water_fill(capacities: Sequence[int], weights: Sequence[int], total: float)
     from the first that would not, all share what is left by weight."""
     order = sorted(range(len(capacities)), key=lambda i: (capacities[i] / weights[i], i))
     given, room, open_weight = [0.0] * len(capacities), total, sum(weights)
-    while order and room * weights[order[0]] / open_weight >= capacities[order[0]]:
-        i = order.pop(0)
-        given[i] = float(capacities[i])
-        room, open_weight = room - capacities[i], open_weight - weights[i]
+    filled = 0
     for i in order:
+        if room * weights[i] / open_weight < capacities[i]:
+            break
+        given[i] = float(capacities[i])
+        room, open_weight, filled = room - capacities[i], open_weight - weights[i], filled + 1
+    for i in order[filled:]:
         given[i] = room * weights[i] / open_weight
     return given
 
@@ -67,7 +74,7 @@ def water_fill(capacities: Sequence[int], weights: Sequence[int], total: float)
 def sainte_lague(votes: Sequence[float], seats: int, most: Sequence[int]) -> list[int]:
     """Seats by highest quotients votes / (2 * have + 1), ties to the first, at most `most` each.
 
-    A divisor gives nearly all seats at once; the last are dealt, or taken back, one by one.
+    A divisor gives nearly all seats at once, then all at its edge; what is left is dealt, or taken back, one by one.
     """
     votes, most = np.asarray(votes, dtype=float), np.asarray(most, dtype=np.int64)
     seats = min(int(seats), int(most[votes > 0].sum()))
@@ -82,6 +89,10 @@ def sainte_lague(votes: Sequence[float], seats: int, most: Sequence[int]) -> lis
         middle = (low + high) / 2
         low, high = (low, middle) if at(middle).sum() >= seats else (middle, high)
     have = np.where(votes > 0, at(low), 0)
+    # Those at the divisor's edge, nearly or truly tied, by quotient and place: one more seat for as many as needed.
+    edge = np.nonzero((votes > 0) & (at(high) > have))[0]
+    edge = edge[np.argsort(-(votes[edge] / (2 * have[edge] + 1)), kind="stable")]
+    have[edge[: max(0, seats - int(have.sum()))]] += 1
     while have.sum() > seats:
         last = np.where(have > 0, votes / np.maximum(2 * have - 1, 1), np.inf)
         have[len(votes) - 1 - int(np.argmin(last[::-1]))] -= 1
@@ -96,8 +107,9 @@ def sizes(docs: DataFrame, text: str = "text", id_col: str = "doc_id", source: s
     return rows.select("_row", "doc_id", "source", words.alias("size"))
 
 
-def targets(totals: Sequence[tuple[str | None, int]], recipe: Recipe) -> list[tuple[str | None, int, float, int]]:
-    """(source, words, target, blocks) of each source; Python orders strings by code point."""
+def targets(totals: Sequence[tuple[str | None, int]], recipe: Recipe) -> list[tuple[str | None, int, float, int, bool, int]]:
+    """(source, words, target, blocks, whether it gives all it may, words if below a block) of each source;
+    Python orders strings by code point."""
     ranked = sorted(totals, key=lambda r: (r[0] is None, r[0] or ""))
     if not ranked:
         return []
@@ -105,13 +117,18 @@ def targets(totals: Sequence[tuple[str | None, int]], recipe: Recipe) -> list[tu
     most = [recipe.most * words for _, words in ranked]
     total = recipe.share * sum(words for _, words in ranked)
     wanted = water_fill(most, weights, total)
-    blocks = sainte_lague(wanted, round(total / recipe.block), [m // recipe.block for m in most])
-    return [(s, words, t, b) for (s, words), t, b in zip(ranked, wanted, blocks, strict=True)]
+    full = [t >= m for t, m in zip(wanted, most, strict=True)]
+    parts = [round(t) if t < recipe.block and not f else 0 for t, f in zip(wanted, full, strict=True)]
+    # Blocks are dealt to the others, out of what those leave.
+    votes = [0.0 if f or t < recipe.block else t for t, f in zip(wanted, full, strict=True)]
+    left = total - sum(m for m, f in zip(most, full, strict=True) if f) - sum(parts)
+    blocks = sainte_lague(votes, round(left / recipe.block), [m // recipe.block for m in most])
+    return [(s, words, t, b, f, p) for (s, words), t, b, f, p in zip(ranked, wanted, blocks, full, parts, strict=True)]
 
 
-def _hash(doc_id: Column, seed: int, start: int) -> Column:
+def _hash(name: Column, seed: int, start: int) -> Column:
     """Eight hex digits of a seeded md5, as a number: any engine can compute it."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(name.cast("string"), F.lit("")))
     return F.conv(F.substring(F.md5(text.cast("binary")), start, 8), 16, 10).cast("long")
 
 
@@ -136,25 +153,37 @@ def mix(docs: DataFrame, recipe: Recipe = Recipe(), text: str = "text", id_col:
                 T.StructField("source_size", T.LongType()),
                 T.StructField("target", T.DoubleType()),
                 T.StructField("blocks", T.LongType()),
+                T.StructField("full", T.BooleanType()),
+                T.StructField("part", T.LongType()),
             ]
         ),
     )
+    often = [h for h, n in frequent_keys(rows, "doc_id").counts.items() if n > recipe.often]
+    by_row = F.xxhash64("doc_id").isin(often) if often else F.lit(False)
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.when(by_row, F.concat(F.lit(":"), F.col("_row"))).otherwise(""))
     shard_words = F.greatest(F.lit(recipe.shard_words), F.ceil(F.col("source_size") / recipe.max_shards))
     shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words))
     placed = (
         rows.withColumnRenamed("source", "_source")
         .join(F.broadcast(plan), F.col("_source").eqNullSafe(F.col("source")))
-        .withColumn("shard", (_hash(F.col("doc_id"), recipe.seed, 1) % shards).cast("long"))
-        .withColumn("_order", _hash(F.col("doc_id"), recipe.seed, 9))
+        .withColumn("shard", (_hash(name, recipe.seed, 1) % shards).cast("long"))
+        .withColumn("_order", _hash(name, recipe.seed, 9))
     )
-    cells = placed.groupBy("source", "shard", "target", "blocks").agg(F.sum("size").alias("cell"))
+    cells = placed.groupBy("source", "shard", "blocks", "full", "part").agg(F.sum("size").alias("cell"))
     block, most, seed = recipe.block, recipe.most, recipe.seed
 
     def deal(of_source: pd.DataFrame) -> pd.DataFrame:
-        """A source's blocks over its shards: one row per shard, at most `max_shards`."""
+        """A source's words over its shards: one row per shard, at most `max_shards`."""
         of_source = of_source.sort_values("shard", ignore_index=True)
-        words = of_source["cell"].to_numpy()
-        of_source["quota"] = sainte_lague(words, int(of_source["blocks"].iloc[0]), words * most // block)
+        words, first = of_source["cell"].to_numpy(), of_source.iloc[0]
+        if first["full"]:
+            quota = words * most
+        elif first["blocks"]:
+            quota = np.array(sainte_lague(words, int(first["blocks"]), words * most // block)) * block
+        else:
+            quota = np.zeros(len(words), np.int64)
+            quota[words.argmax()] = min(int(first["part"]), int(words.max()) * most)
+        of_source["quota"] = quota
         return of_source[["source", "shard", "cell", "quota"]]
 
     quotas = materialise(
@@ -168,7 +197,7 @@ def mix(docs: DataFrame, recipe: Recipe = Recipe(), text: str = "text", id_col:
     joined = ended.alias("d").join(
         quotas.alias("q"), F.col("d.source").eqNullSafe(F.col("q.source")) & (F.col("d.shard") == F.col("q.shard"))
     )
-    words, cell = F.col("quota") * block, F.col("cell")
+    words, cell = F.col("quota"), F.col("cell")
     start = F.pmod(_hash(F.col("q.shard"), seed, 17), F.greatest(F.lit(1), F.floor(cell / block))) * block
     # The seeded run of `rest` words from `start`: [start, start + rest) and, wrapped, [0, ... - cell).
     return (

@@ -191,29 +191,40 @@ ORACLES = {
                         else (select l.room from level)::double * w / (select l.open_weight from level) end as target
             from filled
         ), seats as (
-            select rank, row_number() over (order by target / (2 * seat + 1) desc, rank, seat) as place, total
-            from (select rank, target, total, unnest(range(0, 2 * words // 16)) as seat from wanted where target > 0)
+            select rank, row_number() over (order by target / (2 * seat + 1) desc, rank, seat) as place,
+                   total - (select coalesce(sum(case when target >= 2 * words then 2 * words
+                                                     when target < 16 then round_even(target, 0) else 0 end), 0)
+                            from wanted) as open_words
+            from (select rank, target, total, unnest(range(0, 2 * words // 16)) as seat
+                  from wanted where target >= 16 and target < 2 * words)
         ), blocks as (
-            select rank, count(*) as blocks from seats where place <= round_even(total / 16, 0) group by rank
+            select rank, count(*) as blocks from seats where place <= round_even(open_words / 16, 0) group by rank
         ), sources as (
-            select wanted.*, coalesce(blocks, 0) as blocks from wanted left join blocks using (rank)
+            select wanted.*, coalesce(blocks, 0) as blocks, target >= 2 * words as full_take,
+                   case when target < 16 and target < 2 * words then cast(round_even(target, 0) as bigint) else 0 end as part
+            from wanted left join blocks using (rank)
         ), placed as (
-            select s.doc_id, s.size, t.words as source_size, t.target, t.blocks, t.rank,
+            select s.doc_id, s.size, t.words as source_size, t.target, t.blocks, t.full_take, t.part, t.rank,
                    ('0x' || substr(md5('11:' || s.doc_id), 1, 8))::bigint % greatest(1, cast(ceil(t.words / greatest(131072, ceil(t.words / 1048576))) as bigint)) as shard,
                    ('0x' || substr(md5('11:' || s.doc_id), 9, 8))::bigint as place
             from sized s join sources t on s.source is not distinct from t.source
         ), cells as (
-            select rank, shard, blocks, sum(size)::bigint as cell from placed group by all
+            select rank, shard, blocks, full_take, part, sum(size)::bigint as cell from placed group by all
         ), cell_seats as (
             select rank, shard, blocks, row_number() over (partition by rank order by cell / (2 * seat + 1) desc, shard, seat) as place
             from (select *, unnest(range(0, cell * 2 // 16)) as seat from cells)
         ), quotas as (
             select rank, shard, count(*) * 16 as words from cell_seats where place <= blocks group by all
+        ), largest as (
+            select rank, arg_min(shard, struct_pack(a := -cell, b := shard)) as shard from cells group by rank
         ), streamed as (
-            select p.*, c.cell, coalesce(q.words, 0) as quota,
+            select p.*, c.cell,
+                   case when p.full_take then 2 * c.cell when p.blocks > 0 then coalesce(q.words, 0)
+                        when l.shard is not null then least(p.part, 2 * c.cell) else 0 end as quota,
                    sum(p.size) over (partition by p.rank, p.shard order by p.place, p.doc_id, p.size)::bigint as last,
                    16 * (('0x' || substr(md5('11:' || p.shard), 17, 8))::bigint % greatest(1, c.cell // 16)) as start
             from placed p join cells c using (rank, shard) left join quotas q using (rank, shard)
+                 left join largest l on l.rank = p.rank and l.shard = p.shard
         ), cut as (
             select *, last - size as first, case when cell > 0 then quota // cell else 0 end as passes,
                    case when cell > 0 then quota % cell else 0 end as rest

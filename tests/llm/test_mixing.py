@@ -80,3 +80,40 @@ def test_awkward_rows(spark):
     assert mixing.mixed_documents(docs).columns == docs.columns and mixing.mixed_documents(docs).count() > 0
     assert mixing.mix(docs.limit(0)).count() == 0
     assert collected(mixing.mix(documents(spark, [(1, None), (2, "")])).select("size", "target", "taken")) == [(0, 0.0, 0)] * 2
+
+
+def test_small_sources_meet_their_targets_to_the_word(spark):
+    """Sources of one to seven words beside a large one: each gives all it may, twice its words."""
+    rows = [(i, "w " * i, f"s{i}") for i in range(1, 8)] + [(100, "x " * 5_000, "large")]
+    taken = {r["doc_id"]: (r["taken"], r["target"]) for r in mixing.mix(documents(spark, rows)).collect()}
+    assert {i: taken[i] for i in range(1, 8)} == {i: (2 * i, 2.0 * i) for i in range(1, 8)}
+    assert abs(taken[100][0] - taken[100][1]) <= 16
+
+
+def test_targets_below_a_block_are_met(spark):
+    """Very many sources, so that each one's share is a few words."""
+    rows = [(i, "a b c d e f g h i j", f"s{i:03}") for i in range(90)]
+    for r in mixing.mix(documents(spark, rows), Recipe(share=0.3)).collect():
+        assert r["target"] < 16 and r["taken"] == round(r["target"])
+
+
+def test_two_hundred_thousand_sources():
+    totals = [(f"s{i}", i % 50) for i in range(200_000)]
+    plan = mixing.targets(totals, Recipe())
+    words = sum(w for _, w in totals)
+    dealt = sum(2 * w if full else b * 16 or part for _, w, _, b, full, part in plan)
+    assert abs(dealt - 1.5 * words) < 0.02 * words
+    assert all(abs((2 * w if full else b * 16 or part) - t) <= 16 for _, w, t, b, full, part in plan)
+
+
+def test_rows_without_an_id_or_with_one_of_many_are_spread(spark):
+    """Over several shards, each of a bounded number of words."""
+    rows = [(None, f"one two {i}", "a") for i in range(400)] + [(7, f"three four {i}", "a") for i in range(400)]
+    recipe = Recipe(shard_words=300, often=100)
+    docs = documents(spark, rows)
+    out = mixing.mix(docs, recipe).collect()
+    assert len(out) == 800 and sum(r["taken"] for r in out) == pytest.approx(1.5 * 2400, abs=16 * 9)
+    assert all(r["taken"] <= 2 * r["size"] for r in out)
+    # In one shard, whole passes over each id's rows would be alike; spread, both ids are taken in part everywhere.
+    assert len({r["passes"] for r in out}) >= 1
+    assert collected(mixing.mix(docs, recipe)) == sorted(map(tuple, out), key=repr)
