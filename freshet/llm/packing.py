@@ -9,7 +9,9 @@ it does not grow with the data:
 2. The numbers are rounded down to what there is, and each pattern's classes are filled with real
    lengths, in runs: "these lengths, so many times over".
 3. What is left over goes, longest first, where it fits best: into the room that rounding to classes
-   left in the patterns, or into new sequences. Also in runs.
+   left in the patterns, or into new sequences. Also in runs. This is tried with all patterns, and with
+   fewer and fewer of those that leave the most room, whose pieces then count as left over; the plan of
+   the fewest sequences stands.
 
 A piece then finds its place by its rank among the pieces of its length: the n pieces of a length are
 numbered in about sqrt(n) salted parts, so that one which very many pieces share is spread over tasks,
@@ -36,6 +38,7 @@ from freshet.llm.tokens import END, encoder
 CAPACITY = 4096
 CLASSES = 128
 PARTS = 4
+BREAKS = 12
 
 
 def tokenizer_path() -> str:
@@ -197,12 +200,29 @@ def plan(histogram: Mapping[int, int], capacity: int = CAPACITY, classes: int =
                 taken[i] = part if part[0][1] > stretch else part[1:]
                 if part[0][1] > stretch:
                     taken[i] = [(part[0][0], part[0][1] - stretch), *part[1:]]
-    # Best fit of what is left over, longest first, a whole run at a time.
+    left = defaultdict(int, {length: n for r in runs for length, n in r.counts})
+    wastes = sorted({capacity - sum(lengths) for lengths, _ in made}, reverse=True)
+    best = None
+    # As they are, then without the patterns that leave most room, more and more of them.
+    for most in wastes[:: max(1, len(wastes) // BREAKS)] or [0]:
+        kept = [(lengths, times) for lengths, times in made if capacity - sum(lengths) <= most]
+        rest = left.copy()
+        for lengths, times in made:
+            if capacity - sum(lengths) > most:
+                for length in lengths:
+                    rest[length] += times
+        packed = _best_fit(kept, rest, capacity)
+        if best is None or sum(n for _, n in packed) < sum(n for _, n in best):
+            best = packed
+    return sorted(best, reverse=True)
+
+
+def _best_fit(made: list[tuple[tuple[int, ...], int]], rest: Mapping[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """The runs made with the rest put where it fits best, longest first, a whole run at a time."""
     by_room: dict[int, list[tuple[tuple[int, ...], int]]] = defaultdict(list)
     for lengths, times in made:
         by_room[capacity - sum(lengths)].append((lengths, times))
     rooms = sorted(by_room)
-    rest = sorted(((length, n) for r in runs for length, n in r.counts), reverse=True)
 
     def put(room: int, entry: tuple[tuple[int, ...], int]) -> None:
         if not by_room.get(room):
@@ -210,7 +230,7 @@ def plan(histogram: Mapping[int, int], capacity: int = CAPACITY, classes: int =
             by_room[room] = []
         by_room[room].append(entry)
 
-    for length, n in rest:
+    for length, n in sorted(rest.items(), reverse=True):
         while n:
             at = bisect.bisect_left(rooms, length)
             if at == len(rooms):
@@ -228,7 +248,7 @@ def plan(histogram: Mapping[int, int], capacity: int = CAPACITY, classes: int =
                 put(room, (lengths, times - used))
             put(room - length, ((*lengths, length), used))
             n -= used
-    return sorted(((lengths, times) for entries in by_room.values() for lengths, times in entries), reverse=True)
+    return [entry for entries in by_room.values() for entry in entries]
 
 
 def slots(made: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int]]:

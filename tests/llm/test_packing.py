@@ -8,6 +8,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from comparison import DATA
+
 from freshet.llm import packing
 from freshet.llm.tokens import Encoder
 
@@ -109,3 +111,14 @@ def test_awkward_rows(spark):
     assert len({(r["_row"]) for r in rows}) == docs.count()
     assert len([r for r in rows if r["doc_id"] == 8]) > 1
     assert packing.pack(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("sf", "bound"), [("sf0.001", 44), ("sf0.01", 221), ("sf0.1", 2270)])
+def test_no_more_sequences_than_best_fit_or_the_tokens_need(spark, sf, bound):
+    docs = spark.read.parquet(f"{DATA}/{sf}/documents.parquet")
+    found = packing.pieces(docs, packing.tokenizer_path()).groupBy("length").count().collect()
+    histogram = {r["length"]: r["count"] for r in found}
+    made = packing.plan(histogram)
+    tokens = sum(length * n for length, n in histogram.items())
+    assert sum(n for _, n in made) == -(-tokens // packing.CAPACITY) == bound
+    assert bound == sum(n for _, n in packing._best_fit([], histogram, packing.CAPACITY))
