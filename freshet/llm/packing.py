@@ -293,7 +293,11 @@ def place(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """One row per piece with its place. Texts are read and encoded once; ids do not move."""
+    """One row per piece with its place. Texts are read and encoded once, whole; ids do not move.
+
+    A null or empty text is a piece of length 1. Repeated rows and null ids are documents of their own; pieces of
+    one length are interchangeable, their order by row decides. No rows give none. Other columns are not read,
+    whatever their names."""
     found = materialise(pieces(docs, path or tokenizer_path(), capacity, False, text, id_col), "pieces")
     return place(found, capacity)
 

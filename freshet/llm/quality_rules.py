@@ -81,7 +81,9 @@ def measure(text: str | None) -> tuple[int, ...]:
 def ledger(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """`doc_id`, the measurements and `failed`, the bits of the rules that fail; one row per row.
 
-    A null text measures like an empty one: no words, which fails `few_words`."""
+    A null text measures like an empty one: no words, which fails `few_words`. Texts are measured whole, one at
+    a time; a row stands for itself, so repeated rows, ties and null ids each give a row, and no rows give none.
+    Other columns are not read, whatever their names."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

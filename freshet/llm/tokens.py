@@ -12,7 +12,9 @@ import struct
 import sys
 
 END = 1
+# Words remembered, and the longest of them: together some 100 MB at most.
 MAX_WORDS = 600_000
+MAX_BYTES = 64
 # Lower-case letters that are composed already, digits and ASCII marks: normalising keeps them, and
 # the tokenizer's own pattern comes down to `_PIECE`. Any other word goes through the whole tokenizer.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
@@ -61,7 +63,9 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         known = self.pieces.get(piece)
         if known is None:
-            known = self.pieces[piece] = _packed(self.merge.encode_single_piece(piece.encode() + _LAST))
+            known = _packed(self.merge.encode_single_piece(piece.encode() + _LAST))
+            if len(piece) <= MAX_BYTES:
+                self.pieces[piece] = known
         return known
 
     def _word(self, word: bytes) -> bytes:
@@ -70,7 +74,8 @@ class Encoder:
             ids = b"".join(map(self._piece, _PIECE.findall(text.lower())))
         else:
             ids = _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        self.words[word] = ids
+        if len(word) <= MAX_BYTES:
+            self.words[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:

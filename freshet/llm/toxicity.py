@@ -168,7 +168,9 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, text:
 
 def score(docs: DataFrame, machine: Machine, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """`_row`, `doc_id`, `held_out`, `score`, `predicted` of every row. A text without words, or null,
-    gets the bias alone; a null id is not held out."""
+    gets the bias alone; a null id is not held out. Texts are scored whole, 128 at a time; repeated rows get the
+    same score, a score of just 0.5 counts as toxic, no rows give none. Other columns are not read, whatever
+    their names."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(machine)
 
