@@ -1,5 +1,6 @@
 import json
 import random
+from datetime import date, datetime
 
 import pytest
 
@@ -174,3 +175,39 @@ def test_damaged_answers(spark):
     wrong = [(c, got[i], judged(c)) for i, c in enumerate(contents) if got[i] != judged(c)]
     assert wrong == []
     assert set(got.values()) >= {None, *REASONS} - {"call_error", "empty_content"}
+
+
+def test_one_parse_an_answer(spark):
+    df = spark.createDataFrame([(1, needs())], "id int, content string")
+    for model in (SENTIMENT, USER_NEEDS):
+        plan = parse_responses(df, model)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1
+        assert not any(name in plan for name in ("json_object_keys", "json_array_length", "parse_json", "parseJson"))
+
+
+def test_keys_that_come_twice(spark):
+    cases = [
+        ('{"score":"x","sentiment":"neutral","confidence":1,"score":0.5}', None),
+        ('{"score":0.5,"sentiment":"neutral","confidence":1,"score":"x"}', "type_mismatch"),
+        ('{"score":0.5,"sentiment":"neutral","confidence":1,"x":{"a":1,"a":2}}', "invalid_json"),
+    ]
+    df = spark.createDataFrame([(i, c) for i, (c, _) in enumerate(cases)], "id int, content string")
+    rows = sorted(parse_responses(df, SENTIMENT).collect(), key=lambda row: row["id"])
+    assert [row["reject_reason"] for row in rows] == [reason for _, reason in cases] and rows[0]["score"] == 0.5
+
+
+def test_fields_of_all_types(spark):
+    model = Model("all", "?", (
+        Field("n", int), Field("b", bool), Field("t", datetime), Field("d", date), Field("raw", bytes), Field("x", float),
+        Field("deep", fields=(Field("a", fields=(Field("y", str), Field("z", int))),)),
+    ))
+    good = {"n": 2**62, "b": False, "t": "2024-01-02T03:04:05", "d": "2024-01-02", "raw": "YWI=", "x": 12345678901234567890.5, "deep": {"a": {"y": "q", "z": 1}}}
+    changes = [{}, {"n": 1.5}, {"n": 2**70}, {"b": "false"}, {"t": "soon"}, {"d": 3}, {"raw": "?"}, {"x": "1"}, {"deep": {"a": []}}, {"deep": {"a": {"y": "q"}}}, {"d": None}]
+    reasons = [None, *["type_mismatch"] * 8, *["missing_field"] * 2]
+    df = spark.createDataFrame([(i, json.dumps({**good, **c})) for i, c in enumerate(changes)], "id int, content string")
+    out = parse_responses(df, model)
+    assert [f.dataType.simpleString() for f in out.schema][1:-1] == ["bigint", "boolean", "timestamp_ntz", "date", "binary", "double", "struct<y:string,z:bigint>"]
+    rows = sorted(out.collect(), key=lambda row: row["id"])
+    assert [row["reject_reason"] for row in rows] == reasons
+    first = tuple(rows[0])[1:-1]
+    assert first == (2**62, False, datetime(2024, 1, 2, 3, 4, 5), date(2024, 1, 2), bytearray(b"ab"), 12345678901234567890.5, ("q", 1))
