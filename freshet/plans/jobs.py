@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -367,6 +367,7 @@ def run_job(
     now: datetime | None = None,
     count_available: bool = False,
     run_id: str | None = None,
+    alone: timedelta | None = None,
 ) -> Summary:
     """One run. `now` (default: the start of the run, UTC) fixes the window and is the write time,
     so that a source update during the run is later than it and picked up next time.
@@ -374,7 +375,19 @@ def run_job(
     `max_records=None` takes every new row. `drop` starts the target afresh. With a `run_id`, for which the
     target must keep a table of runs, a run that failed is taken up where it stopped when it is started again:
     the same rows, no answered request asked twice, and nothing at all if it was committed.
+
+    `alone` is for schedules whose runs may overlap: the run claims the target for no longer than that, and does
+    nothing while another one's claim holds, so that no row is scored by both.
     """
+    if alone is not None:
+        at = utc_now()
+        claim = job.target.claim(spark, at, alone)
+        if claim is None:
+            return Summary()
+        try:
+            return run_job(spark, job, scorer, max_records, drop, now, count_available, run_id)
+        finally:
+            job.target.release(spark, claim, at)
     now = utc_now() if now is None else utc_naive(now)
     if run_id is not None:
         if job.target.runs is None:

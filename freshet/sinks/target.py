@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,9 @@ from freshet.sinks.kept_state import KeptState
 from freshet.sources.scan import load_table, scan_window
 
 
+_CLAIM = "claim string, since timestamp_ntz, until timestamp_ntz"
+
+
 def empty_folder(spark: SparkSession, path: str, fmt: str = "parquet") -> None:
     """Remove the data files below a path. Overwriting by partition with no rows writes no file, so
     the folder reads as missing."""
@@ -98,6 +101,36 @@ class Target:
         commits = self.commits(spark) if self.runs else None
         return commits is not None and not commits.filter(F.col("run_id") == run_id).isEmpty()
 
+    def claim(self, spark: SparkSession, now: datetime, lasts: timedelta) -> str | None:
+        """Claim the target for one run at a time: a claim to `release` afterwards, or None while another holds.
+
+        A claim is written, then all are read: it holds if there is no other that is neither released nor older than
+        it lasts. Of two runs at the very same time at least the later reader sees both claims and steps back,
+        so both never hold, though both may step back. A lost run is in the way no longer than its claim lasts."""
+        if self.runs is None:
+            raise ValueError("a claim needs a target with a table of runs")
+        claim = uuid.uuid4().hex
+        self._note_claim(spark, claim, now, now + lasts)
+        rows = spark.read.schema(_CLAIM).parquet(self._claims)
+        held = rows.groupBy("claim").agg(F.min("until").alias("until"))
+        others = held.filter((F.col("until") > ts_literal(now)) & (F.col("claim") != claim))
+        if others.isEmpty():
+            return claim
+        self.release(spark, claim, now)
+        return None
+
+    def release(self, spark: SparkSession, claim: str, now: datetime) -> None:
+        self._note_claim(spark, claim, now, datetime(1970, 1, 1))
+
+    @property
+    def _claims(self) -> str:
+        return f"{self.runs.rstrip('/')}-claims"
+
+    def _note_claim(self, spark: SparkSession, claim: str, since: datetime, until: datetime) -> None:
+        row = spark.createDataFrame([(claim,)], "claim string")
+        row = row.withColumns({"since": ts_literal(since), "until": ts_literal(until)})
+        row.coalesce(1).write.mode("append").parquet(self._claims)
+
     def _stored(self, spark: SparkSession) -> DataFrame | None:
         if self.table is not None:
             return load_table(spark, table=self.table)

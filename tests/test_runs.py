@@ -4,6 +4,7 @@ import json
 import os
 from collections import Counter
 from dataclasses import replace
+from datetime import timedelta
 
 import pytest
 from helpers import at, collected
@@ -292,3 +293,42 @@ def test_a_stream_without_cap_writes_a_batch_once(spark, tmp_path, target):
     run(13, feed.state)
     stored = target.load(spark)
     assert stored.count() == 10 and stored.filter(F.col("written_at") == at(13)).count() == 10
+
+
+def test_claims(spark, target):
+    """One holds at a time, until it is released or too old; of two at the very same time not both."""
+    hour = timedelta(hours=1)
+    first = target.claim(spark, at(8), hour)
+    assert first and target.claim(spark, at(8, 30), hour) is None
+    target.release(spark, first, at(8, 40))
+    second = target.claim(spark, at(8, 45), hour)
+    assert second and target.claim(spark, at(9, 30), hour) is None
+    assert target.claim(spark, at(9, 50), hour)  # the second was lost
+    other = replace(target, runs=target.runs + "-b")
+    for name in ("b", "a"):
+        other._note_claim(spark, name, at(8), at(9))
+    assert other.claim(spark, at(8), hour) is None
+    other.release(spark, "a", at(8))
+    assert other.claim(spark, at(8), hour) is None  # b still holds, whatever its name
+    other.release(spark, "b", at(8))
+    assert other.claim(spark, at(8), hour)
+    with pytest.raises(ValueError):
+        replace(target, runs=None).claim(spark, at(8), hour)
+
+
+def test_runs_that_overlap(spark, target):
+    """A run that starts while another asks does nothing; afterwards the next one finds what is left."""
+    job = job_on(target, posts(spark, MANY))
+    inner = []
+
+    class Nested(type(WORDS)):
+        def enrich(self, rows, job, folder, carry=()):
+            inner.append(run_job(spark, job, WORDS, now=at(12), alone=timedelta(hours=1)))
+            return super().enrich(rows, job, folder, carry)
+
+    outer = run_job(spark, job, Nested(WORDS.answer), 4, now=at(12), alone=timedelta(hours=1))
+    assert inner == [Summary()] and outer.written == 4
+    with pytest.raises(ZeroDivisionError):
+        run_job(spark, job, Completer(lambda p, x: GOOD, wave_rows=0), now=at(13), alone=timedelta(hours=1))
+    assert run_job(spark, job, WORDS, None, now=at(14), alone=timedelta(hours=1)).written == 6
+    assert target.load(spark).count() == 10
