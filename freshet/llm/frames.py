@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.session import ensure_checkpoint_dir, scratch_dir
+from freshet.sinks.target import empty_folder
+from freshet.sources.scan import load_table
 
 # A word, as the data contracts define it. `bytes.split()` cuts at the same six characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,14 +19,30 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_WRITTEN: list[str] = []
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write the frame below the shared checkpoint folder and read it back: the lineage is cut, and
     no executor's loss can change or take away what later steps read."""
     path = scratch_dir(df.sparkSession, name)
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clean(spark: SparkSession) -> int:
+    """Empty the scratch tables that this driver has written so far, and say how many there were. For when the
+    results made of them are written: they are read from these tables until then."""
+    emptied = 0
+    while _WRITTEN:
+        path = _WRITTEN.pop()
+        if load_table(spark, path=path) is not None:
+            empty_folder(spark, path)
+            emptied += 1
+    return emptied
+
+
 def numbered(df: DataFrame, name: str = "_row") -> DataFrame:
     """Rows numbered by where they lie in their files: a task run again numbers them the same, and
     so does a second scan. It tells rows apart that agree in everything else. The frame is to be a scan
