@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from freshet.llm.frames import materialise
+from freshet.operators.sizing import scan_tasks
 
 K = 50
 # Items searched at a time and their terms, entries of a tree, documents of a leaf.
@@ -46,6 +47,8 @@ BLOCK_ITEMS = 2_000
 BLOCK_TERMS = 20_000
 TREE_ENTRIES = 1_000_000
 LEAF_DOCS = 32
+# Documents searched by a task.
+TASK_DOCS = 16_384
 # One document in this many is searched first.
 AHEAD = 64
 NO_ID = 2**63 - 1
@@ -361,6 +364,10 @@ def search(
         corpus = statistics(rows, len(block.vocabulary))
         if not corpus.n_docs:
             break
+        tasks = -(-corpus.n_docs // TASK_DOCS)
+        if scan_tasks(rows) < tasks:
+            # Vectors are small in bytes for the work they make.
+            rows = rows.repartition(tasks)
         first = rows.filter(F.pmod(F.xxhash64("doc_id", "n"), F.lit(ahead)) == 0)
         last = _top(_searched(first, block, corpus, k, {}, tree_entries), k).filter(F.col("rank") == k)
         floors = {r["item"]: (r["score"], -(NO_ID if r["doc_id"] is None else r["doc_id"])) for r in last.collect()}
