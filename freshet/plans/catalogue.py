@@ -653,11 +653,10 @@ def result_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_documents(spark: SparkSession, sf_dir: str, job: Job, **options) -> None:
-    """All documents as a stream from its beginning."""
+    """All documents as a stream from its beginning, of a single file or a folder of them: a pattern
+    matches either, a plain path only a folder."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    stream = (
-        spark.readStream.schema(documents.schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
-    )
+    stream = spark.readStream.schema(documents.schema).parquet(f"{sf_dir}/document[s].parquet")
     query = start_stream(
         views.as_posts(stream), job, Native(NEEDS_WORDS), scratch_dir(spark, "stream"), lambda: SECOND_RUN, **options
     )
