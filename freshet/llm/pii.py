@@ -3,12 +3,16 @@
 Base spans are matches of fixed patterns that pass their checks; they always stay. Beside them,
 high-recall generators propose more spans, overlapping ones too: tokens with an at sign or a digit,
 spelled-out addresses, and grouped digits of any style. Boosted trees score those by their format and
-context (never by the checks themselves). They learn from the corpus: a candidate that meets a base
-span is an example of personal data, any other one is not known to be. Candidates the trees cannot
-tell from confirmed ones are added, down to a score by kind from which on, among rows kept out of
-training, at least `PRECISION` of the candidates with such scores are confirmed. So a number that
+context (never by the checks themselves). They learn from the corpus, from all candidates in it: one that
+meets a base span is an example of personal data, any other one is not known to be. Candidates the trees
+cannot tell from confirmed ones are added, down to a score by kind from which on, among the third kept out
+of training, at least `PRECISION` of the candidates with such scores are confirmed. So a number that
 often fails the checks of its kind is left alone. Too few examples: nothing is added.
 
+Candidates that agree in kind, features and confirmation are one row with their number as its weight, so the fit
+grows with the formats in the corpus. Scores go in steps of 1 / `STEPS`; their counts by kind are complete, and
+all that reaches the driver. (Where a feature may be split is proposed by Spark from 10,000 or more rows.)
+
 Only column expressions and Spark's own trees. A match's place comes from the lengths of what lies
 between matches, summed by a window over the document's matches, so it stays linear in their number.
 Texts are scanned once; after that, only matches move.
@@ -16,6 +20,7 @@ Texts are scanned once; after that, only matches move.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -42,9 +47,9 @@ GENERATORS = {
     "digit_token": r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+",
     "grouped": r"\(?[0-9](?:[\x20().:/-]{0,2}+[0-9]){6,40}+",
 }
-MAX_TRAIN = 20_000
 MIN_EACH = 50
 PRECISION = 0.95
+STEPS = 10_000
 FEATURES = (
     "n_chars", "n_digits", "n_letters", "n_upper", "n_hex", "n_dots", "n_dashes", "n_spaces", "n_marks", "n_groups",
     "longest_group", "first_digit", "first_letter", "has_at", "space_before", "letter_before", "space_after", "letter_after",
@@ -129,7 +134,8 @@ def _known(found: DataFrame) -> DataFrame:
     return found.withColumn("confirmed", ~F.col("base") & meets).withColumn("kind", kind)
 
 
-def featured(candidates: DataFrame) -> DataFrame:
+def with_features(candidates: DataFrame, *keep: str) -> DataFrame:
+    """The kept columns and one for each of `FEATURES`."""
     count = lambda cls: F.length(F.regexp_replace("m", f"[^{cls}]", ""))
     groups = F.filter(F.split(F.col("m"), "[^0-9]+"), lambda g: g != "")
     near = F.lower(F.concat("before", F.lit(" "), F.col("m"), F.lit(" "), F.col("after")))
@@ -146,8 +152,11 @@ def featured(candidates: DataFrame) -> DataFrame:
         "word_mail": flag(near.rlike("mail|contact|write|@")), "word_address": flag(near.rlike(r"\bip\b|host|server|addr")),
         "word_secret": flag(near.rlike("pass|token|key|secret")),
     }
-    named = candidates.select("_row", "kind", "start", "end", "confirmed", *[values[f].cast("double").alias(f) for f in FEATURES])
-    return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(named).drop(*FEATURES)
+    return candidates.select(*keep, *[values[f].cast("double").alias(f) for f in FEATURES])
+
+
+def assembled(features: DataFrame) -> DataFrame:
+    return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(features).drop(*FEATURES)
 
 
 @dataclass
@@ -155,44 +164,54 @@ class Trees:
     model: GBTClassificationModel | None
     thresholds: dict[str, float]
 
-    def score(self, candidates: DataFrame) -> DataFrame:
-        scored = self.model.transform(featured(candidates))
-        return scored.withColumn("score", vector_to_array("probability")[1]).select("_row", "kind", "start", "end", "confirmed", "score")
+    def score(self, features: DataFrame) -> DataFrame:
+        """`score`, in whole steps, beside the columns other than the features."""
+        scored = self.model.transform(assembled(features))
+        steps = F.floor(vector_to_array("probability")[1] * F.lit(STEPS)) / F.lit(float(STEPS))
+        return scored.withColumn("score", steps).drop("features", "rawPrediction", "probability", "prediction")
 
 
-def calibrated(scored: list[tuple[float, bool]], at_least: int = 20) -> float | None:
+def calibrated(scored: Iterable[tuple[float, bool] | tuple[float, bool, int]], at_least: int = 20) -> float | None:
     """The lowest score down to which every stretch of scores is confirmed often enough: equal scores
-    stay together, in stretches of `at_least` candidates. None if not even the highest are."""
-    by_score: dict[float, list[bool]] = {}
-    for score, confirmed in scored:
-        by_score.setdefault(score, []).append(confirmed)
-    best, stretch = None, []
+    stay together, in stretches of `at_least` candidates. None if not even the highest are. A third
+    value says how many candidates there are of such a score."""
+    by_score: dict[float, list[int]] = {}
+    for score, confirmed, *times in scored:
+        counts = by_score.setdefault(score, [0, 0])
+        counts[0] += times[0] if times else 1
+        counts[1] += confirmed * (times[0] if times else 1)
+    best, n, yes = None, 0, 0
     for score in sorted(by_score, reverse=True):
-        stretch += by_score[score]
-        if len(stretch) >= at_least:
-            if sum(stretch) < PRECISION * len(stretch):
+        n, yes = n + by_score[score][0], yes + by_score[score][1]
+        if n >= at_least:
+            if yes < PRECISION * n:
                 break
-            best, stretch = score, []
+            best, n, yes = score, 0, 0
     return best
 
 
-def train(found: DataFrame, max_train: int = MAX_TRAIN, rounds: int = 12) -> Trees:
-    """Trees on at most `max_train` candidates (those with the smallest hash of row and place) and a
-    threshold per kind from a third of them, which the trees do not see."""
-    draw = F.xxhash64("_row", "start", "end", "by")
-    drawn = (
-        found.filter(~F.col("base")).withColumn("_draw", draw).orderBy("_draw", "_row", "start", "end").limit(max_train)
-    )
-    sample = materialise(drawn.withColumn("_held", F.pmod("_draw", F.lit(3)) == 0), "candidates")
-    n = sample.filter("not _held").agg(F.count_if("confirmed").alias("yes"), F.count_if(~F.col("confirmed")).alias("no")).first()
-    if min(n["yes"], n["no"]) < MIN_EACH:
+def counted(found: DataFrame) -> DataFrame:
+    """All proposed spans by kind, features and confirmation: how many, and whether they are held out. A third
+    is, by a hash of row and place."""
+    held = F.pmod(F.xxhash64("_row", "start", "end", "by"), F.lit(3)) == 0
+    named = with_features(found.filter(~F.col("base")).withColumn("_held", held), "kind", "confirmed", "_held")
+    return named.groupBy(*named.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def train(found: DataFrame, rounds: int = 12) -> Trees:
+    """Trees on two thirds of all candidates and a threshold per kind from the other third, which the trees do
+    not see."""
+    candidates = materialise(counted(found), "candidates")
+    learned = candidates.filter("not _held")
+    n = {r["confirmed"]: r["n"] for r in learned.groupBy("confirmed").agg(F.sum("n").alias("n")).collect()}
+    if min(n.get(True, 0), n.get(False, 0)) < MIN_EACH:
         return Trees(None, {})
-    labelled = featured(sample.filter("not _held")).withColumn("label", F.col("confirmed").cast("double"))
-    model = GBTClassifier(labelCol="label", featuresCol="features", maxIter=rounds, maxDepth=4, seed=3).fit(labelled)
-    trees = Trees(model, {})
+    labelled = assembled(learned).select("features", F.col("confirmed").cast("double").alias("label"), F.col("n").cast("double"))
+    trees = Trees(GBTClassifier(weightCol="n", maxIter=rounds, maxDepth=4, seed=3).fit(labelled), {})
     by_score: dict[str, list] = {k: [] for k in KINDS}
-    for r in trees.score(sample.filter("_held")).collect():  # at most max_train rows
-        by_score[r["kind"]].append((r["score"], r["confirmed"]))
+    scores = trees.score(candidates.filter("_held")).groupBy("kind", "score", "confirmed").agg(F.sum("n").alias("n"))
+    for r in scores.collect():  # at most two for each kind and step
+        by_score[r["kind"]].append((r["score"], r["confirmed"], r["n"]))
     for kind, scored in by_score.items():
         threshold = calibrated(scored)
         if threshold is not None:
@@ -213,7 +232,8 @@ def find(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> tuple[D
     if not trees.thresholds:
         return rows, base
     enough = F.element_at(F.create_map(*[F.lit(x) for pair in trees.thresholds.items() for x in pair]), F.col("kind"))
-    added = trees.score(found.filter("not base and not confirmed")).filter(F.col("score") >= enough)
+    proposed = with_features(found.filter("not base and not confirmed"), "_row", "kind", "start", "end")
+    added = trees.score(proposed).filter(F.col("score") >= enough)
     added = added.groupBy("_row", "kind", "start", "end").agg(F.max("score").alias("score"))
     return rows, base.unionByName(added.withColumn("base", F.lit(False)))
 

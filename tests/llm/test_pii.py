@@ -119,3 +119,22 @@ def test_threshold_stops_at_the_first_doubtful_scores():
     # Doubtful scores do not hide behind the sure ones above them.
     assert pii.calibrated(sure + [(0.5, True)] * 9 + [(0.5, False)] * 11 + [(0.1, True)] * 900) == 0.8
     assert pii.calibrated([(0.9, False)] * 30) is None and pii.calibrated([(0.9, True)] * 5) is None
+
+
+def test_candidates_of_one_score_come_with_their_number():
+    assert pii.calibrated([(0.9, True, 40), (0.8, True, 39), (0.8, False, 1)]) == 0.8
+    assert pii.calibrated([(0.9, True, 40), (0.8, False, 3), (0.8, True, 17)]) == 0.9
+
+
+def test_all_candidates_count(spark, many, monkeypatch):
+    """None is left out of the fit and the threshold, however many there are."""
+    _, found = pii.spans(documents(spark, [(i, text) for i in range(30) for _, text in many]))
+    n = found.filter("not base").count()
+    assert n > 30_000
+    assert pii.counted(found).groupBy().sum("n").first()[0] == n
+    told = []
+    calibrated = pii.calibrated
+    monkeypatch.setattr(pii, "calibrated", lambda scored: (told.extend(scored), calibrated(scored))[1])
+    assert pii.train(found).thresholds
+    held = found.filter("not base").filter(F.pmod(F.xxhash64("_row", "start", "end", "by"), F.lit(3)) == 0)
+    assert sum(times for _, _, times in told) == held.count()
