@@ -171,3 +171,52 @@ def test_open_batches_are_bounded():
     out = scoring.answered(source(), "payload", call, 2, Retry(sleep=lambda _: None))
     assert next(out).errors == ["RateLimited: always"] and len(taken) <= scoring.OPEN_BATCHES + 1
     assert sum(1 for _ in out) == 19
+
+
+def test_threads_answer_each_row_once():
+    """Errors, rows to be called again and several batches at once, by several threads."""
+    tries, lock = {}, threading.Lock()
+
+    def call(text):
+        n = int(text)
+        with lock:
+            tries[n] = tries.get(n, 0) + 1
+        if n % 7 == 0:
+            raise ValueError(text)
+        if tries[n] <= n % 3:
+            raise RateLimited(text)
+        return text
+
+    retry = Retry(shortest=0, longest=0.001, sleep=lambda _: None)
+    out = list(scoring.answered(batches(*[50] * 30), "payload", call, 5, retry))
+    rows = [(c, e) for b in out for c, e in zip(b.content, b.errors, strict=True)]
+    assert rows == [(None, f"ValueError: {n}") if n % 7 == 0 else (str(n), None) for n in range(1500)]
+    assert all(tries[n] == (1 if n % 7 == 0 else n % 3 + 1) for n in range(1500))
+
+
+@pytest.mark.parametrize("workers", [1, 3])
+def test_a_quick_model_is_not_held_up(workers):
+    """The share of a row in the time is small: a hand-over between threads for each takes several times as long."""
+    began = time.perf_counter()
+    assert sum(len(b.content) for b in scoring.answered(batches(*[10_000] * 10), "payload", str, workers, Retry())) == 100_000
+    assert time.perf_counter() - began < 3.5
+
+
+def test_large_frames_are_scored_in_rounds(spark, tmp_path, monkeypatch):
+    """No task reads more than its share of a round, and each row is called once, however often the result is read."""
+    log, parts = str(tmp_path / "calls"), []
+
+    def noting(prompt, payload):
+        with open(log, "a") as out:
+            out.write(payload + "\n")
+        return payload
+
+    at_once = scoring.score_at_once
+    monkeypatch.setattr(scoring, "FILE_ROWS", 100)
+    monkeypatch.setattr(scoring, "score_at_once", lambda df, *rest: (parts.append(df.count()), at_once(df, *rest))[1])
+    df = spark.range(0, 1000, 1, 4).selectExpr("id", "cast(id as string) as payload")
+    scored = score_with(df, noting, "p", workers=2, task_bytes=1)
+    assert max(parts) <= 100 and sum(parts) == 1000
+    for _ in range(2):
+        assert collected(scored.select("id", "content", "error")) == sorted([(i, str(i), None) for i in range(1000)], key=repr)
+    assert sum(1 for _ in open(log)) == 1000
