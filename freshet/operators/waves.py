@@ -3,23 +3,29 @@
 A run has a folder. Each of its stages is written once and marked when whole; a run started again under
 the same folder reads what is there and goes on behind it. Calls to a model are made wave by wave: the
 answers of one wave are in the folder before the next begins, so that after a failure only the wave under way is
-asked again, and of that only what no finished task had answered.
+asked again, and of that only what no finished task had answered. Where the model is so fast that waves would be
+mostly Spark's own start of a job, several are asked together: no more than a quarter of those answered before,
+and no more than take about half a minute.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.operators.scoring import Retry, score_with
+from freshet.operators.scoring import TASK_BYTES, Retry, call_tasks, score_at_once
+from freshet.operators.sizing import planned_bytes
 from freshet.operators.skew import hashable
 from freshet.sinks.target import empty_folder
 from freshet.sources.scan import load_table
 
-# Requests of a wave: what is lost at most.
+# Requests of a wave.
 WAVE_ROWS = 5_000
+# Fast waves are asked together, for about so many seconds.
+WAVE_SECONDS = 30
 REQUEST = "_request"
 
 
@@ -83,8 +89,8 @@ def ask_in_waves(
     request and payload dropped.
 
     Answers, failed calls among them, are kept by request in the folder; those there are not asked for again.
-    The rest is dealt into waves of about `wave_rows` requests by a hash, each a Spark job of its own with at
-    most `workers` calls in flight. A request of several rows is asked once.
+    The rest is dealt into waves of about `wave_rows` requests by a hash, each, or several fast ones, a Spark job
+    of its own with at most `workers` calls in flight. A request of several rows is asked once.
     """
     spark, place = requests.sparkSession, folder.place("answers")
     schema = f"{REQUEST} string, content string, error string"
@@ -103,9 +109,16 @@ def ask_in_waves(
         dealt = left.withColumn("wave", F.pmod(F.xxhash64(REQUEST), F.lit(waves))).repartition("wave")
         dealt.write.mode("overwrite").partitionBy("wave").parquet(folder.place("dealt"))
         dealt = spark.read.schema(dealt.schema).parquet(folder.place("dealt"))
-    for wave in range(waves):
-        rows = left if waves == 1 else dealt.filter(F.col("wave") == wave).drop("wave")
-        score_with(rows, completer, prompt, workers=workers, retry=retry).write.mode("append").parquet(place)
+        most = waves * call_tasks(requests, workers) * TASK_BYTES // max(1, planned_bytes(dealt))
+    done, together = 0, 1
+    while done < waves:
+        began = time.monotonic()
+        rows = left if waves == 1 else dealt.filter(F.col("wave").between(done, done + together - 1)).drop("wave")
+        score_at_once(rows, completer, prompt, "payload", workers, retry).write.mode("append").parquet(place)
+        done += together
+        if done < waves:
+            quick = int(together * WAVE_SECONDS / max(time.monotonic() - began, 0.001))
+            together = max(1, min(done // 4, quick, most))
     # A wave that was cut short, then asked again, may have left an answer twice: the one of a call that went well.
     best = (
         answers()

@@ -332,3 +332,13 @@ def test_runs_that_overlap(spark, target):
         run_job(spark, job, Completer(lambda p, x: GOOD, wave_rows=0), now=at(13), alone=timedelta(hours=1))
     assert run_job(spark, job, WORDS, None, now=at(14), alone=timedelta(hours=1)).written == 6
     assert target.load(spark).count() == 10
+
+
+def test_many_quick_waves_are_asked_together(spark, tmp_path, monkeypatch):
+    """In far fewer jobs than waves, none of more than a quarter of what was answered before."""
+    sizes, at_once = [], waves.score_at_once
+    monkeypatch.setattr(waves, "score_at_once", lambda rows, *rest: (sizes.append(rows.count()), at_once(rows, *rest))[1])
+    log, folder = str(tmp_path / "calls"), waves.RunFolder(spark, str(tmp_path / "run"))
+    assert waves.ask_in_waves(requests(spark, 800), counting(log), "p", folder, workers=2, wave_rows=20).count() == 800
+    assert len(sizes) <= 20 and sum(sizes) == 800 and max(sizes) > 60
+    assert max(Counter(calls(log)).values()) == 1
