@@ -125,9 +125,9 @@ def parse_responses(df: DataFrame, model: Model, content: str = "content", error
     tops = {f"_top_{i}": _last_value(F.col("_answer"), f.name) for i, f in enumerate(model.fields)}
     parsed = parsed.withColumns(tops)
     nodes = _nodes(model.fields, [F.col(name) for name in tops])
-    parsed = parsed.withColumn(
-        "reject_reason", reject_reason(model, text, F.col("_answer"), nodes, F.col(error) if error else None)
-    )
+    reason = reject_reason(model, text, F.col("_answer"), nodes, F.col(error) if error else None)
+    # A filter of the reason must not move below this step, to be worked out there with a parse for each of its rules.
+    parsed = parsed.withColumn("reject_reason", F.explode(F.array(reason)))
     ok = F.col("reject_reason").isNull()
     at = {path: (field, value) for path, field, value in nodes}
     results = [F.when(ok, _typed(*at[path])).alias(name) for name, path, _ in model.flat()]

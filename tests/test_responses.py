@@ -211,3 +211,12 @@ def test_fields_of_all_types(spark):
     assert [row["reject_reason"] for row in rows] == reasons
     first = tuple(rows[0])[1:-1]
     assert first == (2**62, False, datetime(2024, 1, 2, 3, 4, 5), date(2024, 1, 2), bytearray(b"ab"), 12345678901234567890.5, ("q", 1))
+
+
+def test_a_filter_of_the_reason_parses_once(spark):
+    """Valid rows alone are found from the parse that is there, not from one for each rule below a shuffle."""
+    rows = spark.range(8).selectExpr("id", """concat('{"score":', id, ',"sentiment":"positive","confidence":1}') as content""")
+    valid = valid_rows(parse_responses(rows.repartition(2), SENTIMENT))
+    plan = valid._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+    assert valid.count() == 8
