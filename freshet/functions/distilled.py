@@ -3,25 +3,28 @@ answers scores the others as a column expression, without a call.
 
 A text is the square roots of its hashed words' shares, 2^BITS of them and a constant. Every number of an answer,
 and every allowed value as a number of its own, is fitted by least squares with a small penalty; of the allowed
-values the largest wins. The fit takes at most `MAX_ANSWERS` answers, those with the smallest hash of their
-text; a fifth of them is held out, and how far the scorer agrees with the model on those is reported with it.
+values the largest wins. The fit takes all answers but for a fifth, by a hash of the text,
+that is held out; how far the scorer agrees with the model on those is reported with it. Tasks sum up the products of
+their rows, and those sums are of one size whatever the input: no rows are brought together.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.functions.columns import once
 from freshet.functions.models import Field, Model
+from freshet.sinks.target import staged
 
 BITS = 10
-MAX_ANSWERS = 20_000
 PENALTY = 0.1
 _BLOCK = 1_000
 
@@ -120,46 +123,87 @@ def _dense(buckets: Iterable[list[int]], bits: int) -> np.ndarray:
     return out
 
 
-def distil(answers: DataFrame, text: str, model: Model, max_answers: int = MAX_ANSWERS, bits: int = BITS) -> Distilled:
-    """Learn from valid answers: the text each was given for beside the model's flat columns.
+def _blocks(batches: Iterator[pa.RecordBatch], bits: int, held: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The rows that are held out, or the others, as dense blocks with what is wanted of them."""
+    for batch in batches:
+        batch = batch.filter(pa.array(batch.column("_held").to_numpy(zero_copy_only=False) == held))
+        for at in range(0, batch.num_rows, _BLOCK):
+            block = batch.slice(at, _BLOCK)
+            goal = [block.column(i).to_numpy(zero_copy_only=False) for i in range(2, block.num_columns)]
+            yield _dense(block.column("_buckets").to_pylist(), bits), np.stack(goal, axis=1)
+
+
+def _products(rows: DataFrame, wanted: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sums of the products of all rows that are not held out, with each other and with what is wanted: by task,
+    then over the tasks, each row of the matrix by itself."""
+    size, schema = (1 << bits) + 1, "i int, sums array<double>"
+
+    def by_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((size, size + wanted))
+        for x, goal in _blocks(batches, bits, False):
+            total += x.T @ np.concatenate([x, goal], axis=1)
+        if total.any():
+            sums = pa.array(total.tolist(), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([pa.array(range(size), pa.int32()), sums], ["i", "sums"])
+
+    def over_tasks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
+        for frame in frames:
+            for i, row in zip(frame["i"], frame["sums"], strict=True):
+                sums[i] = sums[i] + row if i in sums else np.array(row)
+        if sums:
+            yield pd.DataFrame({"i": list(sums), "sums": list(sums.values())})
+
+    added = rows.mapInArrow(by_task, schema).repartition("i").mapInPandas(over_tasks, schema).toArrow()
+    total = np.zeros((size, size + wanted))
+    for i, row in zip(added.column("i").to_pylist(), added.column("sums").to_pylist(), strict=True):
+        total[i] = row
+    return total[:, :size], total[:, size:]
+
+
+def _agreement(rows: DataFrame, weights: np.ndarray, wanted: list[tuple[str, str | None]], bits: int) -> dict[str, float]:
+    """On the rows held out, by field: how often the largest allowed value is the model's, or how far a number is off."""
+    places: dict[str, list[int]] = {}
+    for i, (name, _) in enumerate(wanted):
+        places.setdefault(name, []).append(i)
+
+    def by_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, sums = 0, [0.0] * len(places)
+        for x, goal in _blocks(batches, bits, True):
+            guess, n = x @ weights, n + len(x)
+            for k, at in enumerate(places.values()):
+                told, true = guess[:, at], goal[:, at]
+                chosen = wanted[at[0]][1] is not None
+                sums[k] += float((told.argmax(axis=1) == true.argmax(axis=1)).sum() if chosen else np.abs(told - true).sum())
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([sums], pa.list_(pa.float64()))], ["n", "sums"])
+
+    told = rows.mapInArrow(by_task, "n long, sums array<double>")
+    total = told.agg(F.sum("n"), *[F.sum(F.get("sums", F.lit(k))) for k in range(len(places))]).first()
+    return {name: total[k + 1] / total[0] if total[0] else float("nan") for k, name in enumerate(places)}
+
+
+def distil(answers: DataFrame, text: str, model: Model, bits: int = BITS) -> Distilled:
+    """Learn from valid answers, all of them: the text each was given for beside the model's flat columns.
 
     Rows without an answer are left out, null texts count as empty ones. With no answers every number is 0."""
-    wanted = list(_numbers(model))
-    names = list(dict.fromkeys(name for name, _, _ in wanted))
-    rows = (
-        answers.select(F.col(f"`{text}`").alias("_text"), *[F.col(f"`{n}`").alias(str(i)) for i, n in enumerate(names)])
-        .dropna(subset=[str(i) for i in range(len(names))])
-        .withColumn("_order", F.xxhash64("_text"))
-        .orderBy("_order", *[str(i) for i in range(len(names))])
-        .limit(max_answers)
-        .select(word_buckets(F.col("_text"), bits).alias("_buckets"), F.pmod("_order", F.lit(5)).alias("_fold"), *[str(i) for i in range(len(names))])
-        .toArrow()
-    )
-    fields = {n: rows.column(str(i)).to_pylist() for i, n in enumerate(names)}
-    goal = np.array([[float(v == value if value is not None else v) for v in fields[name]] for name, _, value in wanted], float)
-    goal = goal.reshape(len(wanted), -1).T
-    held = rows.column("_fold").to_numpy() == 0
+    wanted = [(name, value) for name, _, value in _numbers(model)]
+    names = list(dict.fromkeys(name for name, _ in wanted))
+    rows = answers.select(F.col(f"`{text}`").alias("_text"), *[F.col(f"`{n}`").alias(str(i)) for i, n in enumerate(names)])
+    rows = rows.dropna(subset=[str(i) for i in range(len(names))])
+    field = {name: F.col(str(i)) for i, name in enumerate(names)}
+    goals = [field[n] if v is None else field[n] == v for n, v in wanted]
+    held = F.pmod(F.xxhash64("_text"), F.lit(5)) == 0
+    rows = rows.select(
+        word_buckets(F.col("_text"), bits).alias("_buckets"), held.alias("_held"),
+        *[goal.cast("double").alias(f"_goal_{i}") for i, goal in enumerate(goals)],
+    )
     size = (1 << bits) + 1
-    gram, moment = np.zeros((size, size)), np.zeros((size, len(wanted)))
-    gram[np.arange(size - 1), np.arange(size - 1)] = PENALTY
-    blocks = [slice(at, at + _BLOCK) for at in range(0, len(goal), _BLOCK)]
-    for block in blocks:
-        x = _dense(rows.column("_buckets")[block].to_pylist(), bits)[~held[block]]
-        gram += x.T @ x
-        moment += x.T @ goal[block][~held[block]]
-    # Without any answer the constant's equation would be empty.
-    gram[-1, -1] += 1e-9
-    weights = np.linalg.solve(gram, moment)
-    guessed = [_dense(rows.column("_buckets")[b].to_pylist(), bits)[held[b]] @ weights for b in blocks]
-    guess = np.concatenate([np.zeros((0, len(wanted))), *guessed])
-    agreement = {}
-    for name in names:
-        columns = [i for i, w in enumerate(wanted) if w[0] == name]
-        told, true = guess[:, columns], goal[held][:, columns]
-        if not len(true):
-            agreement[name] = float("nan")
-        elif wanted[columns[0]][2] is not None:
-            agreement[name] = float((told.argmax(axis=1) == true.argmax(axis=1)).mean())
-        else:
-            agreement[name] = float(np.abs(told - true).mean())
+    # Read twice below, while a model is not to be asked twice.
+    with staged(rows) as rows:
+        gram, moment = _products(rows, len(wanted), bits)
+        gram[np.arange(size - 1), np.arange(size - 1)] += PENALTY
+        # Without any answer the constant's equation would be empty.
+        gram[-1, -1] += 1e-9
+        weights = np.linalg.solve(gram, moment)
+        agreement = _agreement(rows, weights, wanted, bits)
     return Distilled(model, tuple(tuple(np.round(w, 9).tolist()) for w in weights.T), agreement, bits)

@@ -67,3 +67,25 @@ def test_few_answers(spark, rows):
     out = spark.createDataFrame([("x",), (None,)], "t string").select(scorer(F.col("t")).alias("a")).collect()
     assert all(r["a"]["sentiment"] in ("positive", "negative", "neutral") for r in out)
     assert all(math.isfinite(r["a"]["score"]) for r in out)
+
+
+def test_all_answers_are_learned_from(spark):
+    """The sums over tasks are those of all rows, also past 20,000 answers."""
+    texts = ["the cat", "a dog and the cat", "no", None, "the the the", "dog dog"]
+    rows = spark.range(0, 24_000, 1, 5).select(
+        F.get(F.array(*[F.lit(t) for t in texts]), (F.col("id") % 6).cast("int")).alias("t"),
+        (F.col("id") % 7 / 7).alias("score"),
+        F.when(F.col("id") % 2 == 0, "positive").otherwise("negative").alias("sentiment"),
+        F.lit(0.5).alias("confidence"),
+    )
+    learned = rows.filter(F.pmod(F.xxhash64("t"), F.lit(5)) != 0).select(distilled.word_buckets(F.col("t")).alias("b"), "score", "sentiment").collect()
+    assert len(learned) > 20_000
+    x = distilled._dense([r["b"] for r in learned], distilled.BITS)
+    goal = np.array([[r["score"], r["sentiment"] == "positive"] for r in learned], float)
+    gram = x.T @ x + distilled.PENALTY * np.diag([1.0] * (x.shape[1] - 1) + [0.0])
+    gram[-1, -1] += 1e-9
+    expected = np.linalg.solve(gram, x.T @ goal).T
+    scorer = distilled.distil(rows, "t", SENTIMENT)
+    wanted = [(n, v) for n, _, v in distilled._numbers(SENTIMENT)]
+    got = np.array([scorer.weights[wanted.index(("score", None))], scorer.weights[wanted.index(("sentiment", "positive"))]])
+    assert np.allclose(got, expected, atol=1e-6)
